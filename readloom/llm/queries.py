@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from readloom.llm.jaccard_join import near_duplicates
 from readloom.llm.packing import pack
 from readloom.llm.tokens import count_tokens
 
@@ -26,8 +27,13 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_token_counts": op6_token_counts,
+    "op8_jaccard_join": op8_jaccard_join,
 }
 ORACLES: dict[str, str] = {}
