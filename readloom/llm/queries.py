@@ -7,13 +7,25 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from readloom.llm.contamination import contained_items
 from readloom.llm.jaccard_join import near_duplicates
+from readloom.llm.line_rules import quality_rules
 from readloom.llm.packing import pack
 from readloom.llm.tokens import count_tokens
+from readloom.llm.url_rules import judge_urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
+#: The rules of the URL query: host, path, verdict.
+URL_RULES = (
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+)
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,6 +35,11 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER).select(*PIECE_COLUMNS)
 
 
+def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -31,9 +48,42 @@ def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_contamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_percent")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op5_url_rules": op5_url_rules,
     "op6_token_counts": op6_token_counts,
     "op8_jaccard_join": op8_jaccard_join,
+    "op9_contamination": op9_contamination,
+    "op10_line_rules": op10_line_rules,
+}
+ORACLES: dict[str, str] = {
+    "op5_url_rules": """
+        with rules(host, path, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+        p as (select page_id,
+            translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+            coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') as path from pages),
+        hit as (select distinct p.host, p.path, first_value(r.host || r.path) over w as rule, first_value(r.verdict) over w as verdict
+            from (select distinct host, path from p) p join rules r on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
+            window w as (partition by p.host, p.path order by length(r.host || r.path) desc, r.verdict desc))
+        select page_id, p.host, p.path, rule, coalesce(verdict, 'allow') as verdict from p left join hit on p.host = hit.host and p.path = hit.path""",
+    "op9_contamination": r"""
+        with folded as (
+            select 'd' as side, doc_id as id, text from documents union all select 'i', item_id, text from benchmark),
+        words as (
+            select side, id, list_filter(string_split_regex(translate(regexp_replace(text, '[!-/:-@\[-`{-~]', ' ', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from folded),
+        shingles as (
+            select distinct side, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) as s from words where len(w) >= 5),
+        sizes as (select id, count(*) as n from shingles where side = 'i' group by id)
+        select d.id as doc_id, i.id as item_id, any_value(n) as n_item_shingles, count(*) as n_shared
+        from shingles d join shingles i on d.s = i.s and d.side = 'd' and i.side = 'i' join sizes on sizes.id = i.id
+        group by 1, 2 having 100 * count(*) >= 80 * any_value(n)""",
 }
-ORACLES: dict[str, str] = {}
