@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from readloom.llm.contamination import contained_items
 from readloom.llm.jaccard_join import near_duplicates
 from readloom.llm.line_rules import quality_rules
 from readloom.llm.packing import pack
+from readloom.llm.pii import KINDS, find_personal_data, rendered
 from readloom.llm.tokens import count_tokens
 from readloom.llm.url_rules import judge_urls
 
@@ -35,6 +37,16 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER).select(*PIECE_COLUMNS)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter("base", kind_is(kind))).cast("long").alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(rendered(F.col("base")), 256).alias("base_sha256"), rendered(F.col("spans")).alias("spans"))
+
+
+def kind_is(kind: str):
+    return lambda span: span["kind"] == kind
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -59,6 +71,7 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_pii": op3_pii,
     "op5_url_rules": op5_url_rules,
     "op6_token_counts": op6_token_counts,
     "op8_jaccard_join": op8_jaccard_join,
