@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom.llm.brown import score
 from readloom.llm.contamination import contained_items
 from readloom.llm.jaccard_join import near_duplicates
 from readloom.llm.line_rules import quality_rules
@@ -33,6 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fold(n: int) -> Column:
+    """crc32 of the document's id as text, modulo n."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(n))
+
+
+def op1_brown_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"), fold(7) == 2)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), TOKENIZER).select(*PIECE_COLUMNS)
 
@@ -70,6 +80,7 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_brown_score": op1_brown_score,
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
     "op5_url_rules": op5_url_rules,
