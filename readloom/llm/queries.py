@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 from readloom.llm.brown import score
 from readloom.llm.contamination import contained_items
 from readloom.llm.jaccard_join import near_duplicates
+from readloom.llm.kneser_ney import judge_quality
 from readloom.llm.line_rules import quality_rules
 from readloom.llm.packing import pack
 from readloom.llm.pii import KINDS, find_personal_data, rendered
 from readloom.llm.tokens import count_tokens
+from readloom.llm.toxicity import score_toxicity
 from readloom.llm.url_rules import judge_urls
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -57,6 +59,10 @@ def kind_is(kind: str):
     return lambda span: span["kind"] == kind
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fold(4) == 2)
+
+
 def op5_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -66,6 +72,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op7_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -83,8 +93,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_brown_score": op1_brown_score,
     "op2_packing": op2_packing,
     "op3_pii": op3_pii,
+    "op4_toxicity": op4_toxicity,
     "op5_url_rules": op5_url_rules,
     "op6_token_counts": op6_token_counts,
+    "op7_kneser_ney": op7_kneser_ney,
     "op8_jaccard_join": op8_jaccard_join,
     "op9_contamination": op9_contamination,
     "op10_line_rules": op10_line_rules,
