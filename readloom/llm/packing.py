@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.arrow import by_bytes, rows
-from readloom.llm.tokens import CutEncoder, arrow_type
+from readloom.llm.tokens import CutEncoder, arrow_type, packed_ids
 
 #: Tokens that one group of sequences holds; a task packs its rows group after group.
 GROUP_TOKENS = 1 << 22
@@ -85,8 +85,8 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int =
     """
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CutEncoder(tokenizer, lambda ids: np.asarray(ids, "<u4").tobytes())
-        end = np.asarray([end_id], "<u4").tobytes()
+        encoder = CutEncoder(tokenizer, lengths=False)
+        end = packed_ids([end_id])
         first = TaskContext.get().partitionId() << 32
         group: list[tuple[object, bytes]] = []
         size = 0

@@ -7,10 +7,15 @@ the Arrow function.
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,56 +23,119 @@ from pyspark.sql import functions as F
 from readloom.llm.arrow import by_bytes, rows
 
 #: Distinct cuts that one Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 2_000_000
 #: Before a single space between two visible characters; for tokenizers that keep white space.
 BEFORE_SPACE = re.compile(rb"(?<=[!-~])(?= [!-~])")
 #: Pieces of a text that keeps its white space, in bytes, at least.
 PIECE = 1 << 16
 
 
-def load_encoder(path: str) -> Callable[[list[str]], list[list[int]]]:
-    """Batch encoder of one file: tokenizers for .json, sentencepiece for .model."""
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
+@lru_cache(maxsize=4)
+def load_encoder(path: str, lengths: bool) -> Callable[[list[str]], list]:
+    """Batch encoder of one file, giving lengths or packed ids: tokenizers for .json, sentencepiece for .model."""
     if path.endswith(".model"):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=path)
-        return lambda texts: model.encode(texts, num_threads=1)
+        return lambda texts: list(map(len if lengths else packed_ids, model.encode(texts, num_threads=1)))
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     model = Tokenizer.from_file(path)
     model.no_truncation()
     model.no_padding()
-    return lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def singly(texts: list[str]) -> list:
+        found = model.encode_batch_fast(texts, add_special_tokens=False)
+        return list(map(len, found)) if lengths else [packed_ids(e.ids) for e in found]
+
+    suffix = description(path)["model"].get("end_of_word_suffix")
+    return joined(model, suffix, singly, lengths) if suffix and drops_space(path) else singly
+
+
+#: Words that are encoded as one text.
+JOINED = 200
+
+
+def joined(model, suffix: str, singly: Callable[[list[str]], list], lengths: bool) -> Callable[[list[str]], list]:
+    """Encodes words of letters many at a time, and finds where each ends by the tokens that end a word."""
+    vocabulary = model.get_vocab(with_added_tokens=False)
+    ends = np.zeros(max(vocabulary.values()) + 1, bool)
+    ends[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+
+    def encode(texts: list[str]) -> list:
+        words = [t for t in texts if t.isalpha()]
+        runs = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        known: dict[str, object] = {}
+        for run, found in zip(runs, model.encode_batch_fast(list(map(" ".join, runs)), add_special_tokens=False), strict=True):
+            ids = np.asarray(found.ids, "<u4")
+            stops = np.flatnonzero(ends[ids]) + 1
+            if len(stops) != len(run) or stops[-1] != len(ids):
+                known.update(zip(run, singly(run), strict=True))
+            elif lengths:
+                known.update(zip(run, np.diff(stops, prepend=0).tolist(), strict=True))
+            else:
+                packed, stops = ids.tobytes(), (4 * stops).tolist()
+                known.update((w, packed[a:b]) for w, a, b in zip(run, [0, *stops[:-1]], stops, strict=True))
+        rest = [t for t in texts if t not in known]
+        known.update(zip(rest, singly(rest), strict=True))
+        return [known[t] for t in texts]
+
+    return encode
+
+
+@lru_cache(maxsize=4)
+def memory(path: str, lengths: bool) -> dict[bytes, object]:
+    """What this Python worker remembers of distinct cuts, from one task to the next."""
+    return {}
+
+
+#: ASCII signs, but those of special tokens; a run of them between a letter or digit and white space shares no token with the word.
+SIGNS = bytes(c for c in range(33, 127) if not chr(c).isalnum() and chr(c) not in "<|>")
+
+
+@lru_cache(maxsize=4)
+def description(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
 
 
 def drops_space(path: str) -> bool:
     """Whether the tokenizer treats white space as a separator that yields no token."""
     if path.endswith(".model"):
         return False
-    import json
-
-    with open(path, encoding="utf-8") as f:
-        parts = json.load(f)
-    split = [p for p in (parts.get("pre_tokenizer") or {}).get("pretokenizers", []) if p.get("type") == "Split"]
+    parts = description(path).get("pre_tokenizer") or {}
+    split = [p for p in parts.get("pretokenizers", []) if p.get("type") == "Split"]
     return any(p.get("behavior") == "Removed" and "\\s" in str(p.get("pattern")) for p in split)
 
 
-class CutEncoder:
-    """Encodes texts by their cuts and remembers what each distinct cut gives.
+def lowers(path: str) -> bool:
+    """Whether the tokenizer takes A-Z as a-z, but in its special tokens."""
+    if path.endswith(".model"):
+        return False
+    parts = description(path).get("normalizer") or {}
+    return any(p.get("type") == "Lowercase" for p in parts.get("normalizers", [parts]))
 
-    ``value`` turns the ids of a cut into what is kept of it (a length, packed ids).
-    """
 
-    def __init__(self, path: str, value: Callable[[list[int]], object]):
-        self.encode, self.value = load_encoder(path), value
-        self.whole = not drops_space(path)
-        self.known: dict[bytes, object] = {}
+class CutEncoder:
+    """Encodes texts by their cuts and remembers the length, or the packed ids, of each distinct cut."""
+
+    def __init__(self, path: str, *, lengths: bool):
+        self.encode, self.known = load_encoder(path, lengths), memory(path, lengths)
+        self.whole, self.lowers = not drops_space(path), lowers(path)
 
     def cuts(self, text: bytes) -> list[bytes]:
         """Runs between ASCII white space if it is dropped, otherwise pieces of at least PIECE bytes."""
         if not self.whole:
-            return text.split()
+            return text.lower().split() if self.lowers and b"<" not in text else text.split()
         if len(text) <= PIECE:
             return [text] if text else []
         out, start = [], 0
@@ -77,19 +145,34 @@ class CutEncoder:
                 start = m.start()
         return [*out, text[start:]]
 
-    def __call__(self, texts: list[bytes]) -> list[list[object]]:
-        """The kept values of every text's cuts, in order."""
+    def __call__(self, texts: list[bytes]) -> list[list]:
+        """What is kept of every text's cuts, in order."""
         split = [self.cuts(t) for t in texts]
         known = self.known
-        new = list(set().union(*split).difference(known))
-        if new:
-            for cut, ids in zip(new, self.encode([c.decode("utf-8", "replace") for c in new]), strict=True):
-                known[cut] = self.value(ids)
-        out = [[known[c] for c in cuts] for cuts in split]
+        if new := set().union(*split).difference(known):
+            self.learn(new)
+        out = [list(map(known.__getitem__, cuts)) for cuts in split]
         if len(known) > REMEMBERED or self.whole:
             known.clear()
         return out
 
+    def learn(self, new: set[bytes]) -> None:
+        """Encodes new cuts; a word and the signs that end it are cut once more, so that each is encoded once."""
+        stems = {c: self.stem(c) for c in new} if not self.whole else {}
+        parts = {c[: len(s)] for c, s in stems.items()} | {c[len(s) :] for c, s in stems.items()} | new.difference(stems)
+        asked = list(parts.difference(self.known, (b"",)))
+        if asked:
+            self.known.update(zip(asked, self.encode([c.decode("utf-8", "replace") for c in asked]), strict=True))
+        for cut, stem in stems.items():
+            if len(stem) < len(cut):
+                self.known[cut] = self.known[stem] + self.known[cut[len(stem) :]]
+
+    @staticmethod
+    def stem(cut: bytes) -> bytes:
+        """The cut without the signs at its end, if a letter or digit of ASCII precedes them."""
+        stem = cut.rstrip(SIGNS)
+        return stem if stem and stem[-1] < 128 and stem[-1:].isalnum() else cut
+
 
 def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 2048, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = 1 << 20) -> DataFrame:
     """``id_col``, n_bytes (UTF-8), n_tokens and over_limit of each row; no shuffle.
@@ -101,7 +184,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 2048, id_col:
     """
 
     def lengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CutEncoder(tokenizer, len)
+        encoder = CutEncoder(tokenizer, lengths=True)
         for run in by_bytes(rows(batches), batch_bytes):
             ids, texts = zip(*run, strict=True)
             counts = [sum(c) for c in encoder(list(texts))]
