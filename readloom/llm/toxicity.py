@@ -67,15 +67,16 @@ def fit(words: DataFrame, scratch: Scratch, shape: Shape) -> tuple[DataFrame, Da
     sums = [F.sum("n0").alias("t0"), F.sum("n1").alias("t1"), F.count_if(F.col("n0") > 0).alias("k0"), F.count_if(F.col("n1") > 0).alias("k1")]
     contexts = scratch.keep(grams.groupBy(context.alias("h")).agg(*sums))
 
-    # Continuation counts of both classes together: in how many places with another letter before an n-gram of one length fits.
-    sized = placed.withColumn("m", F.explode(F.sequence(F.lit(1), F.least(F.col("i"), F.lit(most - 1)))))
-    first = F.col("i") - F.col("m") + 1
-    followed = sized.select(F.substring("s", first, F.col("m")).alias("g"), F.when(first > 1, F.substring("s", first - 1, F.lit(1))).otherwise("").alias("before")).distinct()
-    low = scratch.keep(followed.groupBy("g").agg(F.count("*").alias("n")))
-    letters = max(1, low.filter(F.length("g") == 1).count())
+    # Continuation counts of both classes together: n-grams of one length more that end with an n-gram, and words that start with it.
+    low: dict[int, DataFrame] = {}
+    longer = grams.filter(F.length("g") == most).select("g")
+    for m in range(most - 1, 0, -1):
+        ended = longer.select(F.expr("substring(g, 2)").alias("g")).union(grams.filter(F.length("g") == m).select("g"))
+        low[m] = scratch.keep(ended.groupBy("g").agg(F.count("*").alias("n")))
+        longer = low[m].select("g")
+    letters = max(1, low[1].count())
     shared = None
-    for m in range(1, most):
-        own = low.filter(F.length("g") == m)
+    for m, own in sorted(low.items()):
         totals = own.groupBy(context.alias("h")).agg(F.sum("n").alias("t"), F.count("*").alias("k"))
         joined = own.withColumn("h", context).join(totals, "h")
         below = F.lit(1.0 / (letters + 1))
