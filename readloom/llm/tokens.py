@@ -130,10 +130,13 @@ class CutEncoder:
 
     def __init__(self, path: str, *, lengths: bool):
         self.encode, self.known = load_encoder(path, lengths), memory(path, lengths)
-        self.whole, self.lowers = not drops_space(path), lowers(path)
+        self.whole, self.lowers, self.prefixes = not drops_space(path), lowers(path), path.endswith(".model")
 
     def cuts(self, text: bytes) -> list[bytes]:
-        """Runs between ASCII white space if it is dropped, otherwise pieces of at least PIECE bytes."""
+        """Runs between ASCII white space if it is dropped, otherwise pieces of at least PIECE bytes.
+
+        A library that puts a space before each text gets the pieces without theirs.
+        """
         if not self.whole:
             return text.lower().split() if self.lowers and b"<" not in text else text.split()
         if len(text) <= PIECE:
@@ -142,7 +145,7 @@ class CutEncoder:
         for m in BEFORE_SPACE.finditer(text):
             if m.start() - start >= PIECE:
                 out.append(text[start : m.start()])
-                start = m.start()
+                start = m.start() + self.prefixes
         return [*out, text[start:]]
 
     def __call__(self, texts: list[bytes]) -> list[list]:
