@@ -2,7 +2,7 @@
 
 Equal sets become one class. The classes are dealt to blocks by the shingles of
 their prefix (two sets that link share one), and a block's classes are points of
-an R-tree: shingles hashed into GROUPS groups and counted. The sum of coordinate
+an R-tree: shingles hashed into groups and counted. The sum of coordinate
 minima bounds what two sets share, and the pairs that survive it are verified.
 Blocks whose classes are already connected are settled and leave; that, and not
 a cap, keeps groups of thousands of near copies from growing with their square.
@@ -19,19 +19,17 @@ from pyspark.sql import functions as F
 
 from readloom.llm.arrow import as_bytes, by_bytes, rows
 from readloom.llm.components import connected
-from readloom.llm.rtree import CountTree, least_overlap
+from readloom.llm.rtree import CountTree, as_counts, folded, groups_for, least_overlap, overlap_bound, packed_counts
 from readloom.llm.scratch import Scratch
-from readloom.llm.shingles import shingle_sets
+from readloom.llm.shingles import cut_by, shingle_sets
 
-#: Coordinates of a point.
-GROUPS = 64
 #: Rows in the sample that tells frequent shingles, which come last in the order of prefixes.
-SAMPLE = 20_000
+SAMPLE = 10_000
 #: Frequent shingles that are told, and in how many sampled rows one occurs at least.
-FREQUENT, FREQUENT_ROWS = 1 << 16, 3
+FREQUENT, FREQUENT_ROWS = 1 << 16, 2
 #: Classes of a block that one task holds in a tree; larger blocks are dealt as pairs of parts.
 PART = 2048
-#: Ids that are broadcast at most; more are joined by a shuffle.
+#: Ids, or hashes of blocks, that are broadcast at most; more are joined by a shuffle.
 FEW = 4_000_000
 
 
@@ -49,9 +47,8 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
 
     def hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in by_bytes(rows(batches), 1 << 20):
-            sets = shingle_sets([lowered(t) for _, t in run], width)
-            if sets:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], names=["token"])
+            flat, _ = shingle_sets([lowered(t) for _, t in run], width)
+            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int64))], names=["token"])
 
     counts = sample.mapInArrow(hashes, "token long").groupBy("token").count().filter(F.col("count") >= FREQUENT_ROWS)
     most = counts.orderBy(F.desc("count"), "token").limit(FREQUENT).toPandas()
@@ -63,18 +60,26 @@ def features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in by_bytes(rows(batches), 1 << 20):
-            sets = shingle_sets([lowered(t) for _, t in run], width)
-            first, second, prefix, counts = [], [], [], []
-            for s in sets:
-                n = len(s)
-                first.append(int(np.bitwise_xor.reduce(s * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(1)) if n else 0))
-                second.append(int(np.add.reduce((s ^ (s >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(1) if n else 0))
-                rare = ~np.isin(s, frequent, assume_unique=True) if n and len(frequent) else np.ones(n, bool)
-                p = n + (percent * n) // -100 + 1 if n else 0
-                prefix.append(np.concatenate([s[rare], s[~rare]])[:p].view(np.int64))
-                counts.append(np.bincount((s >> np.uint64(17)).astype(np.int64) % GROUPS, minlength=GROUPS).astype("<u4").tobytes())
-            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, prefix)]), pa.int32()), pa.array(np.concatenate(prefix)))
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.int64()), pa.array(second, pa.int64()), lists, pa.array(counts, pa.binary())], names=["id", "n", "f1", "f2", "prefix", "counts"])
+            flat, sizes = shingle_sets([lowered(t) for _, t in run], width)
+            text, starts = np.repeat(np.arange(len(sizes)), sizes), np.cumsum(sizes) - sizes
+            first, second = np.zeros(len(sizes), np.uint64), np.zeros(len(sizes), np.uint64)
+            full = np.flatnonzero(sizes)
+            if len(full):
+                first[full] = np.bitwise_xor.reduceat(flat * np.uint64(0x9E3779B97F4A7C15), starts[full])
+                second[full] = np.add.reduceat((flat ^ (flat >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93), starts[full])
+            common = frequent[np.minimum(np.searchsorted(frequent, flat), len(frequent) - 1)] == flat if len(frequent) else np.zeros(len(flat), bool)
+            before = np.cumsum(~common) - ~common  # rare ones so far
+            rare_before = before - np.append(before, 0)[starts][text]
+            rare = np.bincount(text[~common], minlength=len(sizes))
+            place = np.where(common, rare[text] + (np.arange(len(flat)) - starts[text]) - rare_before, rare_before)
+            length = np.where(sizes > 0, sizes + (percent * sizes) // -100 + 1, 0)
+            taken = place < length[text]
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(flat[taken].view(np.int64)))
+            groups = groups_for(sizes)
+            bases = np.cumsum(groups) - groups
+            counts = np.bincount(bases[text] + ((flat >> np.uint64(17)).astype(np.int64) & (groups[text] - 1)), minlength=int(groups.sum()))
+            points = list(map(packed_counts, cut_by(counts, groups)))
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array(sizes), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), lists, pa.array(points, pa.binary())], names=["id", "n", "f1", "f2", "prefix", "counts"])
 
     return docs.mapInArrow(made, "id long, n long, f1 long, f2 long, prefix array<long>, counts binary")
 
@@ -86,22 +91,29 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
     the rows of a block and part lie together.
     """
 
-    def block_pairs(keys: np.ndarray, side, ids, sizes, comps, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        inside = np.flatnonzero(side != 1)
-        asks = np.flatnonzero(side != 0)
-        if not len(inside):
-            return
-        tree = CountTree(points[inside], sizes[inside], percent)
-        for i in asks:
-            if len(inside) <= 2 * 32:
-                s = sizes[inside]
-                found = inside[tree.passing(points[i], sizes[i], points[inside], s, s)]
-            else:
-                found = inside[tree.search(points[i], sizes[i])]
-            found = found[comps[found] != comps[i]]
-            found = found[(side[found] == 0) | (ids[found] < ids[i])]
-            if len(found):
-                yield np.minimum(ids[i], ids[found]), np.maximum(ids[i], ids[found])
+    def block_pairs(side, ids, sizes, comps, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        groups = np.asarray([len(p) for p in points])
+        trees: dict[tuple[int, int], tuple[np.ndarray, CountTree]] = {}
+
+        def tree(own: int, use: int) -> tuple[np.ndarray, CountTree]:
+            """The points with ``own`` groups, folded to ``use``."""
+            if (own, use) not in trees:
+                inside = np.flatnonzero((groups == own) & (side != 1))
+                stacked = folded(np.stack([points[i] for i in inside]), use) if len(inside) else None
+                trees[own, use] = inside, CountTree(stacked, sizes[inside], percent) if len(inside) else None
+            return trees[own, use]
+
+        for i in np.flatnonzero(side != 0):
+            for own in {groups[i] // 2, groups[i], groups[i] * 2}:
+                use = min(own, groups[i])
+                inside, found_by = tree(own, use)
+                if found_by is None:
+                    continue
+                found = inside[found_by.search(folded(points[i], use), sizes[i])]
+                found = found[comps[found] != comps[i]]
+                found = found[(side[found] == 0) | (ids[found] < ids[i])]
+                if len(found):
+                    yield np.minimum(ids[i], ids[found]), np.maximum(ids[i], ids[found])
 
     def searched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -109,11 +121,11 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
         def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
             block, part = table["block"].to_numpy(), table["part"].to_numpy()
             side, ids, sizes, comps = (table[c].to_numpy() for c in ("side", "id", "n", "component"))
-            points = np.frombuffer(b"".join(as_bytes(table["counts"].combine_chunks())), "<u4").reshape(-1, GROUPS).astype(np.int64)
+            points = list(map(as_counts, as_bytes(table["counts"].combine_chunks())))
             cut = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0)) + 1
             a, b = [], []
             for s, e in zip([0, *cut], [*cut, len(block)], strict=True):
-                for x, y in block_pairs(block, side[s:e], ids[s:e], sizes[s:e], comps[s:e], points[s:e]):
+                for x, y in block_pairs(side[s:e], ids[s:e], sizes[s:e], comps[s:e], points[s:e]):
                     a.append(x)
                     b.append(y)
             if a:
@@ -148,17 +160,21 @@ def parted(members: DataFrame, sizes: DataFrame) -> DataFrame:
     laid = laid.withColumn("other", other)
     low, high = F.least("own", "other"), F.greatest("own", "other")
     side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    return laid.select("block", (low * F.col("parts") + high).cast("int").alias("part"), side.alias("side"), "id", "n", "component", "counts")
+    return laid.select("block", (low * F.col("parts") + high).cast("int").alias("part"), side.alias("side"), "id", "n", "component")
+
+
+def short_list(keys: DataFrame) -> DataFrame:
+    """One column of a written table, marked for broadcasting if it is short enough."""
+    return F.broadcast(keys) if keys.count() <= FEW else keys
 
 
 def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, percent: int) -> DataFrame:
     """The pairs (a, b) whose whole sets link."""
     ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
-    few = F.broadcast(ids) if ids.count() <= FEW else ids
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in by_bytes(rows(batches), 1 << 20):
-            found = shingle_sets([lowered(t) for _, t in run], width)
+            found = cut_by(*shingle_sets([lowered(t) for _, t in run], width))
             yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "shingles"])
 
     def overlap(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +186,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, pe
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    there = scratch.keep(docs.join(few, "id", "left_semi").mapInArrow(sets, "id long, shingles binary"))
+    there = scratch.reuse(docs.join(short_list(ids), "id", "left_semi").mapInArrow(sets, "id long, shingles binary"))
     sa, sb = (there.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(overlap, "a long, b long").distinct()
 
@@ -190,22 +206,29 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     spark = docs.sparkSession
     scratch = Scratch(spark)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    made = scratch.keep(features(narrow, width, percent, frequent_shingles(narrow, width)))
+    made = scratch.reuse(features(narrow, width, percent, frequent_shingles(narrow, width)))
     named = made.filter((F.col("n") > 0) & F.col("id").isNotNull())
-    classes = scratch.keep(named.groupBy("f1", "f2", "n").agg(F.min_by(F.struct("prefix", "counts"), "id").alias("kept"), F.min("id").alias("id")))
-    points = classes.select("id", "n", "kept.counts")
-
-    prefix = classes.select("id", "n", F.explode("kept.prefix").alias("block"))
-    shared = prefix.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1")
-    members = scratch.keep(prefix.join(shared.select("block"), "block").distinct())
+    firsts = scratch.keep(named.groupBy("f1", "f2", "n").agg(F.min("id").alias("first"), F.count("*").alias("copies")))
+    copies = named.select("id", "f1", "f2", "n").join(firsts.filter("copies > 1"), ["f1", "f2", "n"]).filter("id <> first")
+    classes = named.join(short_list(scratch.keep(copies.select("id", "f1", "f2", "n").distinct())), ["id", "f1", "f2", "n"], "left_anti")
+    points = classes.select("id", "n", "counts")
+
+    prefix = classes.select("id", "n", F.explode("prefix").alias("block"))
+    shared = prefix.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1").select("block")
+    members = scratch.reuse(prefix.join(short_list(scratch.keep(shared)), "block", "left_semi").distinct())
     # Blocks with the same classes are one.
     alike = members.groupBy("block").agg(F.count("*").alias("size"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("same"))
-    blocks = scratch.keep(alike.groupBy("size", "same").agg(F.min("block").alias("block")).filter("size > 1").select("block", "size"))
-    members = scratch.keep(members.join(blocks.select("block"), "block"))
-
-    # First each class meets the smallest one of its block and of about its size.
-    banded = members.withColumn("band", F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(percent / 100))))
-    pivot = banded.groupBy("block", "band").agg(F.min(F.struct("n", "id")).alias("pivot"))
+    blocks = alike.groupBy("size", "same").agg(F.min("block").alias("block"), F.count("*").alias("alike")).filter("size > 1")
+    blocks = scratch.keep(blocks.select("block", (F.col("size") * F.col("alike")).alias("weight")))
+    weighed = scratch.reuse(members.join(blocks, "block"))
+    weights = weighed.groupBy("id").agg(F.sum("weight").alias("weight"))
+
+    # First each class meets the one of its block, and of about its size, that shares most with all others:
+    # a text that was copied with changes is nearer to the copies than they are to each other.
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(percent / 100)))
+    banded = scratch.reuse(weighed.drop("weight").join(weights, "id").withColumn("band", band))
+    pivot = banded.groupBy("block", "band").agg(F.max(F.struct("weight", "id", "n")).alias("pivot"))
+    pivot = pivot.select("block", F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("band"), "pivot")
     met = banded.join(pivot, ["block", "band"]).filter(F.col("id") != F.col("pivot.id"))
     fits = (F.col("n") * percent <= F.col("pivot.n") * 100) & (F.col("pivot.n") * percent <= F.col("n") * 100)
     met = met.filter(fits).select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b")).distinct()
@@ -213,22 +236,22 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
 
     def bounded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(as_bytes(batch[c])), "<u4").reshape(-1, GROUPS) for c in ("ca", "cb"))
             need = least_overlap(batch["na"].to_numpy(), batch["nb"].to_numpy(), percent)
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(np.minimum(x, y).sum(1) >= need))
+            most = [overlap_bound(as_counts(x), as_counts(y)) for x, y in zip(as_bytes(batch["ca"]), as_bytes(batch["cb"]), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(np.asarray(most, np.int64) >= need))
 
     met = scratch.keep(met.join(ca, "a").join(cb, "b").select("a", "b", "ca", "cb", "na", "nb").mapInArrow(bounded, "a long, b long"))
     links = scratch.keep(verified(met, narrow, scratch, width, percent))
     joined = connected(links, scratch)
 
     # Then the blocks that still hold more than one component are searched by tree.
-    labelled = banded.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    mixed = labelled.groupBy("block").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), (F.min("band") < F.max("band")).alias("bands")).filter("low < high and (size > 2 or bands)")
-    asked = parted(labelled.join(points.select("id", "counts"), "id"), mixed.select("block", "size"))
+    labelled = banded.join(joined, "id", "left").select("block", "id", "n", F.coalesce("component", "id").alias("component"))
+    mixed = labelled.groupBy("block").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).filter("size > 2 and low < high")
+    asked = parted(labelled, mixed.select("block", "size")).join(points.select("id", "counts"), "id")
     rest = candidates(asked, percent).join(met, ["a", "b"], "left_anti")
     more = verified(scratch.keep(rest), narrow, scratch, width, percent)
     whole = connected(links.union(more), scratch)
 
-    by_class = classes.select("f1", "f2", "n", "id").join(whole, "id", "left").select("f1", "f2", "n", F.coalesce("component", "id").alias("component"))
+    by_class = firsts.withColumnRenamed("first", "id").join(whole, "id", "left").select("f1", "f2", "n", F.coalesce("component", "id").alias("component"))
     out = made.select("id", "n", "f1", "f2").join(by_class, ["f1", "f2", "n"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

@@ -5,6 +5,31 @@ from __future__ import annotations
 import numpy as np
 
 LEAF, FAN = 32, 16
+#: Counts are kept in four bits; a point with a greater one says nothing, that is, each of its counts is MOST.
+MOST = 14
+
+
+def groups_for(sizes: np.ndarray) -> np.ndarray:
+    """Coordinates of a point: a power of two, about the set's size, so that counts tell sets apart at any size."""
+    return 1 << np.maximum(6, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+
+
+def packed_counts(counts: np.ndarray) -> bytes:
+    """Two counts in a byte."""
+    low = counts.astype(np.uint8) if counts.max(initial=0) <= MOST else np.full(len(counts), MOST, np.uint8)
+    return (low[0::2] | (low[1::2] << 4)).tobytes()
+
+
+def as_counts(raw: bytes) -> np.ndarray:
+    pairs = np.frombuffer(raw, np.uint8)
+    return np.stack([pairs & 15, pairs >> 4], 1).ravel()
+
+
+def folded(points: np.ndarray, groups: int) -> np.ndarray:
+    """Points with fewer groups; a group is a hash modulo their number."""
+    if points.shape[-1] == groups:
+        return points
+    return points.reshape(*points.shape[:-1], -1, groups).sum(-2, dtype=np.uint16)
 
 
 def least_overlap(a, b, percent: int):
@@ -12,6 +37,12 @@ def least_overlap(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
+def overlap_bound(x: np.ndarray, y: np.ndarray) -> int:
+    """Sum of coordinate minima, with the fewer groups of the two."""
+    use = min(len(x), len(y))
+    return int(np.minimum(folded(x, use), folded(y, use)).sum(dtype=np.int64))
+
+
 class CountTree:
     """Points are counts of a set's tokens by hashed group, so the sum of coordinate minima bounds what two sets share.
 
@@ -36,7 +67,7 @@ class CountTree:
     def passing(self, point: np.ndarray, size: int, top: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
         """Which boxes (or points, if low is high) may hold a set that links to this one."""
         fit = np.maximum(low, -(-self.percent * size // 100))
-        bound = np.minimum(top, point).sum(1)
+        bound = np.minimum(top, point).sum(1, dtype=np.int64)
         return (fit <= high) & (100 * fit <= (10000 * size) // self.percent) & (bound >= least_overlap(size, fit, self.percent))
 
     def search(self, point: np.ndarray, size: int) -> np.ndarray:

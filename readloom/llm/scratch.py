@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -25,6 +26,11 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         self.spark, self.top, self.n = spark, folder(spark), 0
 
+    @staticmethod
+    def reuse(df: DataFrame) -> DataFrame:
+        """Stored on the executors' disks when first read; the lineage stays, so what a lost executor held is made again."""
+        return df.persist(StorageLevel.DISK_ONLY)
+
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.top}/{self.n}"

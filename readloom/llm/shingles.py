@@ -41,15 +41,31 @@ def rolled(words: np.ndarray, width: int) -> np.ndarray:
     return mix(total)
 
 
-def shingle_sets(texts: list[list[bytes]], width: int = 5) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text; a shorter text is one shingle, one without words has none."""
+def shingle_sets(texts: list[list[bytes]], width: int = 5) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct shingle hashes of each text in a row, and how many each has.
+
+    A text with fewer words than ``width`` is one shingle, one without words has none.
+    """
     words, starts = hashed_words(texts)
     runs = rolled(words, width)
-    out = []
-    for a, b in zip(starts[:-1], starts[1:], strict=True):
-        n = int(b - a)
-        if n >= width:
-            out.append(np.unique(runs[a : b - width + 1]))
+    sets = []
+    for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        if b - a >= width:
+            own = runs[a : b - width + 1]
+            own.sort()
         else:
-            out.append(rolled(words[a:b], n) if n else np.zeros(0, np.uint64))
-    return out
+            own = rolled(words[a:b], b - a) if b > a else words[:0]
+        sets.append(own)
+    sizes = np.asarray([len(x) for x in sets], np.int64)
+    if not sizes.sum():
+        return np.zeros(0, np.uint64), sizes
+    flat = np.concatenate(sets)
+    text = np.repeat(np.arange(len(sets)), sizes)
+    fresh = np.ones(len(flat), bool)
+    fresh[1:] = (flat[1:] != flat[:-1]) | (text[1:] != text[:-1])
+    return flat[fresh], np.bincount(text[fresh], minlength=len(sets))
+
+
+def cut_by(flat: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """The parts of a row of arrays."""
+    return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
