@@ -111,6 +111,17 @@ ORACLES: dict[str, str] = {
             from (select distinct host, path from p) p join rules r on (p.host = r.host or ends_with(p.host, '.' || r.host)) and starts_with(p.path, r.path)
             window w as (partition by p.host, p.path order by length(r.host || r.path) desc, r.verdict desc))
         select page_id, p.host, p.path, rule, coalesce(verdict, 'allow') as verdict from p left join hit on p.host = hit.host and p.path = hit.path""",
+    "op8_jaccard_join": r"""
+        with recursive words as (
+            select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+        shingles as (
+            select distinct doc_id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' ')) when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words),
+        sizes as (select doc_id, count(*) as n from shingles group by 1),
+        pairs as (select a.doc_id as a, b.doc_id as b, count(*) as shared from shingles a join shingles b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+        links as (select a, b from pairs join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * shared >= 80 * (x.n + y.n - shared)),
+        reached(a, b) as (select doc_id, doc_id from documents union select r.a, l.b from reached r join links l on r.b = l.a)
+        select d.doc_id, coalesce(any_value(n), 0) as n_shingles, min(b) as component_id
+        from documents d join reached on a = d.doc_id left join sizes on sizes.doc_id = d.doc_id group by d.doc_id""",
     "op9_contamination": r"""
         with folded as (
             select 'd' as side, doc_id as id, text from documents union all select 'i', item_id, text from benchmark),
