@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from itertools import combinations, product
+from math import comb
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -10,8 +13,8 @@ from readloom.plans.layout import Layout
 
 #: Signs an index is made of; any other is taken as a dot.
 LETTERS = "ACGTN."
-#: Rows of the neighbourhood table that are broadcast at most.
-BROADCAST_ROWS = 200_000
+#: Rows of the neighbourhood table that are broadcast at most, and that are made on the driver at most.
+BROADCAST_ROWS, DRIVER_ROWS = 200_000, 50_000
 
 
 def neighbourhood(samples: DataFrame, max_mismatch: int) -> DataFrame:
@@ -26,6 +29,28 @@ def neighbourhood(samples: DataFrame, max_mismatch: int) -> DataFrame:
     return nearest.select("index_key", F.when(F.col("best.n") == 1, F.col("best.sample")).alias("sample"))
 
 
+def small_neighbourhood(samples: DataFrame, max_mismatch: int) -> DataFrame | None:
+    """The same table as local rows, which saves its jobs, if the sample sheet is short enough for that."""
+    sheet = samples.select("sample", "barcode").limit(DRIVER_ROWS + 1).collect()
+    longest = max((len(r["barcode"]) for r in sheet), default=0)
+    if len(sheet) * sum(comb(longest, d) * (len(LETTERS) - 1) ** d for d in range(max_mismatch + 1)) > DRIVER_ROWS:
+        return None
+    nearest: dict[str, tuple[int, str | None]] = {}
+    for r in sheet:
+        for d in range(max_mismatch + 1):
+            for places in combinations(range(len(r["barcode"])), d):
+                for letters in product(LETTERS, repeat=d):
+                    key = list(r["barcode"])
+                    for at, letter in zip(places, letters, strict=True):
+                        key[at] = letter
+                    if sum(a != b for a, b in zip(key, r["barcode"], strict=True)) == d:
+                        text = "".join(key)
+                        best = nearest.get(text, (d + 1, None))
+                        if d <= best[0]:
+                            nearest[text] = (d, r["sample"] if d < best[0] else None)
+    return samples.sparkSession.createDataFrame([(k, s) for k, (_, s) in nearest.items()], "index_key string, sample string")
+
+
 def check_samples(samples: DataFrame) -> None:
     """Barcodes must differ and have one length."""
     total, distinct, sizes = samples.agg(F.count("*"), F.countDistinct("barcode"), F.countDistinct(F.length("barcode"))).first()
@@ -38,8 +63,11 @@ def with_sample(reads: DataFrame, samples: DataFrame, max_mismatch: int) -> Data
 
     An equi-join with the neighbourhood table, so each read is probed once however many samples there are.
     """
-    table = neighbourhood(samples, max_mismatch)
-    if table.count() <= BROADCAST_ROWS:
+    table = small_neighbourhood(samples, max_mismatch)
+    if table is None:
+        table = neighbourhood(samples, max_mismatch)
+        table = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+    else:
         table = F.broadcast(table)
     keyed = reads.withColumn("index_key", F.regexp_replace("index_code", "[^ACGTN]", "."))
     return keyed.join(table, "index_key", "left").drop("index_key")

@@ -22,7 +22,9 @@ def test_neighbourhood_is_the_unique_nearest_sample(spark):
     samples = [(f"s{i}", "".join(rng.choice("ACGT") for _ in range(4))) for i in range(6)]
     samples = list({b: (s, b) for s, b in samples}.values())
     for most in (0, 1, 2):
-        got = {r[0]: r[1] for r in X.neighbourhood(spark.createDataFrame(samples, "sample string, barcode string"), most).collect()}
+        sheet = spark.createDataFrame(samples, "sample string, barcode string")
+        got = {r[0]: r[1] for r in X.neighbourhood(sheet, most).collect()}
+        assert got == {r[0]: r[1] for r in X.small_neighbourhood(sheet, most).collect()}
         for index in map("".join, product("ACGTN", repeat=4)):
             near = sorted((sum(a != b for a, b in zip(index, code, strict=True)), s) for s, code in samples)
             lone = near[0][0] <= most and (len(near) == 1 or near[1][0] > near[0][0])
@@ -40,6 +42,14 @@ def test_demux_edges(spark):
     assert all(len(r.seq) == len(r.qual) for r in got.values() if r.outcome == "assigned")
 
 
+def test_long_sheets_are_left_to_tasks(spark, monkeypatch):
+    monkeypatch.setattr(X, "DRIVER_ROWS", 3)
+    sheet = spark.createDataFrame([("one", "AAAA"), ("two", "CCCC")], "sample string, barcode string")
+    assert X.small_neighbourhood(sheet, 1) is None
+    reads = spark.createDataFrame([("ACAA",)], "index_code string")
+    assert X.with_sample(reads, sheet, 1).first().sample == "one"
+
+
 def test_samples_are_checked(spark):
     for rows in ([("a", "AC"), ("b", "AC")], [("a", "AC"), ("b", "ACG")]):
         with pytest.raises(ValueError):
