@@ -289,3 +289,19 @@ def mapping_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is mapped, by sample, replicate and read class."""
     reads = M.mapping_input(merged(spark, sf_dir), pairs(spark, sf_dir))
     return reads.groupBy("sample", "replicate", "read_class").agg(F.count("*").alias("n_reads"))
+
+
+@query(
+    """--more cut as (select rec_idx, name_f, substr(seq_f, 1, 40) as seq_f, substr(qual_f, 1, 40) as qual_f, substr(seq_f, 17 + rec_idx % 20) as other, substr(qual_f, 17 + rec_idx % 20) as other_qual from v_pairs),
+    sizes as (select unnest(range(12, 41)) as n),
+    fits as (select rec_idx, max(n) as overlap from cut join sizes on n <= least(length(seq_f), length(other)) and right(seq_f, n::int) = left(other, n::int) group by rec_idx)
+    select c.rec_idx, name_f as name, seq_f || substr(other, overlap + 1) as seq, qual_f || substr(other_qual, overlap + 1) as qual from cut c join fits f on c.rec_idx = f.rec_idx where length(seq_f) + length(other) - overlap >= 30""",
+    "v_pairs",
+)
+def mate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mates that overlap, merged."""
+    p = view(spark, sf_dir, "v_pairs")
+    other = F.expr("substring(seq_f, int(17 + rec_idx % 20))")
+    qual = F.expr("substring(qual_f, int(17 + rec_idx % 20))")
+    cut = p.select("rec_idx", "name_f", F.substring("seq_f", 1, 40).alias("seq_f"), F.substring("qual_f", 1, 40).alias("qual_f"), S.revcomp(other).alias("seq_r"), F.reverse(qual).alias("qual_r"))
+    return M.merge_mates(cut)[0]

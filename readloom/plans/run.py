@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from readloom.operators import coverage as C
 from readloom.operators import dedup as D
 from readloom.operators import demux as X
-from readloom.operators.merge import merge_aligners, pair_up
+from readloom.operators.merge import merge_aligners, merge_mates, pair_up
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
+from readloom.sources.bam import read_bam, read_bam_header, with_lines
 
 log = logging.getLogger(__name__)
 
@@ -65,21 +66,31 @@ class DemuxRun:
     max_mismatch: int = 1
     ignore_pairs: bool = False
     gzip: bool = True
+    merge_first: bool = False
+    min_insert: int = 30
 
 
 def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
     """Reads, classifies and writes pairs and merged reads; returns what was written and the statistics."""
-    if not run.ignore_pairs and not run.reverse:
+    if (run.merge_first or not run.ignore_pairs) and not run.reverse:
         raise ValueError("pairs need a reverse file")
+    if run.merge_first and run.merged:
+        raise ValueError("reads are merged here or were before, not both")
     layout = parse_layout(run.layout)
     samples = readers.read_samples(spark, run.samples)
     X.check_samples(samples)
     stages, given, found = Stages(spark, run.out), asdict(run), {}
+    pairs = merged = None
+    if run.merge_first or not run.ignore_pairs:
+        pairs = pair_up(readers.read_fastq(spark, run.forward), readers.read_fastq(spark, run.reverse))
+    if run.merge_first:
+        merged, pairs = merge_mates(pairs, min_insert=run.min_insert)
+    elif run.merged:
+        merged = readers.read_fastq(spark, run.merged)
     if not run.ignore_pairs:
-        mates = lambda: pair_up(readers.read_fastq(spark, run.forward), readers.read_fastq(spark, run.reverse))
-        found["pairs"] = stages.run("pairs", given, lambda: X.demux_pairs(mates(), samples, layout, run.max_mismatch))
-    if run.merged:
-        found["merged"] = stages.run("merged", given, lambda: X.demux_merged(readers.read_fastq(spark, run.merged), samples, layout, run.max_mismatch))
+        found["pairs"] = stages.run("pairs", given, lambda: X.demux_pairs(pairs, samples, layout, run.max_mismatch))
+    if merged is not None:
+        found["merged"] = stages.run("merged", given, lambda: X.demux_merged(merged, samples, layout, run.max_mismatch))
     for name, reads in list(found.items()):
         writers.write_fastq(reads, f"{run.out}/fastq/{name}", gzip=run.gzip)
         writers.write_bad_barcodes(X.bad_barcodes(reads), f"{run.out}/bad_barcodes/{name}")
@@ -106,7 +117,8 @@ def run_tracks(spark: SparkSession, run: TrackRun) -> dict[str, DataFrame]:
     given = {"min_mapq": run.min_mapq, "strict": run.strict, "alignments": {"/".join(k): v for k, v in run.alignments.items()}}
 
     def tagged() -> DataFrame:
-        beds = [readers.sam_to_bed(readers.read_sam(spark, path)).withColumns({c: F.lit(v) for c, v in zip(by, key, strict=True)}) for key, path in run.alignments.items()]
+        opened = lambda path: read_bam(spark, path) if path.endswith(".bam") else readers.read_sam(spark, path)
+        beds = [readers.sam_to_bed(opened(path)).withColumns({c: F.lit(v) for c, v in zip(by, key, strict=True)}) for key, path in run.alignments.items()]
         return merge_aligners(*beds)
 
     kept = stages.run("dedup", given, lambda: D.dedup_alignments(tagged(), min_mapq=run.min_mapq, strict=run.strict, by=by))
@@ -130,6 +142,8 @@ def parser() -> argparse.ArgumentParser:
     demux.add_argument("-b", "--samples", required=True)
     demux.add_argument("-o", "--out", required=True)
     demux.add_argument("--merged", help="reads that were merged before")
+    demux.add_argument("-bm", "--merge-first", action="store_true", help="merge overlapping mates first")
+    demux.add_argument("-mi", "--min-insert", type=int, default=30)
     demux.add_argument("-ub", "--layout", default="flash")
     demux.add_argument("-hm", "--max-mismatch", type=int, default=1)
     demux.add_argument("-i", "--ignore-pairs", action="store_true")
@@ -137,7 +151,7 @@ def parser() -> argparse.ArgumentParser:
     fastq = commands.add_parser("dedup-reads", help="one read for each sequence and barcode")
     fastq.add_argument("-f", "--forward", required=True)
     fastq.add_argument("-o", "--out", required=True)
-    sam = commands.add_parser("dedup-sam", help="drop duplicate alignments")
+    sam = commands.add_parser("dedup-sam", help="drop duplicate alignments of a SAM or BAM file")
     sam.add_argument("-i", "--input", required=True)
     sam.add_argument("-o", "--out", required=True)
     sam.add_argument("-k", "--bed")
@@ -150,7 +164,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("readloom").getOrCreate()
     if args.command == "demux":
-        run = DemuxRun(args.forward, args.reverse, args.samples, args.out, args.merged, args.layout, args.max_mismatch, args.ignore_pairs, not args.plain)
+        run = DemuxRun(args.forward, args.reverse, args.samples, args.out, args.merged, args.layout, args.max_mismatch, args.ignore_pairs, not args.plain, args.merge_first, args.min_insert)
         for name, df in run_demux(spark, run).items():
             if name.endswith(("_counts", "_outcomes")):
                 df.show(200, truncate=False)
@@ -160,11 +174,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         kept.select(writers.rendered(F.col("name"), F.col("seq"), F.col("qual")).alias("value")).write.mode("overwrite").text(args.out)
         D.read_stats(reads, kept).show()
     else:
-        sam = readers.read_sam(spark, args.input)
+        packed = args.input.endswith(".bam")
+        sam = with_lines(read_bam(spark, args.input)) if packed else readers.read_sam(spark, args.input)
+        header = read_bam_header(spark, args.input) if packed else readers.read_sam_header(spark, args.input)
         bed = readers.sam_to_bed(sam)
         kept = D.dedup_alignments(bed, min_mapq=args.min_mapq, strict=not args.keep_last)
         named = sam.withColumn("qname", F.element_at(F.split("qname", " "), 1))
-        writers.write_sam(readers.read_sam_header(spark, args.input), D.keep_by_name(named, kept), args.out)
+        writers.write_sam(header, D.keep_by_name(named, kept), args.out)
         if args.bed:
             writers.write_bed(kept, args.bed)
         D.alignment_stats(bed, min_mapq=args.min_mapq, strict=not args.keep_last).show()

@@ -57,6 +57,18 @@ def test_demux_run_resumes(spark, tmp_path):
     assert (tmp_path / "out/pairs/_SUCCESS").stat().st_mtime_ns != first
 
 
+def test_mates_are_merged_first(spark, tmp_path):
+    insert = "ACG" + "ACAC" + "TG" + "GATTACAGATTACCAGGTTCCA"
+    turned = insert[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    for name, seq in (("f", insert), ("r", turned)):
+        (tmp_path / f"{name}.fastq").write_text(fastq([("@a b", seq, "I" * len(seq)), ("@c d", "A" * 20, "I" * 20)]))
+    args = ["demux", "-f", str(tmp_path / "f.fastq"), "-r", str(tmp_path / "r.fastq"), "-b", sheet(tmp_path), "-o", str(tmp_path / "out"), "-ub", "iclip", "-bm"]
+    R.main(args, spark)
+    merged = spark.read.parquet(str(tmp_path / "out/merged")).collect()
+    assert [(r.sample, r.seq, r.name) for r in merged] == [("one", insert[9:], "@a:ACGTG b")]
+    assert spark.read.parquet(str(tmp_path / "out/pairs")).count() == 1
+
+
 SAM = """@HD\tVN:1.0
 @SQ\tSN:chr2\tLN:900
 @SQ\tSN:chr1\tLN:900
