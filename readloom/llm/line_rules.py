@@ -82,7 +82,10 @@ def repeated_words(words: list[bytes], window: int) -> int:
 
 
 def clean(text: str, limits: Limits) -> tuple[str, dict[str, int], int, int, int]:
-    """Cleaned text, lines that fell by rule, visible bytes, those lost, and lines equal to an earlier one."""
+    """Cleaned text, lines that fell by rule, visible bytes, those lost, and lines equal to an earlier one.
+
+    One line of boilerplate, such as a licence, is no loss.
+    """
     kept, faults = [], {"punctuation": 0, "navigation": 0, "boilerplate": 0, "repeated": 0}
     seen: set[str] = set()
     there = lost = again = 0
@@ -97,7 +100,7 @@ def clean(text: str, limits: Limits) -> tuple[str, dict[str, int], int, int, int
         seen.add(line)
         if fault:
             faults[fault] += 1
-            lost += size
+            lost += size if fault != "boilerplate" or faults[fault] > 1 else 0
         else:
             kept.append(line)
     return "\n".join(kept), faults, there, lost, again
@@ -111,7 +114,7 @@ def quality_rules(docs: DataFrame, *, limits: Limits = Limits(), id_col: str = "
 
     Lines that break the punctuation, navigation, boilerplate or repetition rule
     go; a document is kept if it passes the base limits and loses no more than
-    ``limits.lost`` percent of its visible text. A null or empty text has no
+    ``limits.lost`` percent of its visible text, one line of boilerplate aside. A null or empty text has no
     words, fails the base limits and cleans to an empty text. Repeated rows give
     repeated results; a null id stays null; other columns are not read; an empty
     table gives an empty result. A task holds one batch or the longest text.
