@@ -5,6 +5,17 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import SparkSession
+
+#: Rows of an Arrow batch that goes to Python at most; texts are long, and both sides hold whole batches.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's limit of rows in an Arrow batch to BATCH_ROWS."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
 
 
 def as_bytes(column: pa.Array) -> list[bytes]:

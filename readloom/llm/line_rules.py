@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.arrow import by_bytes, rows
+from readloom.llm.arrow import by_bytes, rows, small_batches
 from readloom.llm.tokens import arrow_type
 
 SPACE = b" \t\n\v\f\r"
@@ -136,6 +136,7 @@ def quality_rules(docs: DataFrame, *, limits: Limits = Limits(), id_col: str = "
 
     names = ["id", *(c.split()[0] for c in OUT.split(", "))]
     kinds = [{"long": pa.int64(), "boolean": pa.bool_(), "string": pa.string(), "double": pa.float64()}[c.split()[1]] for c in OUT.split(", ")]
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = arrow_type(narrow, "id")
     return narrow.mapInArrow(judged, f"id {narrow.schema['id'].dataType.simpleString()}, {OUT}").withColumnRenamed("id", id_col)

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.arrow import by_bytes, rows
+from readloom.llm.arrow import by_bytes, rows, small_batches
 from readloom.llm.tokens import CutEncoder, arrow_type, packed_ids
 
 #: Tokens that one group of sequences holds; a task packs its rows group after group.
@@ -112,6 +112,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int =
         if group:
             yield flush()
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = arrow_type(narrow, "id")
     kind = narrow.schema["id"].dataType.simpleString()

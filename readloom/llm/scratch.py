@@ -8,6 +8,8 @@ import uuid
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from readloom.llm.arrow import small_batches
+
 
 def folder(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir; a local session without that setting gets a temporary one."""
@@ -24,6 +26,7 @@ class Scratch:
     """Writes tables that are read more than once, which also cuts their lineage."""
 
     def __init__(self, spark: SparkSession):
+        small_batches(spark)
         self.spark, self.top, self.n = spark, folder(spark), 0
 
     @staticmethod

@@ -14,16 +14,17 @@ import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from readloom.llm.arrow import by_bytes, rows
+from readloom.llm.arrow import by_bytes, rows, small_batches
 
-#: Distinct cuts that one Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 2_000_000
+#: Distinct cuts that one Python worker remembers; beyond it only the first half stays, which has the common ones.
+REMEMBERED = 300_000
 #: Before a single space between two visible characters; for tokenizers that keep white space.
 BEFORE_SPACE = re.compile(rb"(?<=[!-~])(?= [!-~])")
 #: Pieces of a text that keeps its white space, in bytes, at least.
@@ -155,8 +156,12 @@ class CutEncoder:
         if new := set().union(*split).difference(known):
             self.learn(new)
         out = [list(map(known.__getitem__, cuts)) for cuts in split]
-        if len(known) > REMEMBERED or self.whole:
+        if self.whole:
             known.clear()
+        elif len(known) > REMEMBERED:
+            first = dict(islice(known.items(), REMEMBERED // 2))
+            known.clear()
+            known.update(first)
         return out
 
     def learn(self, new: set[bytes]) -> None:
@@ -193,6 +198,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, *, limit: int = 2048, id_col:
             counts = [sum(c) for c in encoder(list(texts))]
             yield pa.RecordBatch.from_arrays([pa.array(ids, id_type), pa.array([len(t) for t in texts], pa.int64()), pa.array(counts, pa.int64())], names=["id", "n_bytes", "n_tokens"])
 
+    small_batches(docs.sparkSession)
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = arrow_type(narrow, "id")
     counted = narrow.mapInArrow(lengths, f"id {narrow.schema['id'].dataType.simpleString()}, n_bytes long, n_tokens long")

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -25,8 +26,8 @@ from readloom.llm.scratch import Scratch
 from readloom.llm.shingles import PLACES, mix
 from readloom.llm.tokens import arrow_type
 
-#: Words whose ratio one Python worker remembers; beyond it the memory starts anew.
-REMEMBERED = 1_000_000
+#: Words whose ratio one Python worker remembers; beyond it only the first half stays, which has the common ones.
+REMEMBERED = 300_000
 
 
 class Shape(NamedTuple):
@@ -157,7 +158,7 @@ class Ratios:
             ratios = list(map(self.known.__getitem__, words))
             out.append(sum(r for r in ratios if r > clear) / len(words) ** 0.5 if words else 0.0)
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
         return out
 
 
