@@ -18,6 +18,9 @@ from readloom.llm.pii import find_personal_data
 from readloom.llm.queries import PIECE_COLUMNS, TOKENIZER, table
 from readloom.llm.scratch import Scratch
 
+#: Words that a packing task remembers; fewer than by default, since its executors have the other stages' memory too.
+REMEMBERED = 300_000
+
 
 def with_text(docs: DataFrame, changed: DataFrame, text: str) -> DataFrame:
     """The columns of ``docs`` around a new text; ``changed`` has them, but text and n_chars, in ``row``."""
@@ -56,7 +59,7 @@ def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack(docs, TOKENIZER).select(*PIECE_COLUMNS)
+    return pack(docs, TOKENIZER, remembered=REMEMBERED).select(*PIECE_COLUMNS)
 
 
 STAGES = [

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.llm.arrow import by_bytes, rows, small_batches
-from readloom.llm.tokens import CutEncoder, arrow_type, packed_ids
+from readloom.llm.tokens import REMEMBERED, CutEncoder, arrow_type, packed_ids
 
 #: Tokens that one group of sequences holds; a task packs its rows group after group.
 GROUP_TOKENS = 1 << 22
@@ -74,18 +74,19 @@ def pack_lengths(lengths: list[int], capacity: int, linear: float = LINEAR, quad
     return pieces
 
 
-def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", group_tokens: int = GROUP_TOKENS) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, *, capacity: int = 2048, end_id: int = 1, id_col: str = "doc_id", text_col: str = "text", group_tokens: int = GROUP_TOKENS, remembered: int = REMEMBERED) -> DataFrame:
     """One row per piece: ``id_col``, start, length, ids_crc32, doc_tokens, sequence_id, offset, sequence_tokens.
 
     Each task packs what it reads, in groups of about ``group_tokens`` tokens, so
-    nothing is shuffled and memory does not grow with the table. A null or empty
+    nothing is shuffled and memory does not grow with the table; a worker
+    remembers ``remembered`` distinct words, which takes memory for speed. A null or empty
     text is one piece with the end id alone; repeated rows are packed as often
     as they come; a null id stays null; other columns are not read; an empty
     table gives no rows. sequence_id is unique: task number and a counter.
     """
 
     def packed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = CutEncoder(tokenizer, lengths=False)
+        encoder = CutEncoder(tokenizer, lengths=False, remembered=remembered)
         end = packed_ids([end_id])
         first = TaskContext.get().partitionId() << 32
         group: list[tuple[object, bytes]] = []

@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from readloom.llm.arrow import by_bytes, rows, small_batches
 
-#: Distinct cuts that one Python worker remembers; beyond it only the first half stays, which has the common ones.
-REMEMBERED = 300_000
+#: Distinct cuts that one Python worker remembers, unless told otherwise; beyond it only the first half stays, which has the common ones.
+REMEMBERED = 800_000
 #: Before a single space between two visible characters; for tokenizers that keep white space.
 BEFORE_SPACE = re.compile(rb"(?<=[!-~])(?= [!-~])")
 #: Pieces of a text that keeps its white space, in bytes, at least.
@@ -129,8 +129,9 @@ def lowers(path: str) -> bool:
 class CutEncoder:
     """Encodes texts by their cuts and remembers the length, or the packed ids, of each distinct cut."""
 
-    def __init__(self, path: str, *, lengths: bool):
+    def __init__(self, path: str, *, lengths: bool, remembered: int = REMEMBERED):
         self.encode, self.known = load_encoder(path, lengths), memory(path, lengths)
+        self.remembered = remembered
         self.whole, self.lowers, self.prefixes = not drops_space(path), lowers(path), path.endswith(".model")
 
     def cuts(self, text: bytes) -> list[bytes]:
@@ -158,8 +159,8 @@ class CutEncoder:
         out = [list(map(known.__getitem__, cuts)) for cuts in split]
         if self.whole:
             known.clear()
-        elif len(known) > REMEMBERED:
-            first = dict(islice(known.items(), REMEMBERED // 2))
+        elif len(known) > self.remembered:
+            first = dict(islice(known.items(), self.remembered // 2))
             known.clear()
             known.update(first)
         return out
