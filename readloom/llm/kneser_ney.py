@@ -1,17 +1,20 @@
 """Operator 7: quality by an interpolated modified Kneser-Ney trigram model of trusted text.
 
 Counts, continuation counts, discounts and probabilities are made by aggregates
-and joins that are sharded by n-gram hash. The finished tables are bounded by
-TRAIN_BYTES of trusted text, so each task holds them and looks its texts' n-grams
-up; thresholds are quantiles of the perplexity of trusted rows, by language.
+and joins that are sharded by n-gram hash, over all trusted text. Texts become
+blocks, kept in the shared folder; each block's distinct n-grams get their values
+by a join with these tables, which no task holds whole. Thresholds are quantiles
+of the perplexity of trusted rows, by language.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,9 +22,12 @@ from readloom.llm.arrow import as_bytes, by_bytes, rows
 from readloom.llm.jaccard_join import FEW
 from readloom.llm.scratch import Scratch
 from readloom.llm.shingles import hashed_words, rolled
+from readloom.llm.tokens import arrow_type
 
-#: Bytes of trusted text that the model learns from at most, about.
-TRAIN_BYTES = 4 << 20
+#: Text bytes of a block; a longer text is a block of its own.
+BLOCK_BYTES = 4 << 20
+#: Bytes of training text whose n-grams are counted together before they leave a task, about.
+COUNTED_BYTES = 4 << 20
 #: Before a text and after it; no word holds a space.
 START, END = b" s", b" e"
 
@@ -41,10 +47,12 @@ def trigrams(docs: DataFrame) -> DataFrame:
     names = ["g3", "c2", "g2", "c1", "w"]
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in by_bytes(rows(batches), 1 << 20):
-            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in grams_of([t for _, t in run])[:5]], names=names)
+        for run in by_bytes(rows(batches), COUNTED_BYTES):
+            found = grams_of([t for _, t in run])[:5]
+            _, at, n = np.unique(found[0], return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([*(pa.array(x[at].view(np.int64)) for x in found), pa.array(n)], names=[*names, "n"])
 
-    return docs.select("id", "text").mapInArrow(cut, ", ".join(f"{n} long" for n in names)).groupBy(*names).agg(F.count("*").alias("n"))
+    return docs.select("id", "text").mapInArrow(cut, ", ".join(f"{n} long" for n in [*names, "n"])).groupBy(*names).agg(F.sum("n").alias("n"))
 
 
 def discounts(counts: DataFrame) -> tuple[float, float, float]:
@@ -63,8 +71,8 @@ def discounted(counts: DataFrame, key: str) -> tuple[Column, DataFrame]:
     return taken, counts.groupBy(key).agg(F.sum("n").alias("total"), (F.sum(taken) / F.sum("n")).alias("left"))
 
 
-def fit(docs: DataFrame, scratch: Scratch) -> tuple[dict[str, tuple[np.ndarray, np.ndarray]], float]:
-    """log10 probabilities and backoff weights by hash, and that of a word never seen."""
+def model_of(docs: DataFrame, scratch: Scratch) -> tuple[dict[str, DataFrame], float]:
+    """Tables k, v of log10 probabilities and backoff weights by hash, and that of a word never seen."""
     tri = scratch.keep(trigrams(docs))
     bi = scratch.keep(tri.groupBy("g2", "c1", "w").agg(F.count("*").alias("n")))
     uni = scratch.keep(bi.groupBy("w").agg(F.count("*").alias("n")))
@@ -78,16 +86,67 @@ def fit(docs: DataFrame, scratch: Scratch) -> tuple[dict[str, tuple[np.ndarray,
     taken3, before3 = discounted(tri, "c2")
     three = tri.join(before3, "c2").join(two, "g2").select("g3", ((F.col("n") - taken3) / F.col("total") + F.col("left") * F.col("p2")).alias("p3"))
 
-    def table(df: DataFrame, key: str, value: str) -> tuple[np.ndarray, np.ndarray]:
-        found = df.select(F.col(key).alias("k"), F.log10(value).cast("float").alias("v")).toArrow()
-        keys = found["k"].to_numpy().view(np.uint64)
-        order = np.argsort(keys)
-        return keys[order], found["v"].to_numpy()[order]
+    def table(df: DataFrame, key: str, value: str) -> DataFrame:
+        return df.select(F.col(key).alias("k"), F.log10(value).cast("float").alias("v"))
 
     tables = {"g3": table(three, "g3", "p3"), "c2": table(before3, "c2", "left"), "g2": table(two, "g2", "p2"), "c1": table(before2, "c1", "left"), "w": table(one, "w", "p1")}
     return tables, float(np.log10(left / (types + 1)))
 
 
+def in_order(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = keys.view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], values[order]
+
+
+def fit(docs: DataFrame, scratch: Scratch) -> tuple[dict[str, tuple[np.ndarray, np.ndarray]], float]:
+    """``model_of`` a few texts, as arrays on the driver."""
+    tables, unseen = model_of(docs, scratch)
+    found = {name: df.toArrow() for name, df in tables.items()}
+    return {name: in_order(t["k"].to_numpy(), t["v"].to_numpy()) for name, t in found.items()}, unseen
+
+
+def blocks_of(docs: DataFrame) -> DataFrame:
+    """One row per block: ids, langs and texts. ``docs``: id, lang, text."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, size = TaskContext.get().partitionId() << 24, [], 0
+
+        def one() -> pa.RecordBatch:
+            columns = (pa.concat_arrays([b[c] for b in held]) for c in ("id", "lang", "text"))
+            lists = [pa.ListArray.from_arrays(pa.array([0, len(c)], pa.int32()), c) for c in columns]
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), *lists], names=["block", "ids", "langs", "texts"])
+
+        for b in batches:
+            start = 0
+            for run in by_bytes(enumerate(as_bytes(b["text"])), BLOCK_BYTES):
+                own = sum(len(t) for _, t in run)
+                if held and size + own > BLOCK_BYTES:
+                    yield one()
+                    block, held, size = block + 1, [], 0
+                held.append(b.slice(start, len(run)))
+                start, size = start + len(run), size + own
+        if held:
+            yield one()
+
+    id_type = docs.schema["id"].dataType.simpleString()
+    return docs.select("id", "lang", "text").mapInArrow(cut, f"block long, ids array<{id_type}>, langs array<string>, texts array<string>")
+
+
+def asked(blocks: DataFrame) -> DataFrame:
+    """block, k: the distinct hashes that each block looks up."""
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i in range(b.num_rows):
+                keys = np.unique(np.concatenate(grams_of(as_bytes(b["texts"].slice(i, 1).flatten()))[:5])).view(np.int64)
+                for s in range(0, len(keys), 1 << 17):
+                    part = keys[s : s + (1 << 17)]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), b["block"][i].as_py(), np.int64)), pa.array(part)], names=["block", "k"])
+
+    return blocks.select("block", "texts").mapInArrow(cut, "block long, k long")
+
+
 def looked_up(table: tuple[np.ndarray, np.ndarray], keys: np.ndarray, otherwise: float) -> tuple[np.ndarray, np.ndarray]:
     """Values of the keys, and which keys the table has."""
     known, values = table
@@ -111,12 +170,12 @@ def log_probability(tables: dict[str, tuple[np.ndarray, np.ndarray]], unseen: fl
     return np.bincount(text, weights=value, minlength=len(texts)), np.bincount(text, minlength=len(texts))
 
 
-def judge_quality(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.998, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality") -> DataFrame:
+def judge_quality(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", label_col: str = "quality") -> DataFrame:
     """``id_col``, ``lang_col``, n_tokens, perplexity, threshold and kept of every row.
 
     Trusted rows are those that ``labels`` gives a ``label_col`` of 1 (and none
-    of 0). The model learns from a share of four fifths of them, chosen by a
-    hash of the id and bounded by TRAIN_BYTES; a language's threshold is the
+    of 0). The model learns from four fifths of them, chosen by a
+    hash of the id; a language's threshold is the
     ``quantile`` of all of the other fifth, and a language without such rows has
     that of all languages. A row is kept if its perplexity is not over the
     threshold; without any trusted row all are. A null or empty text has a null perplexity and is not
@@ -131,23 +190,29 @@ def judge_quality(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.998
     few = F.broadcast(trusted) if trusted.count() <= FEW else trusted
     apart = F.pmod(F.xxhash64("id", F.lit("apart")), F.lit(5)) == 0
     usable = narrow.join(few.select("id"), "id", "left_semi").filter(~apart)
-    share = min(1.0, TRAIN_BYTES / max(1, usable.agg(F.sum(F.octet_length("text"))).first()[0] or 1))
-    tables, unseen = fit(usable.filter(F.pmod(F.xxhash64("id", F.lit("learnt")), F.lit(1 << 20)) < int(share * (1 << 20))), scratch)
-    model = spark.sparkContext.broadcast(tables)
+    tables, unseen = model_of(usable, scratch)
+    # Hashes of words, pairs and triples do not meet, so one table has all probabilities and one all weights.
+    parts = [df.select("k", F.lit(name[0] == "c").alias("weight"), "v") for name, df in tables.items()]
+    model = reduce(DataFrame.union, parts)
+    blocks = scratch.keep(blocks_of(narrow))
     id_type = narrow.schema["id"].dataType.simpleString()
-
-    def scored(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = as_bytes(b["text"])
-            start = 0
-            for run in by_bytes(((i, t) for i, t in enumerate(texts)), 1 << 20):
-                value, n = log_probability(model.value, unseen, [t for _, t in run])
-                worded = np.asarray([bool(t.strip(b" \t\n\v\f\r")) for _, t in run])
-                perplexity = pa.array(10 ** np.minimum(-value / n, 300), mask=~worded)
-                yield pa.RecordBatch.from_arrays([b["id"].slice(start, len(run)), b["lang"].slice(start, len(run)), pa.array(n, pa.int64()), perplexity], names=["id", "lang", "n_tokens", "perplexity"])
-                start += len(run)
-
-    found = scratch.reuse(narrow.select("id", "lang", "text").mapInArrow(scored, f"id {id_type}, lang string, n_tokens long, perplexity double"))
+    out = [("id", arrow_type(narrow, "id")), ("lang", pa.string()), ("n_tokens", pa.int64()), ("perplexity", pa.float64())]
+
+    def scored(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return pa.table({c: pa.array([], t) for c, t in out})
+        row = left.combine_chunks().to_batches()[0]
+        keys, values, weight = (right[c].to_numpy() for c in ("k", "v", "weight"))
+        p, back = (in_order(keys[weight == is_weight], values[weight == is_weight]) for is_weight in (False, True))
+        texts = as_bytes(row["texts"].flatten())
+        value, n = log_probability({"g3": p, "c2": back, "g2": p, "c1": back, "w": p}, unseen, texts)
+        worded = np.asarray([bool(t.strip(b" \t\n\v\f\r")) for t in texts])
+        perplexity = pa.array(10 ** np.minimum(-value / n, 300), mask=~worded)
+        return pa.Table.from_arrays([row["ids"].flatten(), row["langs"].flatten(), pa.array(n, pa.int64()), perplexity], names=[c for c, _ in out])
+
+    answers = asked(blocks).join(model, "k").groupBy("block")
+    grouped = blocks.groupBy("block").cogroup(answers)
+    found = scratch.reuse(grouped.applyInArrow(scored, f"id {id_type}, lang string, n_tokens long, perplexity double"))
     kept_apart = found.filter(apart & F.col("perplexity").isNotNull()).join(few.select("id"), "id", "left_semi")
     at = F.percentile_approx("perplexity", quantile, 10_000)
     by_lang = kept_apart.groupBy(F.coalesce("lang", F.lit("")).alias("key")).agg(at.alias("own"))

@@ -100,6 +100,20 @@ def test_quality_edges(spark):
     assert all(r.kept for r in judge_quality(docs.filter("doc_id < 40"), labels.limit(0)).collect())
 
 
+def test_quality_learns_from_all_trusted_text(spark):
+    """7 MB of trusted text in long words: scores are those of a model of all of it but the fifth that is held apart."""
+    texts = {i: " ".join(f"{i % 690}-{i % 7 if j % 4 == 0 else j}".ljust(1000, "z") for j in range(10)) for i in range(700)}
+    docs = documents(spark, texts).withColumn("lang", F.lit("en"))
+    labels = docs.selectExpr("doc_id", "1 as quality")
+    got = {r.doc_id: r.perplexity for r in judge_quality(docs, labels).collect()}
+    usable = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("apart")), F.lit(5)) != 0)
+    learnt = {r.doc_id for r in usable.select("doc_id").collect()}
+    assert sum(len(texts[i]) for i in learnt) > 4 << 20
+    tables, unseen = fit(usable.selectExpr("doc_id as id", "text"), Scratch(spark))
+    values, n = log_probability(tables, unseen, [t.encode() for t in texts.values()])
+    assert all(math.isclose(got[i], 10 ** (-v / k), rel_tol=1e-6) for i, v, k in zip(texts, values, n, strict=True))
+
+
 def test_toxicity_query(spark):
     rows = {r.doc_id: r for r in QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.01").collect()}
     assert {i: r.held_out for i, r in rows.items()} == {i: crc(i) % 4 == 2 for i in rows}
