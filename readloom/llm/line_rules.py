@@ -39,6 +39,17 @@ class Limits(NamedTuple):
     markup: int = 10
     separators: int = 3
     shouted_words: int = 4
+    notice_words: int = 20
+    notice_bytes: int = 200
+
+
+def is_notice(line: str, n_words: int, visible: int, limits: Limits) -> bool:
+    """Whether a line with a phrase of boilerplate is short or mostly such phrases; a paragraph that mentions one is neither."""
+    if not BOILERPLATE.search(line):
+        return False
+    if n_words <= limits.notice_words and visible <= limits.notice_bytes:
+        return True
+    return 2 * sum(len(m[0].encode().translate(None, SPACE)) for m in BOILERPLATE.finditer(line)) >= visible
 
 
 def line_fault(line: str, earlier: set[str], limits: Limits) -> str | None:
@@ -53,7 +64,7 @@ def line_fault(line: str, earlier: set[str], limits: Limits) -> str | None:
         return "punctuation"
     if len(words) >= limits.shouted_words and (line.isupper() or 2 * len(RUN_OF_MARKS.findall(line)) > len(words)):
         return "punctuation"
-    if BOILERPLATE.search(line):
+    if is_notice(line, len(words), visible, limits):
         return "boilerplate"
     if line in earlier or 2 * sum(map(str.__eq__, words, words[1:])) > max(len(words), limits.shouted_words):
         return "repeated"
@@ -84,11 +95,12 @@ def repeated_words(words: list[bytes], window: int) -> int:
 def clean(text: str, limits: Limits) -> tuple[str, dict[str, int], int, int, int]:
     """Cleaned text, lines that fell by rule, visible bytes, those lost, and lines equal to an earlier one.
 
-    One line of boilerplate, such as a licence, is no loss.
+    The first line of boilerplate, such as a licence, is no loss if it is short
+    and at most ``limits.lost`` percent of the visible text.
     """
     kept, faults = [], {"punctuation": 0, "navigation": 0, "boilerplate": 0, "repeated": 0}
     seen: set[str] = set()
-    there = lost = again = 0
+    there = lost = again = spared = 0
     for line in text.split("\n"):
         size = len(line.encode().translate(None, SPACE))
         if not size:
@@ -100,9 +112,14 @@ def clean(text: str, limits: Limits) -> tuple[str, dict[str, int], int, int, int
         seen.add(line)
         if fault:
             faults[fault] += 1
-            lost += size if fault != "boilerplate" or faults[fault] > 1 else 0
+            if fault == "boilerplate" and faults[fault] == 1 and size <= limits.notice_bytes:
+                spared = size
+            else:
+                lost += size
         else:
             kept.append(line)
+    if 100 * spared > limits.lost * there:
+        lost += spared
     return "\n".join(kept), faults, there, lost, again
 
 
@@ -114,8 +131,8 @@ def quality_rules(docs: DataFrame, *, limits: Limits = Limits(), id_col: str = "
 
     Lines that break the punctuation, navigation, boilerplate or repetition rule
     go; a document is kept if it passes the base limits and loses no more than
-    ``limits.lost`` percent of its visible text, one line of boilerplate aside. A null or empty text has no
-    words, fails the base limits and cleans to an empty text. Repeated rows give
+    ``limits.lost`` percent of its visible text, one short line of boilerplate
+    aside that is no more than that either. A null or empty text has no words, fails the base limits and cleans to an empty text. Repeated rows give
     repeated results; a null id stays null; other columns are not read; an empty
     table gives an empty result. A task holds one batch or the longest text.
     """

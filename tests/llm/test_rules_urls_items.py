@@ -54,6 +54,20 @@ def test_rules(spark):
     assert quality_rules(documents(spark, TEXTS).limit(0)).count() == 0
 
 
+def test_boilerplate_takes_no_paragraph(spark):
+    paragraph = "You can read more about what the village was like before the river rose, since " + " ".join(f"witness{i} told us about day {i}" for i in range(20)) + "."
+    phrases = "Privacy policy Terms of use Click here Read more " * 12
+    notice = "Click here to sign in to this site and read more on our privacy policy or what we call our newsletter and share this"
+    texts = {1: paragraph, 2: f"{paragraph}\nAll rights reserved.", 3: f"{notice}.", 4: f"{phrases}\n{CLEAN}", 5: f"{notice[:60]}\nSome words that are said to follow a notice of one line here.", 6: f"{notice}\n{CLEAN}"}
+    got = {r.doc_id: r for r in quality_rules(documents(spark, texts)).collect()}
+    assert got[1].kept and got[1].clean_text == paragraph and got[1].n_boilerplate == 0
+    assert got[2].kept and got[2].clean_text == paragraph and got[2].lost_percent == 0
+    assert not got[3].base_failed and not got[3].kept and got[3].lost_percent > 30
+    assert got[4].n_boilerplate == 1 and not got[4].kept and got[4].lost_percent > 50
+    assert got[5].n_boilerplate == 1 and not got[5].kept and got[5].lost_percent > 30
+    assert got[6].n_boilerplate == 1 and not got[6].kept and got[6].lost_percent > 30
+
+
 def test_repeated_windows():
     assert repeated_words([b"a"] * 9, 8) == 9
     assert repeated_words([b"%d" % (i % 10) for i in range(21)], 8) == 21
