@@ -3,8 +3,9 @@
 Patterns propose spans of four kinds. Those of the base patterns that pass their
 checks always count. Looser patterns propose more; boosted trees over format and
 context features, fitted on base spans against matches that failed their checks,
-score these, and a threshold for each kind, calibrated on rows the trees have not
-seen, selects the ones to redact.
+score these, and a threshold for each kind, calibrated on matches the trees have not
+seen, selects the ones to redact. A base e-mail always counts, so e-mails have
+examples of their own: base and looser matches, labelled by their form.
 """
 
 from __future__ import annotations
@@ -35,6 +36,9 @@ LOOSE = {
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[._/ -]{1,2}[0-9]{4}){3}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
 }
+#: Form of an e-mail address and of one with its signs in brackets: the last part of the domain has letters only.
+FORM = r"@.*\.[A-Za-z]{2,24}$"
+OBFUSCATED = r"(?i)[\[(]at[\])].*(?:\.|[\[(]dot[\])] ?| dot )[a-z]{2,24}$"
 #: What a text must hold for a pattern to be tried.
 NEEDS = {"base": {"email": "@", "phone": "+"}, "loose": {}}
 HELPFUL = r"(?i)e-?mail|contact|phone|\btel\b|\bcall\b|\bfax\b|\bcard\b|visa|server|\bhost\b|address|\bip\b"
@@ -42,13 +46,13 @@ HARMFUL = r"(?i)token|\bkey\b|hash|\bid\b|version|\bdoi\b|isbn|="
 
 
 class Boosting(NamedTuple):
-    """Parameters of the trees and of what they are fitted on."""
+    """Parameters of the trees; ``default`` is the least margin (log odds) for a kind without held-out examples of both labels."""
 
-    sampled_rows: int = 20_000
     rounds: int = 6
     rate: float = 0.5
     ridge: float = 1.0
     precision: float = 0.98
+    default: float = 0.0
 
 
 class Split(NamedTuple):
@@ -131,14 +135,18 @@ def features(text: Column, kind: str, span: Column) -> Column:
         sign_class(F.substring(text, end + 1, F.lit(1))),
         F.when(before.rlike(HARMFUL), 2).when(before.rlike(HELPFUL), 1).otherwise(0),
         F.least(F.length(F.regexp_extract(match, r"(?:\.|dot\W{0,2})([A-Za-z]+)$", 1)), F.lit(8)),
+        F.when(F.contains(match, F.lit("@")), 0).when(match.rlike(r"(?i)[\[(]at[\])]"), 1).otherwise(2),
     )
 
 
 def spans(text: Column, patterns: dict[str, str], needs: dict[str, str], source: str) -> list[Column]:
     """For each kind its candidates: array of (start, end, rank, match, passed, source)."""
 
+    def checked(kind: str, match: Column) -> Column:
+        return match.rlike(OBFUSCATED) if (source, kind) == ("loose", "email") else valid(kind, match)
+
     def shaped(kind: str) -> Column:
-        return F.transform(cut_out(text, patterns[kind], needs.get(kind)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(KINDS.index(kind)).alias("rank"), s["match"].alias("match"), valid(kind, s["match"]).alias("passed")))
+        return F.transform(cut_out(text, patterns[kind], needs.get(kind)), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.lit(KINDS.index(kind)).alias("rank"), s["match"].alias("match"), checked(kind, s["match"]).alias("passed")))
 
     return [shaped(kind).alias(f"{source}_{kind}") for kind in KINDS]
 
@@ -204,13 +212,14 @@ def fit_trees(examples: DataFrame, how: Boosting) -> list:
 
 
 def calibrate(examples: DataFrame, trees: list, how: Boosting) -> dict[int, float]:
-    """For each kind the least margin at which held-out examples reach the precision; none without examples of both labels."""
+    """For each kind the least margin at which held-out examples reach the precision, if any does; ``how.default`` without examples of both labels."""
     told = examples.groupBy(F.col("f")[0].alias("rank"), (F.floor(1000 * margin(trees, F.col("f"))) / 1000).alias("m")).agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()
-    floor, out = log(how.precision / (1 - how.precision)), {}
+    floor, out = log(how.precision / (1 - how.precision)), dict.fromkeys(range(len(KINDS)), how.default)
     for rank in {r["rank"] for r in told}:
         own = sorted((r for r in told if r["rank"] == rank), key=lambda r: -r["m"])
         if sum(r["good"] for r in own) in (0, sum(r["n"] for r in own)):
             continue
+        del out[rank]
         good = n = 0
         for r in own:
             good, n = good + r["good"], n + r["n"]
@@ -227,12 +236,14 @@ def proposed(docs: DataFrame) -> DataFrame:
 
 
 def examples(candidates: DataFrame) -> DataFrame:
-    """Feature arrays of base matches, labelled by their checks; a third is held out for the thresholds."""
+    """Feature arrays of base matches and of looser e-mails, labelled by their checks or form; a third is held out for the thresholds."""
 
-    def shaped(kind: str) -> Column:
-        return F.transform(f"base_{kind}", lambda s: F.struct(features(F.col("marked"), kind, s).alias("f"), s["passed"].cast("int").alias("label"), F.pmod(F.xxhash64(s["match"]), F.lit(3)).alias("fold")))
+    def shaped(source: str, kind: str) -> Column:
+        label = lambda s: s["match"].rlike(FORM) if (source, kind) == ("base", "email") else s["passed"]
+        return F.transform(f"{source}_{kind}", lambda s: F.struct(features(F.col("marked"), kind, s).alias("f"), label(s).cast("int").alias("label"), F.pmod(F.xxhash64(s["match"]), F.lit(3)).alias("fold")))
 
-    return candidates.select(F.explode(F.flatten(F.array(*map(shaped, KINDS)))).alias("e")).select("e.*")
+    found = [shaped("base", kind) for kind in KINDS] + [shaped("loose", "email")]
+    return candidates.select(F.explode(F.flatten(F.array(*found))).alias("e")).select("e.*")
 
 
 def find_personal_data(docs: DataFrame, *, how: Boosting = Boosting(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -241,16 +252,14 @@ def find_personal_data(docs: DataFrame, *, how: Boosting = Boosting(), id_col: s
     Spans are in order of start, then of KINDS. A null or empty text has none
     and is redacted to an empty text; repeated rows give repeated results; a null id stays
     null; other columns are not read; an empty table gives an empty result. No
-    shuffle but of the trees' sums; the trees see at most about
-    ``how.sampled_rows`` rows, chosen by a hash of the text, and without matches
-    that pass and fail there nothing is added to the base spans.
+    shuffle but of the trees' sums and of how often each feature array occurs
+    over all rows. A looser match is added only if it passes its kind's checks
+    (an e-mail: signs in brackets and a last part of letters).
     """
     narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    share = min(1.0, how.sampled_rows / max(1, narrow.count()))
-    sample = narrow.filter(F.pmod(F.xxhash64("text", F.lit("trees")), F.lit(1 << 20)) < int(share * (1 << 20)))
-    told = Scratch(docs.sparkSession).keep(examples(proposed(sample)).groupBy("f", "label", "fold").agg(F.count("*").alias("n")))
+    told = Scratch(docs.sparkSession).keep(examples(proposed(narrow)).groupBy("f", "label", "fold").agg(F.count("*").alias("n")))
     trees = fit_trees(told.filter("fold > 0"), how)
-    least = calibrate(told.filter("fold = 0"), trees, how) if trees else {}
+    least = calibrate(told.filter("fold = 0"), trees, how)
 
     candidates = proposed(narrow)
     plain = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank"))

@@ -63,6 +63,17 @@ def test_pii_adds_loose_matches(spark):
     assert all(got[i][0] == got[i][1] == base(t) for i, t in texts.items() if i < 9000)
 
 
+def test_pii_adds_emails(spark):
+    """With examples of both labels, and by the default threshold where a text has no other match."""
+    hidden = {9000: "write to jane [at] site [dot] org today", 9001: "write to jane.doe(at)site.example.org today", 9002: "look at site.org today", 9003: "jane [at] site [dot] 77"}
+    want = {9000: "write to [EMAIL] today", 9001: "write to [EMAIL] today", 9002: hidden[9002], 9003: hidden[9003]}
+    many = {i: f"write to p{i}.q@mail{i % 9}.example.com today" for i in range(600)} | {1000 + i: f"install part{i}@{i % 7}.{i}.2 now" for i in range(300)} | {2000 + i: f"we met at place{i}.com then" for i in range(300)} | {3000 + i: f"ask jo{i} [at] host{i} [dot] net please" for i in range(60)}
+    for texts in (hidden, many | hidden):
+        got = {r.doc_id: (r.redacted, rendered_spans(r.base)) for r in find_personal_data(documents(spark, texts)).collect()}
+        assert {i: got[i] for i in hidden} == {i: (t, []) for i, t in want.items()}
+        assert all(got[i][0] == texts[i] for i in texts if 2000 <= i < 3000)
+
+
 def rendered_spans(spans):
     return [f"{s.kind}:{s.start}:{s.end}" for s in spans]
 
