@@ -1,10 +1,12 @@
 """Operator 4: toxicity by class-conditional Kneser-Ney models of the letters of words.
 
 Words of labelled training texts give letter n-grams for each class; both classes
-back off to one model of continuation counts over all of them. A word's ratio of
-log-likelihoods needs one table of n-grams and one of contexts, because the shared
-backoff cancels where an n-gram is new. A text's score is the sum of its clear
-ratios over the square root of its length, calibrated on rows kept apart.
+back off to one Kneser-Ney model of the counts of both. A word's ratio of
+likelihoods needs one table of n-grams and one of contexts, because the shared
+backoff cancels where an n-gram is new. Toxic texts consist of ordinary words for
+the most part, so their model is a mixture of both classes' words. A text's value
+is its log-likelihood under that mixture less that under the ordinary class,
+divided by its number of words, and is calibrated on rows kept apart.
 """
 
 from __future__ import annotations
@@ -28,15 +30,21 @@ from readloom.llm.tokens import arrow_type
 
 #: Words whose ratio one Python worker remembers; beyond it only the first half stays, which has the common ones.
 REMEMBERED = 300_000
+#: Greatest logarithm of a word's ratio, so that its exponent is a finite number.
+LARGEST = 30.0
+#: Slope and intercept if the rows kept apart don't have both labels.
+UNLEARNT = (20.0, -2.0)
 
 
 class Shape(NamedTuple):
-    """Parameters: length of n-grams, discount, what ratio is clear, labelled rows learnt from at most, about."""
+    """Parameters: length of n-grams, discounts of the shared model and of the classes, share of toxic words in a toxic text, labelled rows and bytes learnt from at most, about."""
 
     letters: int = 6
     discount: float = 0.75
-    clear: float = 3.0
+    class_discount: float = 1.0
+    share: float = 0.01
     labelled_rows: int = 8000
+    labelled_bytes: int = 128 << 20
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -59,13 +67,14 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 def fit(words: DataFrame, scratch: Scratch, shape: Shape) -> tuple[DataFrame, DataFrame]:
     """(n-gram, ratio) and (context, ratio): logarithms of toxic over ordinary probability."""
-    d, most = shape.discount, shape.letters
+    d, own_d, most = shape.discount, shape.class_discount, shape.letters
     spelt = scratch.keep(words.select(F.concat(F.lit(" "), "word", F.lit(" ")).alias("s"), "n0", "n1"))
     placed = spelt.withColumn("i", F.explode(F.sequence(F.lit(2), F.length("s"))))
     start = F.greatest(F.lit(1), F.col("i") - (most - 1))
     grams = scratch.keep(placed.select(F.substring("s", start, F.col("i") - start + 1).alias("g"), "n0", "n1").groupBy("g").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     context = F.expr("substring(g, 1, length(g) - 1)")
-    sums = [F.sum("n0").alias("t0"), F.sum("n1").alias("t1"), F.count_if(F.col("n0") > 0).alias("k0"), F.count_if(F.col("n1") > 0).alias("k1")]
+    taken = [F.sum(F.least(F.col(f"n{c}"), F.lit(own_d))).alias(f"l{c}") for c in (0, 1)]
+    sums = [F.sum("n0").alias("t0"), F.sum("n1").alias("t1"), *taken, F.count("*").alias("k")]
     contexts = scratch.keep(grams.groupBy(context.alias("h")).agg(*sums))
 
     # Continuation counts of both classes together: n-grams of one length more that end with an n-gram, and words that start with it.
@@ -88,13 +97,15 @@ def fit(words: DataFrame, scratch: Scratch, shape: Shape) -> tuple[DataFrame, Da
         shared = here
         every = here if m == 1 else every.union(here)
     backed = grams.withColumn("h", context).withColumn("rest", F.expr("substring(g, 2)")).join(contexts, "h").join(every.select(F.col("g").alias("rest"), "p"), "rest")
-
-    def likelihood(c: int) -> Column:
-        n, t, k = (F.col(f"{x}{c}") for x in "ntk")
-        return F.when(t > 0, F.greatest(n - d, F.lit(0.0)) / t + d * k / t * F.col("p")).otherwise(F.col("p"))
+    n, t = F.col("n0") + F.col("n1"), F.col("t0") + F.col("t1")
+    pooled = F.greatest(n - d, F.lit(0.0)) / t + d * F.col("k") / t * F.col("p")
 
     def left_over(c: int) -> Column:
-        return F.when(F.col(f"t{c}") > 0, d * F.col(f"k{c}") / F.col(f"t{c}")).otherwise(1.0)
+        return F.when(F.col(f"t{c}") > 0, F.col(f"l{c}") / F.col(f"t{c}")).otherwise(1.0)
+
+    def likelihood(c: int) -> Column:
+        own = F.greatest(F.col(f"n{c}") - own_d, F.lit(0.0)) / F.col(f"t{c}")
+        return F.when(F.col(f"t{c}") > 0, own).otherwise(0.0) + left_over(c) * pooled
 
     return backed.select("g", F.log(likelihood(1) / likelihood(0)).alias("ratio")), contexts.select("h", F.log(left_over(1) / left_over(0)).alias("ratio"))
 
@@ -118,10 +129,10 @@ def ends(texts: list[str], most: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 
 
 class Ratios:
-    """Ratios of words from the two tables; a new word's are found for a whole batch at once."""
+    """What each word adds to a text's value, from the two tables; new words are looked up a whole batch at once."""
 
-    def __init__(self, grams: tuple[list[str], np.ndarray], contexts: tuple[list[str], np.ndarray], most: int):
-        self.most, self.known = most, {}
+    def __init__(self, grams: tuple[list[str], np.ndarray], contexts: tuple[list[str], np.ndarray], shape: Shape):
+        self.most, self.share, self.known = shape.letters, shape.share, {}
         # A context is looked up with a letter after it, which its hash leaves out.
         self.tables = []
         for which, (texts, values) in enumerate((grams, ([c + " " for c in contexts[0]], contexts[1]))):
@@ -145,26 +156,29 @@ class Ratios:
                 hit = open_ & (keys[at] == asked)
                 value[hit] = values[at[hit]]
                 open_ &= ~hit
-        self.known.update(zip(words, np.bincount(word, weights=value, minlength=len(words)).tolist(), strict=True))
+        ratios = np.clip(np.bincount(word, weights=value, minlength=len(words)), -LARGEST, LARGEST)
+        self.known.update(zip(words, np.log1p(self.share * np.expm1(ratios)).tolist(), strict=True))
 
-    def __call__(self, texts: list[bytes], clear: float) -> list[float]:
-        """Sum of the clear ratios of each text over the square root of its words; 0 without words."""
+    def __call__(self, texts: list[bytes]) -> list[float]:
+        """Log-likelihood ratio of each text for each of its words; 0 without words."""
         split = [words_of(t) for t in texts]
         new = list(set().union(*split).difference(self.known))
         if new:
             self.learn(new)
         out = []
         for words in split:
-            ratios = list(map(self.known.__getitem__, words))
-            out.append(sum(r for r in ratios if r > clear) / len(words) ** 0.5 if words else 0.0)
+            out.append(sum(map(self.known.__getitem__, words)) / len(words) if words else 0.0)
         if len(self.known) > REMEMBERED:
             self.known = dict(islice(self.known.items(), REMEMBERED // 2))
         return out
 
 
 def calibrated(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of a logistic curve, by Newton steps with a small ridge."""
-    x = np.stack([values, np.ones_like(values)], 1)
+    """Slope and intercept of a logistic curve, by Newton steps with a small ridge on scaled values; UNLEARNT without both labels."""
+    if len(set(labels.tolist())) < 2:
+        return UNLEARNT
+    scale = values.std() or 1.0
+    x = np.stack([values / scale, np.ones_like(values)], 1)
     w = np.zeros(2)
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
@@ -172,7 +186,15 @@ def calibrated(values: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
         w += step
         if abs(step).max() < 1e-8:
             break
-    return float(w[0]), float(w[1])
+    return float(w[0] / scale), float(w[1])
+
+
+def within(rows: DataFrame, most: int) -> DataFrame:
+    """Rows whose texts have about ``most`` bytes, chosen by a hash of the id; all if they have no more."""
+    there = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if there <= most:
+        return rows
+    return rows.filter(F.pmod(F.xxhash64("id", F.lit("bytes")), F.lit(1 << 20)) < int(most / there * (1 << 20)))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, held: Column, *, shape: Shape = Shape(), least: float = 0.3, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -180,10 +202,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held: Column, *, shape: S
 
     ``labels``: ``id_col`` and ``label_col`` (1: toxic, 0: not; null is no
     label). Rows where ``held`` is true are never learnt from; a null counts as
-    false. About ``shape.labelled_rows`` labelled rows are learnt from at most,
+    false. About ``shape.labelled_rows`` labelled rows, and of these about
+    ``shape.labelled_bytes`` of text, are learnt from at most,
     chosen by a hash of the id; a fifth of them is kept apart for calibration.
     Only texts are inputs of a score: a null or empty one gets the score of a
-    text without clear words. Without labels of both classes every score is 0.
+    text whose words tell nothing. Without labels of both classes every score is 0.
     Repeated rows give repeated results, an id labelled twice is toxic if one
     label is; null ids stay null and have no label; empty tables are fine.
     """
@@ -195,7 +218,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held: Column, *, shape: S
     hashed = F.pmod(F.xxhash64("id", F.lit("labelled")), F.lit(1 << 20))
     chosen = scratch.keep(known.filter(hashed < int(share * (1 << 20))))
     few = F.broadcast(chosen) if chosen.count() <= FEW else chosen
-    learnt = scratch.keep(narrow.filter(~F.col("held")).join(few, "id").select("label", "text", (F.pmod(F.xxhash64("id", F.lit("apart")), F.lit(5)) == 0).alias("apart")))
+    learnt = within(scratch.keep(narrow.filter(~F.col("held")).join(few, "id").select("id", "label", "text", (F.pmod(F.xxhash64("id", F.lit("apart")), F.lit(5)) == 0).alias("apart"))), shape.labelled_bytes)
 
     grams, contexts = fit(word_counts(learnt.filter(~F.col("apart"))), scratch, shape)
     tables = [(t.iloc[:, 0].tolist(), t["ratio"].to_numpy(np.float64)) for t in (grams.toPandas(), contexts.toPandas())]
@@ -204,14 +227,14 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, held: Column, *, shape: S
 
     def valued(kind: str, id_type: pa.DataType):
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            ratios = Ratios(*model.value, shape.letters)
+            ratios = Ratios(*model.value, shape)
             for part in by_bytes(rows(batches), 1 << 20):
-                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in part], id_type), pa.array(ratios([t for _, t in part], shape.clear), pa.float64())], names=["id", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in part], id_type), pa.array(ratios([t for _, t in part]), pa.float64())], names=["id", "value"])
 
         return lambda df: df.mapInArrow(run, f"id {kind}, value double")
 
     apart = valued("int", pa.int32())(learnt.filter("apart").select("label", "text")).toPandas()
-    slope, middle = calibrated(apart["value"].to_numpy(), apart["id"].to_numpy(np.float64)) if apart["id"].nunique() == 2 else (1.0, -2.0)
+    slope, middle = calibrated(apart["value"].to_numpy(np.float64), apart["id"].to_numpy(np.float64))
     id_type = narrow.schema["id"].dataType.simpleString()
     judged = narrow.withColumn("key", F.struct("id", "held"))
     key = judged.schema["key"].dataType

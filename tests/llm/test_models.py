@@ -9,7 +9,8 @@ from readloom.llm.brown import Shape, score
 from readloom.llm.kneser_ney import END, START, fit, grams_of, judge_quality, log_probability
 from readloom.llm.queries import QUERIES
 from readloom.llm.scratch import Scratch
-from readloom.llm.toxicity import score_toxicity
+from readloom.llm.toxicity import Shape as ToxicityShape
+from readloom.llm.toxicity import calibrated, score_toxicity, words_of
 
 from .helpers import SF, crc, documents, sf_texts, words
 
@@ -130,6 +131,77 @@ def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)] + [(3, None), (None, 1)], "doc_id long, toxic int")
     got = {r.doc_id: r for r in score_toxicity(documents(spark, texts), labels, F.col("doc_id") >= 150).collect()}
     assert len(got) == len(texts) and got[152].predicted == 1 and got[153].predicted == 0
-    assert got[900].score == got[901].score == got[903].score and got[904].score > 0.5
+    assert got[900].score == got[901].score < 0.3 and got[903].predicted == 0 and got[904].score > 0.5
     assert {r.score for r in score_toxicity(documents(spark, texts), labels.limit(0), F.lit(False)).collect()} == {0.0}
     assert score_toxicity(documents(spark, texts).limit(0), labels, F.lit(False)).count() == 0
+
+
+def plain_values(learnt, texts, shape):
+    """Log-likelihood ratio for each word of each text, by a plain version of the two class models."""
+    most, d, own_d = shape.letters, shape.discount, shape.class_discount
+    counts = Counter(), Counter()
+    for label, text in learnt:
+        counts[label].update({w.decode() for w in words_of((text or "").encode())})
+
+    def places(word):
+        s = f" {word} "
+        return [s[max(0, i - most) : i] for i in range(2, len(s) + 1)]
+
+    grams = Counter(), Counter()
+    for c in (0, 1):
+        for w, n in counts[c].items():
+            for g in places(w):
+                grams[c][g] += n
+    both = grams[0] + grams[1]
+    low, longer = {}, {g for g in both if len(g) == most}
+    for m in range(most - 1, 0, -1):
+        low[m] = Counter(g[1:] for g in longer) + Counter(g for g in both if len(g) == m)
+        longer = set(low[m])
+    contexts = {m: (Counter(), Counter()) for m in (*low, most)}
+    for m, table in (*low.items(), (most, both)):
+        for g, n in table.items():
+            contexts[m][0][g[:-1]] += n
+            contexts[m][1][g[:-1]] += 1
+
+    def interpolated(g, m, table):
+        """The shared probability of a known n-gram's last letter."""
+        total, kinds = contexts[m][0][g[:-1]], contexts[m][1][g[:-1]]
+        below = 1 / (max(1, len(low[1])) + 1) if len(g) == 1 else interpolated(g[1:], len(g) - 1, low[len(g) - 1])
+        return max(table[g] - d, 0) / total + d * kinds / total * below
+
+    def left(c, h):
+        own = [n for g, n in grams[c].items() if g[:-1] == h]
+        return sum(min(n, own_d) for n in own) / sum(own) if own else 1.0
+
+    def ratio(g):
+        if g in both:
+            shared = interpolated(g, most, both)
+            p = [max(grams[c][g] - own_d, 0) / max(1, sum(n for x, n in grams[c].items() if x[:-1] == g[:-1])) + left(c, g[:-1]) * shared for c in (0, 1)]
+            return math.log(p[1] / p[0])
+        return math.log(left(1, g[:-1]) / left(0, g[:-1])) if any(x[:-1] == g[:-1] for x in both) else 0.0
+
+    def value(text):
+        ws = [w.decode() for w in words_of((text or "").encode())]
+        return sum(math.log(1 + shape.share * (math.exp(sum(map(ratio, places(w)))) - 1)) for w in ws) / len(ws) if ws else 0.0
+
+    return {i: value(t) for i, t in texts.items()}
+
+
+def test_toxicity_against_a_plain_version(spark):
+    rng = random.Random(5)
+    plain, bad = ["green", "greens", "tree", "house", "mouse", "water", "é"], ["vile", "vilest", "rot"]
+    texts = {i: " ".join(rng.choices(plain, k=rng.randint(1, 12)) + (rng.choices(bad, k=2) if i % 3 == 0 else [])) for i in range(60)}
+    texts |= {100: "Vilely, rotten trees", 101: "housing waters", 102: None, 103: "zz"}
+    docs = documents(spark, texts)
+    docs = docs.union(docs.filter("doc_id < 6"))  # repeated rows
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(50)], "doc_id long, toxic int")
+    shape = ToxicityShape(letters=4)
+    apart = {r.doc_id: r.apart for r in docs.select("doc_id", (F.pmod(F.xxhash64("doc_id", F.lit("apart")), F.lit(5)) == 0).alias("apart")).collect()}
+    known = [i for i in [*range(50), *range(6)] if i < 45]
+    values = plain_values([(int(i % 3 == 0), texts[i]) for i in known if not apart[i]], texts, shape)
+    kept = [i for i in known if apart[i]]
+    slope, middle = calibrated(np.asarray([values[i] for i in kept]), np.asarray([float(i % 3 == 0) for i in kept]))
+    rows = score_toxicity(docs, labels, F.col("doc_id") >= 45, shape=shape).collect()
+    assert len(rows) == len(texts) + 6
+    for r in rows:
+        assert math.isclose(r.score, 1 / (1 + math.exp(-(slope * values[r.doc_id] + middle))), rel_tol=1e-6, abs_tol=1e-9)
