@@ -1,11 +1,13 @@
 """Operator 8: exact Jaccard self-join of word shingles, by R-trees of count vectors.
 
-Equal sets become one class. The classes are dealt to blocks by the shingles of
-their prefix (two sets that link share one), and a block's classes are points of
-an R-tree: shingles hashed into groups and counted. The sum of coordinate
-minima bounds what two sets share, and the pairs that survive it are verified.
-Blocks whose classes are already connected are settled and leave; that, and not
-a cap, keeps groups of thousands of near copies from growing with their square.
+Equal sets become one class. The classes are dealt to a forest of R-trees by the
+shingles of their prefix (two sets that link share one). A class is a point of its
+trees: its shingles hashed into groups and counted. The sum of coordinate minima
+bounds what two sets share, and every pair that is verified comes from a search of
+a tree by that bound. First only one class of each block and size asks, the one
+that shares most with all others; blocks whose classes are thereby connected are
+settled. In the rest every class asks for those it isn't connected with. That, and
+not a cap, keeps groups of thousands of near copies from growing with their square.
 """
 
 from __future__ import annotations
@@ -14,12 +16,13 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from readloom.llm.arrow import as_bytes, by_bytes, rows
 from readloom.llm.components import connected
-from readloom.llm.rtree import CountTree, as_counts, folded, groups_for, least_overlap, overlap_bound, packed_counts
+from readloom.llm.rtree import CountTree, as_counts, folded, groups_for, packed_counts
 from readloom.llm.scratch import Scratch
 from readloom.llm.shingles import cut_by, shingle_sets
 
@@ -27,10 +30,12 @@ from readloom.llm.shingles import cut_by, shingle_sets
 SAMPLE = 10_000
 #: Frequent shingles that are told, and in how many sampled rows one occurs at least.
 FREQUENT, FREQUENT_ROWS = 1 << 16, 2
-#: Classes of a block that one task holds in a tree; larger blocks are dealt as pairs of parts.
-PART = 2048
+#: Classes of a block that one tree holds, about; larger blocks are dealt to several trees.
+PART = 1024
 #: Ids, or hashes of blocks, that are broadcast at most; more are joined by a shuffle.
-FEW = 4_000_000
+FEW = 1_000_000
+#: Beyond FEW blocks, those of more than HOT classes are broadcast, but never more than HOT_BLOCKS.
+HOT, HOT_BLOCKS = 256, 100_000
 
 
 def lowered(text: bytes) -> list[bytes]:
@@ -85,10 +90,10 @@ def features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
 
 
 def candidates(members: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of classes of a block that are not connected yet and pass the bound.
+    """Distinct pairs (a, b) of classes that a tree search finds: of one tree, not connected yet and within the bound.
 
     ``members``: block, part, side (0: in the tree, 1: only asks, 2: both), id, n, component, counts;
-    the rows of a block and part lie together.
+    the rows of a block and part are one tree and lie together.
     """
 
     def block_pairs(side, ids, sizes, comps, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -151,20 +156,71 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
     return laid.mapInArrow(searched, "a long, b long").distinct()
 
 
-def parted(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Blocks of more than PART classes as all pairs of their parts; a task never holds more than two parts."""
-    laid = members.join(sizes, "block").withColumn("parts", F.ceil(F.col("size") / PART).cast("int"))
-    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    laid = laid.withColumn("own", own)
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    laid = laid.withColumn("other", other)
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    side = F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1)
-    return laid.select("block", (low * F.col("parts") + high).cast("int").alias("part"), side.alias("side"), "id", "n", "component")
+def with_blocks(rows: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``rows`` joined by block with the written table ``blocks`` (block, size and more); a block's rows never meet in one task unless they are few."""
+    there, total = blocks.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+    if there <= FEW:
+        return rows.join(F.broadcast(blocks), "block")
+    limit = max(HOT, total // HOT_BLOCKS)  # so that no more than HOT_BLOCKS are larger
+    hot = F.broadcast(blocks.filter(F.col("size") > limit))
+    cold = rows.join(hot.select("block"), "block", "left_anti").join(blocks.filter(F.col("size") <= limit), "block")
+    return rows.join(hot, "block").unionByName(cold)
+
+
+def band_of(n: Column, percent: int) -> Column:
+    """Sets that link lie in one band of sizes or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / F.lit(-np.log(percent / 100))).cast("int")
+
+
+def asked_by_pivots(banded: DataFrame) -> DataFrame:
+    """Members of trees, and for each block and band the one class that asks; a large block is dealt to several trees, all of which it asks.
+
+    ``banded``: block, size, id, n, band, weight. A text that was copied with
+    changes is nearer to the copies than they are to each other, so the class
+    with the greatest weight asks.
+    """
+    parts = F.ceil(F.col("size") / PART).cast("long")
+    held = banded.select("block", F.pmod(F.xxhash64("id"), parts).alias("part"), F.lit(0).alias("side"), "id", "n", F.col("id").alias("component"))
+    pivots = banded.groupBy("block", "band").agg(F.max(F.struct("weight", "id", "n")).alias("pivot"), F.first("size").alias("size"))
+    asking = pivots.select("block", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.lit(1).alias("side"), "pivot.id", "pivot.n", F.col("pivot.id").alias("component"))
+    return held.unionByName(asking)
+
+
+def asked_by_all(labelled: DataFrame, sizes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
+    """Members of the blocks ``sizes`` (block, size), each of which asks for classes of other components.
+
+    A block of more than PART classes is dealt by band and, where a component
+    has more than PART classes of a band, by component. Two parts meet as one tree and those that
+    ask it, unless their bands lie apart or both have the same single component:
+    a group of near copies meets the few classes that are not connected with it, not itself.
+    """
+    rows = with_blocks(labelled, sizes).withColumn("band", band_of(F.col("n"), percent))
+    small = rows.filter(F.col("size") <= PART).select("block", F.lit(0).cast("long").alias("part"), F.lit(2).alias("side"), "id", "n", "component")
+    if not sizes.filter(F.col("size") > PART).limit(1).count():
+        return small
+    large = rows.filter(F.col("size") > PART)
+    counts = large.groupBy("block", "band", "component").agg(F.count("*").alias("own"))
+    pure = scratch.keep(counts.filter(F.col("own") > PART).select("block", "band", "component", F.col("component").cast("string").alias("group")))
+    grouped = large.join(short_list(pure), ["block", "band", "component"], "left").fillna("", "group")
+    key = ["block", "band", "group"]
+    runs = scratch.keep(grouped.groupBy(*key).agg(F.ceil(F.count("*") / PART).cast("int").alias("cuts")))
+    cut = runs.select(*key, F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+    numbered = cut.withColumn("number", F.row_number().over(Window.partitionBy("block").orderBy("band", "group", "cut")))
+    low, high = (numbered.select("block", F.struct("band", "group", "cut", "number").alias(k)) for k in ("low", "high"))
+    near = F.abs(F.col("low.band") - F.col("high.band")) <= 1
+    alone = (F.col("low.group") == F.col("high.group")) & (F.col("low.group") != "")
+    met = low.join(high, "block").filter((F.col("low.number") <= F.col("high.number")) & near & ~alone)
+    one = F.col("low.number") == F.col("high.number")
+    side = lambda k, n: F.struct(F.col(f"{k}.band").alias("band"), F.col(f"{k}.group").alias("group"), F.col(f"{k}.cut").alias("cut"), n.alias("side"))
+    first, second = side("low", F.when(one, 2).otherwise(0)), side("high", F.lit(1))
+    sides = met.select("block", (F.col("low.number").cast("long") * (1 << 31) + F.col("high.number")).alias("part"), F.explode(F.when(one, F.array(first)).otherwise(F.array(first, second))).alias("s"))
+    sides = sides.select("block", "part", "s.*")
+    placed = grouped.join(short_list(runs), key).withColumn("cut", F.pmod(F.xxhash64("id"), "cuts").cast("int"))
+    return small.unionByName(placed.join(sides, [*key, "cut"]).select("block", "part", "side", "id", "n", "component"))
 
 
 def short_list(keys: DataFrame) -> DataFrame:
-    """One column of a written table, marked for broadcasting if it is short enough."""
+    """A written table, marked for broadcasting if it is short enough."""
     return F.broadcast(keys) if keys.count() <= FEW else keys
 
 
@@ -186,7 +242,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, pe
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    there = scratch.reuse(docs.join(short_list(ids), "id", "left_semi").mapInArrow(sets, "id long, shingles binary"))
+    there = scratch.reuse(docs.join(short_list(ids), "id", "left_semi").mapInArrow(sets, "id long, shingles binary").distinct())
     sa, sb = (there.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(overlap, "a long, b long").distinct()
 
@@ -200,58 +256,45 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     its component is its own id. Repeated rows give repeated results and share
     a component; an id is one node even if its rows differ. A null id is no
     node: its component is that of its class, or null. An empty table gives an
-    empty result; other columns are not read. No link between different texts is lost: the
+    empty result; other columns are not read. ``id_col`` must be of an integer
+    type (a TypeError otherwise). No link between different texts is lost: the
     order of prefixes comes from a sample, but any order gives the same links.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    if not isinstance(docs.schema[id_col].dataType, IntegralType):
+        raise TypeError(f"{id_col} must be of an integer type")
+    scratch = Scratch(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     made = scratch.reuse(features(narrow, width, percent, frequent_shingles(narrow, width)))
     named = made.filter((F.col("n") > 0) & F.col("id").isNotNull())
     firsts = scratch.keep(named.groupBy("f1", "f2", "n").agg(F.min("id").alias("first"), F.count("*").alias("copies")))
     copies = named.select("id", "f1", "f2", "n").join(firsts.filter("copies > 1"), ["f1", "f2", "n"]).filter("id <> first")
     classes = named.join(short_list(scratch.keep(copies.select("id", "f1", "f2", "n").distinct())), ["id", "f1", "f2", "n"], "left_anti")
-    points = classes.select("id", "n", "counts")
 
     prefix = classes.select("id", "n", F.explode("prefix").alias("block"))
-    shared = prefix.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1").select("block")
-    members = scratch.reuse(prefix.join(short_list(scratch.keep(shared)), "block", "left_semi").distinct())
+    shared = scratch.keep(prefix.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1"))
+    members = scratch.reuse(with_blocks(prefix, shared).select("id", "n", "block").distinct())
     # Blocks with the same classes are one.
-    alike = members.groupBy("block").agg(F.count("*").alias("size"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("same"))
+    alike = members.groupBy("block").agg(F.count("*").alias("size"), F.sum(F.xxhash64("id", "n").cast("decimal(38,0)")).alias("same"))
     blocks = alike.groupBy("size", "same").agg(F.min("block").alias("block"), F.count("*").alias("alike")).filter("size > 1")
-    blocks = scratch.keep(blocks.select("block", (F.col("size") * F.col("alike")).alias("weight")))
-    weighed = scratch.reuse(members.join(blocks, "block"))
+    blocks = scratch.keep(blocks.select("block", "size", (F.col("size") * F.col("alike")).alias("weight")))
+    weighed = scratch.reuse(with_blocks(members, blocks))
     weights = weighed.groupBy("id").agg(F.sum("weight").alias("weight"))
+    banded = scratch.reuse(weighed.drop("weight").join(weights, "id").withColumn("band", band_of(F.col("n"), percent)))
+    points = scratch.reuse(classes.join(short_list(scratch.keep(weights.select("id"))), "id", "left_semi").select("id", "n", "counts").distinct())
 
-    # First each class meets the one of its block, and of about its size, that shares most with all others:
-    # a text that was copied with changes is nearer to the copies than they are to each other.
-    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(-np.log(percent / 100)))
-    banded = scratch.reuse(weighed.drop("weight").join(weights, "id").withColumn("band", band))
-    pivot = banded.groupBy("block", "band").agg(F.max(F.struct("weight", "id", "n")).alias("pivot"))
-    pivot = pivot.select("block", F.explode(F.array(*(F.col("band") + i for i in (-1, 0, 1)))).alias("band"), "pivot")
-    met = banded.join(pivot, ["block", "band"]).filter(F.col("id") != F.col("pivot.id"))
-    fits = (F.col("n") * percent <= F.col("pivot.n") * 100) & (F.col("pivot.n") * percent <= F.col("n") * 100)
-    met = met.filter(fits).select(F.least("id", "pivot.id").alias("a"), F.greatest("id", "pivot.id").alias("b")).distinct()
-    ca, cb = (points.select(F.col("id").alias(k), F.col("counts").alias(f"c{k}"), F.col("n").alias(f"n{k}")) for k in "ab")
-
-    def bounded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            need = least_overlap(batch["na"].to_numpy(), batch["nb"].to_numpy(), percent)
-            most = [overlap_bound(as_counts(x), as_counts(y)) for x, y in zip(as_bytes(batch["ca"]), as_bytes(batch["cb"]), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(np.asarray(most, np.int64) >= need))
-
-    met = scratch.keep(met.join(ca, "a").join(cb, "b").select("a", "b", "ca", "cb", "na", "nb").mapInArrow(bounded, "a long, b long"))
+    met = scratch.keep(candidates(asked_by_pivots(banded).join(points, ["id", "n"]), percent))
     links = scratch.keep(verified(met, narrow, scratch, width, percent))
     joined = connected(links, scratch)
 
-    # Then the blocks that still hold more than one component are searched by tree.
     labelled = banded.join(joined, "id", "left").select("block", "id", "n", F.coalesce("component", "id").alias("component"))
     mixed = labelled.groupBy("block").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).filter("size > 2 and low < high")
-    asked = parted(labelled, mixed.select("block", "size")).join(points.select("id", "counts"), "id")
-    rest = candidates(asked, percent).join(met, ["a", "b"], "left_anti")
+    mixed = scratch.keep(mixed.select("block", "size"))
+    rest = candidates(asked_by_all(labelled, mixed, percent, scratch).join(points, ["id", "n"]), percent).join(met, ["a", "b"], "left_anti")
     more = verified(scratch.keep(rest), narrow, scratch, width, percent)
     whole = connected(links.union(more), scratch)
 
     by_class = firsts.withColumnRenamed("first", "id").join(whole, "id", "left").select("f1", "f2", "n", F.coalesce("component", "id").alias("component"))
-    out = made.select("id", "n", "f1", "f2").join(by_class, ["f1", "f2", "n"], "left")
+    rows_made = scratch.keep(made.select("id", "n", "f1", "f2"))
+    scratch.release()
+    out = rows_made.join(by_class, ["f1", "f2", "n"], "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

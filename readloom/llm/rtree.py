@@ -37,12 +37,6 @@ def least_overlap(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def overlap_bound(x: np.ndarray, y: np.ndarray) -> int:
-    """Sum of coordinate minima, with the fewer groups of the two."""
-    use = min(len(x), len(y))
-    return int(np.minimum(folded(x, use), folded(y, use)).sum(dtype=np.int64))
-
-
 class CountTree:
     """Points are counts of a set's tokens by hashed group, so the sum of coordinate minima bounds what two sets share.
 
@@ -52,9 +46,11 @@ class CountTree:
 
     def __init__(self, points: np.ndarray, sizes: np.ndarray, percent: int):
         self.points, self.sizes, self.percent = points, sizes, percent
-        spread = np.argsort(-points.var(0))[:3] if len(points) else []
-        tiles = [points[:, g] // max(1, int(points[:, g].std())) for g in spread]
-        self.order = np.lexsort([*tiles, np.log(np.maximum(sizes, 1)) // 0.1])
+        self.order = np.arange(len(points))
+        if len(points) > LEAF:
+            spread = np.argsort(-points.var(0))[:3]
+            tiles = [points[:, g] // max(1, int(points[:, g].std())) for g in spread]
+            self.order = np.lexsort([*tiles, np.log(np.maximum(sizes, 1)) // 0.1])
         self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         top, low, high = points[self.order], sizes[self.order], sizes[self.order]
         fan = LEAF

@@ -27,12 +27,17 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         small_batches(spark)
-        self.spark, self.top, self.n = spark, folder(spark), 0
+        self.spark, self.top, self.n, self.held = spark, folder(spark), 0, []
 
-    @staticmethod
-    def reuse(df: DataFrame) -> DataFrame:
+    def reuse(self, df: DataFrame) -> DataFrame:
         """Stored on the executors' disks when first read; the lineage stays, so what a lost executor held is made again."""
-        return df.persist(StorageLevel.DISK_ONLY)
+        self.held.append(df.persist(StorageLevel.DISK_ONLY))
+        return self.held[-1]
+
+    def release(self) -> None:
+        """Frees what ``reuse`` stored."""
+        while self.held:
+            self.held.pop().unpersist()
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
