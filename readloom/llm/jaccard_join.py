@@ -1,8 +1,8 @@
 """Operator 8: exact Jaccard self-join of word shingles, by R-trees of count vectors.
 
 Equal sets become one class. The classes are dealt to a forest of R-trees by the
-shingles of their prefix (two sets that link share one). A class is a point of its
-trees: its shingles hashed into groups and counted. The sum of coordinate minima
+shingles of their prefix, of which two sets that link share several; a class that
+shares fewer with all others together leaves. A class is a point of its trees: its shingles hashed into groups and counted. The sum of coordinate minima
 bounds what two sets share, and every pair that is verified comes from a search of
 a tree by that bound. First only one class of each block and size asks, the one
 that shares most with all others; blocks whose classes are thereby connected are
@@ -12,7 +12,7 @@ not a cap, keeps groups of thousands of near copies from growing with their squa
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,12 +30,14 @@ from readloom.llm.shingles import cut_by, shingle_sets
 SAMPLE = 10_000
 #: Frequent shingles that are told, and in how many sampled rows one occurs at least.
 FREQUENT, FREQUENT_ROWS = 1 << 16, 2
+#: One shingle in so many makes prefixes longer, so that linked sets share more than one shingle of them.
+SPARE = 20
 #: Classes of a block that one tree holds, about; larger blocks are dealt to several trees.
 PART = 1024
 #: Ids, or hashes of blocks, that are broadcast at most; more are joined by a shuffle.
 FEW = 1_000_000
-#: Beyond FEW blocks, those of more than HOT classes are broadcast, but never more than HOT_BLOCKS.
-HOT, HOT_BLOCKS = 256, 100_000
+#: Beyond FEW keys, those of more than HOT rows are broadcast, but never more than HOT_KEYS.
+HOT, HOT_KEYS = 256, 100_000
 
 
 def lowered(text: bytes) -> list[bytes]:
@@ -60,6 +62,11 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
     return np.sort(most["token"].to_numpy(np.int64).view(np.uint64))
 
 
+def least_common(n):
+    """How many prefix shingles two linked sets share, of which the smaller has n: prefixes of n - ceil(percent * n) + k hold k of them, in any fixed order."""
+    return 1 + n // SPARE
+
+
 def features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """id, n, two hashes of the set, its prefix and its counts by group."""
 
@@ -77,7 +84,7 @@ def features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
             rare_before = before - np.append(before, 0)[starts][text]
             rare = np.bincount(text[~common], minlength=len(sizes))
             place = np.where(common, rare[text] + (np.arange(len(flat)) - starts[text]) - rare_before, rare_before)
-            length = np.where(sizes > 0, sizes + (percent * sizes) // -100 + 1, 0)
+            length = np.where(sizes > 0, np.minimum(sizes, sizes + (percent * sizes) // -100 + least_common(sizes)), 0)
             taken = place < length[text]
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(flat[taken].view(np.int64)))
             groups = groups_for(sizes)
@@ -156,15 +163,18 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
     return laid.mapInArrow(searched, "a long, b long").distinct()
 
 
-def with_blocks(rows: DataFrame, blocks: DataFrame) -> DataFrame:
-    """``rows`` joined by block with the written table ``blocks`` (block, size and more); a block's rows never meet in one task unless they are few."""
-    there, total = blocks.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
+def with_keys(rows: DataFrame, keys: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
+    """``rows`` joined with the written table ``keys`` (``by``, size and more); rows of one key meet in one task only if they are few.
+
+    ``size`` is how many rows a key has. A long table is joined by a shuffle, but its largest keys are broadcast.
+    """
+    there, total = keys.agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
     if there <= FEW:
-        return rows.join(F.broadcast(blocks), "block")
-    limit = max(HOT, total // HOT_BLOCKS)  # so that no more than HOT_BLOCKS are larger
-    hot = F.broadcast(blocks.filter(F.col("size") > limit))
-    cold = rows.join(hot.select("block"), "block", "left_anti").join(blocks.filter(F.col("size") <= limit), "block")
-    return rows.join(hot, "block").unionByName(cold)
+        return rows.join(F.broadcast(keys), by, how)
+    limit = max(HOT, total // HOT_KEYS)  # so that no more than HOT_KEYS are larger
+    hot = F.broadcast(keys.filter(F.col("size") > limit))
+    cold = rows.join(hot.select(*by), by, "left_anti").join(keys.filter(F.col("size") <= limit), by, how)
+    return rows.join(hot, by).unionByName(cold)  # with "left", a row of a hot key has been joined in the first part
 
 
 def band_of(n: Column, percent: int) -> Column:
@@ -194,7 +204,7 @@ def asked_by_all(labelled: DataFrame, sizes: DataFrame, percent: int, scratch: S
     ask it, unless their bands lie apart or both have the same single component:
     a group of near copies meets the few classes that are not connected with it, not itself.
     """
-    rows = with_blocks(labelled, sizes).withColumn("band", band_of(F.col("n"), percent))
+    rows = with_keys(labelled, sizes, ["block"]).withColumn("band", band_of(F.col("n"), percent))
     small = rows.filter(F.col("size") <= PART).select("block", F.lit(0).cast("long").alias("part"), F.lit(2).alias("side"), "id", "n", "component")
     if not sizes.filter(F.col("size") > PART).limit(1).count():
         return small
@@ -224,8 +234,8 @@ def short_list(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= FEW else keys
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, percent: int, once: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The pairs (a, b) whose whole sets link; ``once`` removes what repeated rows repeat."""
     ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,7 +252,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, pe
                 keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    there = scratch.reuse(docs.join(short_list(ids), "id", "left_semi").mapInArrow(sets, "id long, shingles binary").distinct())
+    there = scratch.reuse(once(docs.join(short_list(ids), "id", "left_semi").mapInArrow(sets, "id long, shingles binary")))
     sa, sb = (there.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(overlap, "a long, b long").distinct()
 
@@ -265,36 +275,44 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     scratch = Scratch(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     made = scratch.reuse(features(narrow, width, percent, frequent_shingles(narrow, width)))
+    sets = scratch.keep(made.select("id", "n", "f1", "f2"))
+    key = ["f1", "f2", "n"]
     named = made.filter((F.col("n") > 0) & F.col("id").isNotNull())
-    firsts = scratch.keep(named.groupBy("f1", "f2", "n").agg(F.min("id").alias("first"), F.count("*").alias("copies")))
-    copies = named.select("id", "f1", "f2", "n").join(firsts.filter("copies > 1"), ["f1", "f2", "n"]).filter("id <> first")
-    classes = named.join(short_list(scratch.keep(copies.select("id", "f1", "f2", "n").distinct())), ["id", "f1", "f2", "n"], "left_anti")
+    firsts = scratch.keep(sets.filter((F.col("n") > 0) & F.col("id").isNotNull()).groupBy(*key).agg(F.min("id").alias("first"), F.count("*").alias("size")))
+    copied = scratch.keep(firsts.filter("size > 1"))
+    copies = with_keys(sets, copied, key).filter("id <> first")
+    classes = named.join(short_list(scratch.keep(copies.select("id", *key).distinct())), ["id", *key], "left_anti")
+    once = (lambda df: df.distinct()) if sets.groupBy("id").count().filter("id is not null and count > 1").limit(1).count() else lambda df: df
 
     prefix = classes.select("id", "n", F.explode("prefix").alias("block"))
     shared = scratch.keep(prefix.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1"))
-    members = scratch.reuse(with_blocks(prefix, shared).select("id", "n", "block").distinct())
+    met_again = scratch.reuse(with_keys(prefix, shared, ["block"]).select("id", "n", "block"))
+    smallest = F.ceil(F.col("n") * percent / 100).cast("long")  # of the sets that may link
+    able = met_again.groupBy("id", "n").agg(F.count("*").alias("met")).filter(F.col("met") >= 1 + F.floor(smallest / SPARE)).select("id", "n")
+    members = scratch.reuse(once(met_again.join(short_list(scratch.keep(able)), ["id", "n"], "left_semi")))
     # Blocks with the same classes are one.
     alike = members.groupBy("block").agg(F.count("*").alias("size"), F.sum(F.xxhash64("id", "n").cast("decimal(38,0)")).alias("same"))
     blocks = alike.groupBy("size", "same").agg(F.min("block").alias("block"), F.count("*").alias("alike")).filter("size > 1")
     blocks = scratch.keep(blocks.select("block", "size", (F.col("size") * F.col("alike")).alias("weight")))
-    weighed = scratch.reuse(with_blocks(members, blocks))
+    weighed = scratch.reuse(with_keys(members, blocks, ["block"]))
     weights = weighed.groupBy("id").agg(F.sum("weight").alias("weight"))
     banded = scratch.reuse(weighed.drop("weight").join(weights, "id").withColumn("band", band_of(F.col("n"), percent)))
-    points = scratch.reuse(classes.join(short_list(scratch.keep(weights.select("id"))), "id", "left_semi").select("id", "n", "counts").distinct())
+    points = scratch.reuse(once(classes.join(short_list(scratch.keep(weights.select("id"))), "id", "left_semi").select("id", "n", "counts")))
 
     met = scratch.keep(candidates(asked_by_pivots(banded).join(points, ["id", "n"]), percent))
-    links = scratch.keep(verified(met, narrow, scratch, width, percent))
+    links = scratch.keep(verified(met, narrow, scratch, width, percent, once))
     joined = connected(links, scratch)
 
     labelled = banded.join(joined, "id", "left").select("block", "id", "n", F.coalesce("component", "id").alias("component"))
     mixed = labelled.groupBy("block").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).filter("size > 2 and low < high")
     mixed = scratch.keep(mixed.select("block", "size"))
     rest = candidates(asked_by_all(labelled, mixed, percent, scratch).join(points, ["id", "n"]), percent).join(met, ["a", "b"], "left_anti")
-    more = verified(scratch.keep(rest), narrow, scratch, width, percent)
+    more = verified(scratch.keep(rest), narrow, scratch, width, percent, once)
     whole = connected(links.union(more), scratch)
 
-    by_class = firsts.withColumnRenamed("first", "id").join(whole, "id", "left").select("f1", "f2", "n", F.coalesce("component", "id").alias("component"))
-    rows_made = scratch.keep(made.select("id", "n", "f1", "f2"))
+    # Only classes with copies, or that another class reaches, have something to tell their rows.
+    moved = firsts.withColumnRenamed("first", "id").join(whole, "id", "left").select(*key, "size", F.coalesce("component", "id").alias("component"), (F.col("size") > 1).alias("more"), "id")
+    moved = scratch.keep(moved.filter("more or component <> id").select(*key, "size", "component"))
     scratch.release()
-    out = rows_made.join(by_class, ["f1", "f2", "n"], "left")
+    out = with_keys(sets, moved, key, "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

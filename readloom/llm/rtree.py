@@ -10,8 +10,8 @@ MOST = 14
 
 
 def groups_for(sizes: np.ndarray) -> np.ndarray:
-    """Coordinates of a point: a power of two, about the set's size, so that counts tell sets apart at any size."""
-    return 1 << np.maximum(6, np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
+    """Coordinates of a point: a power of two, half of the set's size or more, so that counts tell sets apart at any size."""
+    return 1 << np.maximum(6, np.ceil(np.log2(np.maximum(sizes, 1) / 2)).astype(np.int64))
 
 
 def packed_counts(counts: np.ndarray) -> bytes:
