@@ -58,6 +58,53 @@ def test_classes_tell_topics_apart(spark):
     assert gain > 0.25
 
 
+def test_scores_against_a_plain_version(spark):
+    """With one class, a text's score is that of an order of words and ends, and of words by their counts."""
+    rng = random.Random(9)
+    texts = {i: " ".join(rng.choice("abcdefgh") + rng.choice("xy") for _ in range(rng.randint(0, 9))) for i in range(40)} | {50: None, 51: "never heard", 52: "ax " * 3000}
+    held = lambda i: i % 5 == 0 or i == 51
+    docs = documents(spark, texts)
+    docs = docs.union(docs.filter("doc_id = 3")).withColumn("doc_id", F.col("doc_id").cast("string"))  # a repeated row, and ids that are no numbers
+    learnt = [words(texts[i], lower=True) for i in [*texts, 3] if not held(i)]
+    counts = Counter(w for ws in learnt for w in ws)
+    n, once = sum(counts.values()), sum(c == 1 for c in counts.values())
+    share = (once + 0.5) / (n + 1)
+    grid = np.zeros((2, 2))
+    for ws in learnt:
+        seen = [1, *([0] * len(ws)), 1]
+        for a, b in zip(seen, seen[1:], strict=False):
+            grid[a, b] += 1
+    prior = (grid.sum(0) + 1) / (grid.sum() + 2)
+    after = np.log10((grid + 2 * prior) / (grid.sum(1, keepdims=True) + 2))
+
+    def plain(text):
+        ws = words(text, lower=True)
+        seen = [1, *([0] * len(ws)), 1]
+        order = sum(after[a, b] for a, b in zip(seen, seen[1:], strict=False))
+        return order + sum(math.log10((1 - share) * counts[w] / n) if counts[w] else math.log10(share) for w in ws)
+
+    flag = (F.col("doc_id").cast("int") % 5 == 0) | (F.col("doc_id") == "51")
+    for core in (0, 4):
+        rows = score(docs, flag, shape=Shape(core=core, classes=1)).collect()
+        assert sorted(r.doc_id for r in rows) == sorted([*map(str, texts), "3"])
+        assert all(math.isclose(r.score, plain(texts[int(r.doc_id)]), rel_tol=1e-9) for r in rows)
+
+
+def test_all_words_are_exchanged(spark):
+    """Rare words, none of them a core word and all of one ending, go to the class of the company they keep."""
+    rng = random.Random(2)
+    frames = [[f"{c}{i}" for i in range(6)] for c in "pq"]
+    def text(i):
+        frame = frames[i % 2]
+        return " ".join(x for j in range(30) for x in (frame[rng.randrange(6)], f"{'pq'[i % 2]}{(i // 2 + 3 * j) % 90}ing"))
+    texts = {i: text(i) for i in range(120)}
+    gains = []
+    for least in (1.0, 1e9):  # with the exchange of rare words, and without
+        rows = [r for r in score(documents(spark, texts), F.col("doc_id") >= 100, shape=Shape(12, 1, 4, 8, least)).collect() if r.held_out]
+        gains.append(sum(r.score for r in rows) / sum(r.n_tokens for r in rows))
+    assert gains[0] > gains[1] + 0.05
+
+
 def test_kneser_ney_is_a_distribution(spark):
     """After any context, the probabilities of all known words and of one unknown word add up to one."""
     docs = documents(spark, ["a b c a b d", "a b c", "d d a b", "c a", "b b b a c d"], extra=False).selectExpr("doc_id as id", "text")
