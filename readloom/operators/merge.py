@@ -30,11 +30,17 @@ def mapping_input(merged: DataFrame, pairs: DataFrame | None = None) -> DataFram
     return out.unionByName(forward)
 
 
+def place_of(reads: DataFrame) -> list[str]:
+    """The columns that tell a read's place: its file's number, if there are several files, and its number in the file."""
+    return [c for c in ("file_no", "rec_idx") if c in reads.columns]
+
+
 def pair_up(forward: DataFrame, reverse: DataFrame) -> DataFrame:
-    """Mates by their place in two files; the longer file's rest is left out."""
-    f = forward.select("rec_idx", F.col("name").alias("name_f"), F.col("seq").alias("seq_f"), F.col("qual").alias("qual_f"))
-    r = reverse.select("rec_idx", F.col("name").alias("name_r"), F.col("seq").alias("seq_r"), F.col("qual").alias("qual_r"))
-    return f.join(r, "rec_idx")
+    """Mates by their place in two files, or in two lists of files; the longer file's rest is left out."""
+    place = [c for c in place_of(forward) if c in reverse.columns]
+    f = forward.select(*place, F.col("name").alias("name_f"), F.col("seq").alias("seq_f"), F.col("qual").alias("qual_f"))
+    r = reverse.select(*place, F.col("name").alias("name_r"), F.col("seq").alias("seq_r"), F.col("qual").alias("qual_r"))
+    return f.join(r, place)
 
 
 def merge_mates(pairs: DataFrame, *, min_overlap: int = 12, min_insert: int = 30) -> tuple[DataFrame, DataFrame]:
@@ -43,20 +49,24 @@ def merge_mates(pairs: DataFrame, *, min_overlap: int = 12, min_insert: int = 30
     The end of the forward read and the start of the turned reverse read must be
     equal over ``min_overlap`` bases or more; the longest such overlap counts, and
     the merged read has ``min_insert`` bases at least. Where both reads say a base,
-    the forward read's quality stays. One projection, no shuffle.
+    the forward read's quality stays. No shuffle; the overlap is the leftmost
+    match of one pattern, and what is used often is bound once.
     """
-    turned = pairs.withColumns({"other": revcomp(F.col("seq_r")), "other_qual": F.reverse("qual_r")})
-    longest = F.least(F.length("seq_f"), F.length("other"))
-    sizes = F.when(longest >= min_overlap, F.sequence(longest, F.lit(min_overlap), F.lit(-1))).otherwise(F.array().cast("array<int>"))
-    fits = F.filter(sizes, lambda n: F.right(F.col("seq_f"), n) == F.left(F.col("other"), n))
-    found = turned.withColumn("overlap", F.get(fits, F.lit(0)))
+
+    def bound(rows: DataFrame, **columns: object) -> DataFrame:
+        """Adds columns behind a generator, which the optimizer does not write into each of their uses."""
+        return rows.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+    turned = bound(pairs, other=revcomp(F.col("seq_r")), other_qual=F.reverse("qual_r"))
+    shared = F.regexp_extract(F.concat("seq_f", F.lit("|"), "other"), rf"([^|]{{{min_overlap},}}+)\|\1", 1)
+    told = bound(turned, overlap=F.length(shared))
     size = F.length("seq_f") + F.length("other") - F.col("overlap")
-    told = found.withColumn("merges", F.coalesce(size >= min_insert, F.lit(False)))
+    merges = F.coalesce((F.col("overlap") > 0) & (size >= min_insert), F.lit(False))
     rest = F.col("overlap") + 1
-    merged = told.filter("merges").select(
-        "rec_idx",
+    merged = told.filter(merges).select(
+        *place_of(pairs),
         F.col("name_f").alias("name"),
         F.concat("seq_f", F.substring(F.col("other"), rest, F.length("other"))).alias("seq"),
         F.concat("qual_f", F.substring(F.col("other_qual"), rest, F.length("other"))).alias("qual"),
     )
-    return merged, told.filter("not merges").select(*pairs.columns)
+    return merged, told.filter(~merges).select(*pairs.columns)

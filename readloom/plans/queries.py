@@ -271,6 +271,13 @@ def mate_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.pair_up(reads, reads.filter("rec_idx % 2 = 0")).select("rec_idx", "name_f", "name_r")
 
 
+@query("select cast(a.rec_idx % 3 as int) as file_no, cast((a.rec_idx - a.rec_idx % 3) / 3 as bigint) as rec_idx, a.name as name_f, b.name as name_r from v_fq a join v_fq b on a.rec_idx = b.rec_idx where b.rec_idx % 2 = 0", "v_fq")
+def mate_pairs_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mates by their place in two lists of three files."""
+    reads = view(spark, sf_dir, "v_fq").withColumns({"file_no": (F.col("rec_idx") % 3).cast("int"), "rec_idx": F.floor(F.col("rec_idx") / 3)})
+    return M.pair_up(reads, reads.filter("(rec_idx * 3 + file_no) % 2 = 0")).select("file_no", "rec_idx", "name_f", "name_r")
+
+
 @query("select rec_idx, cast(case rec_idx % 3 when 0 then 50 when 1 then 34 else 130 end as bigint) as span from v_fq", "v_fq")
 def cigar_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference bases of alignments."""

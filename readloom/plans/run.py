@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from readloom.operators import coverage as C
 from readloom.operators import dedup as D
 from readloom.operators import demux as X
-from readloom.operators.merge import merge_aligners, merge_mates, pair_up
+from readloom.operators.merge import merge_aligners, merge_mates, pair_up, unmapped
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
 from readloom.sources.bam import read_bam, read_bam_header, with_lines
@@ -34,6 +34,12 @@ class Stages:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
+    def contents(self, *paths: str | None) -> list:
+        """Name, size and time of change of every file of the inputs, so that a file that was changed in place is a new input."""
+        given = [p for p in paths if p]
+        files = self.spark.read.format("binaryFile").load(given).select("path", "length", F.col("modificationTime").cast("double").cast("string"))
+        return sorted(map(list, files.collect()))
+
     def finished(self, name: str, print_: str) -> bool:
         try:
             return self.spark.read.text(f"{self.folder}/{name}.done").first()[0] == print_
@@ -79,9 +85,12 @@ def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
     layout = parse_layout(run.layout)
     samples = readers.read_samples(spark, run.samples)
     X.check_samples(samples)
-    stages, given, found = Stages(spark, run.out), asdict(run), {}
+    stages, found = Stages(spark, run.out), {}
+    given = asdict(run) | {"files": stages.contents(run.forward, run.reverse, run.samples, run.merged), "sheet": sorted(map(list, samples.collect()))}
     pairs = merged = None
     if run.merge_first or not run.ignore_pairs:
+        if len(stages.contents(run.forward)) != len(stages.contents(run.reverse)):
+            raise ValueError("there must be as many reverse files as forward files")
         pairs = pair_up(readers.read_fastq(spark, run.forward), readers.read_fastq(spark, run.reverse))
     if run.merge_first:
         merged, pairs = merge_mates(pairs, min_insert=run.min_insert)
@@ -114,15 +123,16 @@ def run_tracks(spark: SparkSession, run: TrackRun) -> dict[str, DataFrame]:
     """Duplicate removal for each file, union of the aligners, coverage of reads and of crosslinks."""
     by = ("sample", "replicate", "aligner")
     stages = Stages(spark, run.out)
-    given = {"min_mapq": run.min_mapq, "strict": run.strict, "alignments": {"/".join(k): v for k, v in run.alignments.items()}}
+    given = {"min_mapq": run.min_mapq, "strict": run.strict, "alignments": {"/".join(k): v for k, v in run.alignments.items()}, "files": stages.contents(*run.alignments.values())}
 
     def tagged() -> DataFrame:
         opened = lambda path: read_bam(spark, path) if path.endswith(".bam") else readers.read_sam(spark, path)
-        beds = [readers.sam_to_bed(opened(path)).withColumns({c: F.lit(v) for c, v in zip(by, key, strict=True)}) for key, path in run.alignments.items()]
+        beds = [readers.sam_to_bed(opened(path).drop("file")).withColumns({c: F.lit(v) for c, v in zip(by, key, strict=True)}) for key, path in run.alignments.items()]
         return merge_aligners(*beds)
 
     kept = stages.run("dedup", given, lambda: D.dedup_alignments(tagged(), min_mapq=run.min_mapq, strict=run.strict, by=by))
     found = {"dedup": kept}
+    writers.write_bed(C.crosslinks(kept), f"{run.out}/bed/xlinks", ("sample", "replicate"))
     for name, bed in (("reads", kept), ("xlinks", C.crosslinks(kept))):
         apart, whole = C.merged_coverage(bed, ("sample",), "replicate")
         found[name] = stages.run(f"coverage_{name}", given, lambda apart=apart: apart)
@@ -151,12 +161,23 @@ def parser() -> argparse.ArgumentParser:
     fastq = commands.add_parser("dedup-reads", help="one read for each sequence and barcode")
     fastq.add_argument("-f", "--forward", required=True)
     fastq.add_argument("-o", "--out", required=True)
-    sam = commands.add_parser("dedup-sam", help="drop duplicate alignments of a SAM or BAM file")
-    sam.add_argument("-i", "--input", required=True)
+    sam = commands.add_parser("dedup-sam", help="drop duplicate alignments of SAM files or of a BAM file")
+    sam.add_argument("-i", "--input", required=True, nargs="+", help="several SAM files are cleaned each for itself, in one job, into a folder each")
     sam.add_argument("-o", "--out", required=True)
     sam.add_argument("-k", "--bed")
     sam.add_argument("-m", "--min-mapq", type=int, default=10)
     sam.add_argument("--keep-last", action="store_true")
+    tracks = commands.add_parser("tracks", help="from alignments to coverage and crosslink tracks")
+    tracks.add_argument("-a", "--alignments", required=True, nargs="+", metavar="SAMPLE/REPLICATE/ALIGNER=PATH")
+    tracks.add_argument("-o", "--out", required=True)
+    tracks.add_argument("-m", "--min-mapq", type=int, default=10)
+    tracks.add_argument("-mr", "--merge-replicates", action="store_true")
+    tracks.add_argument("--keep-last", action="store_true")
+    rest = commands.add_parser("unmapped", help="reads that no alignment has, as FASTQ")
+    rest.add_argument("-f", "--forward", required=True)
+    rest.add_argument("-a", "--alignments", required=True, nargs="+", help="SAM files")
+    rest.add_argument("-o", "--out", required=True)
+    rest.add_argument("--plain", action="store_true", help="no gzip")
     return top
 
 
@@ -171,19 +192,39 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     elif args.command == "dedup-reads":
         reads = readers.read_fastq(spark, args.forward)
         kept = D.best_reads(reads)
-        kept.select(writers.rendered(F.col("name"), F.col("seq"), F.col("qual")).alias("value")).write.mode("overwrite").text(args.out)
+        writers.write_reads(kept, args.out)
         D.read_stats(reads, kept).show()
+    elif args.command == "tracks":
+        alignments = {tuple(key.split("/")): path for key, path in (a.split("=", 1) for a in args.alignments)}
+        if any(len(key) != 3 for key in alignments):
+            raise ValueError("alignments are given as sample/replicate/aligner=path")
+        run_tracks(spark, TrackRun(args.out, alignments, args.min_mapq, not args.keep_last, args.merge_replicates))
+    elif args.command == "unmapped":
+        mapped = readers.read_sam(spark, args.alignments).filter(F.col("flag").bitwiseAND(4) == 0)
+        names = mapped.select(F.concat(F.lit("@"), F.element_at(F.split("qname", " "), 1)).alias("word"))
+        reads = readers.read_fastq(spark, args.forward).withColumn("word", F.element_at(F.split("name", " "), 1))
+        writers.write_reads(unmapped(reads.withColumnsRenamed({"name": "whole", "word": "name"}), names.withColumnRenamed("word", "name")).withColumn("name", F.col("whole")), args.out, gzip=not args.plain)
     else:
-        packed = args.input.endswith(".bam")
-        sam = with_lines(read_bam(spark, args.input)) if packed else readers.read_sam(spark, args.input)
-        header = read_bam_header(spark, args.input) if packed else readers.read_sam_header(spark, args.input)
-        bed = readers.sam_to_bed(sam)
-        kept = D.dedup_alignments(bed, min_mapq=args.min_mapq, strict=not args.keep_last)
-        named = sam.withColumn("qname", F.element_at(F.split("qname", " "), 1))
-        writers.write_sam(header, D.keep_by_name(named, kept), args.out)
-        if args.bed:
-            writers.write_bed(kept, args.bed)
-        D.alignment_stats(bed, min_mapq=args.min_mapq, strict=not args.keep_last).show()
+        clean_alignments(spark, args)
+
+
+def clean_alignments(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Removes duplicates within each of the files, all in one job."""
+    packed, several = args.input[0].endswith(".bam"), len(args.input) > 1
+    if packed and several:
+        raise ValueError("one BAM file at a time")
+    sam = with_lines(read_bam(spark, args.input[0])) if packed else readers.read_sam(spark, args.input)
+    header = read_bam_header(spark, args.input[0]) if packed else readers.read_sam_header(spark, args.input)
+    if not several:
+        sam, header = sam.drop("file"), header.drop("file")
+    by = ("file",) if several else ()
+    bed = readers.sam_to_bed(sam)
+    kept = D.dedup_alignments(bed, min_mapq=args.min_mapq, strict=not args.keep_last, by=by)
+    named = sam.withColumn("qname", F.element_at(F.split("qname", " "), 1))
+    writers.write_sam(header, D.keep_by_name(named, kept), args.out, by_file=several)
+    if args.bed:
+        writers.write_bed(kept, args.bed, by)
+    D.alignment_stats(bed, min_mapq=args.min_mapq, strict=not args.keep_last, by=by).show(200, truncate=False)
 
 
 if __name__ == "__main__":

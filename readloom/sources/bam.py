@@ -14,26 +14,40 @@ SCHEMA = "qname string, flag int, rname string, pos long, mapq int, cigar string
 #: Fixed values of the format: letters of alignment operations, of bases, and struct codes of tag types.
 OPERATIONS, BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
 NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-#: Records of a batch.
-BATCH = 5000
+#: Records of a batch, bytes of packed input that are inflated at once, and bytes of records that one row carries to the task that decodes them.
+BATCH, SLICE, FRAMED = 5000, 1 << 16, 1 << 20
 
 
 class Inflated:
-    """Reads a sequence of gzip members as one run of bytes, a member at a time."""
+    """Reads a sequence of gzip members as one run of bytes, a slice of the packed bytes at a time."""
 
     def __init__(self, packed: bytes):
-        self.packed, self.held = packed, b""
+        self.packed, self.at, self.held, self.used, self.member = memoryview(packed), 0, bytearray(), 0, zlib.decompressobj(31)
+
+    def more(self) -> bool:
+        """Inflates the next slice; what is left of a slice when a member ends starts the next member."""
+        left = self.packed[self.at : self.at + SLICE]
+        if not len(left):
+            return False
+        self.at += len(left)
+        self.held += self.member.decompress(left)
+        while self.member.eof:
+            rest = self.member.unused_data
+            self.member = zlib.decompressobj(31)
+            if not rest:
+                break
+            self.held += self.member.decompress(rest)
+        return True
 
     def read(self, n: int) -> bytes:
-        parts, have = [self.held], len(self.held)
-        while have < n and self.packed:
-            member = zlib.decompressobj(31)
-            parts.append(member.decompress(self.packed))
-            self.packed = member.unused_data
-            have += len(parts[-1])
-        whole = b"".join(parts)
-        self.held = whole[n:]
-        return whole[:n]
+        if self.used > SLICE << 4:
+            del self.held[: self.used]
+            self.used = 0
+        while len(self.held) - self.used < n and self.more():
+            pass
+        out = bytes(self.held[self.used : self.used + n])
+        self.used += len(out)
+        return out
 
     def number(self) -> int | None:
         raw = self.read(4)
@@ -93,22 +107,38 @@ def record(raw: bytes, names: list[str]) -> tuple:
 
 
 def read_bam(spark: SparkSession, path: str) -> DataFrame:
-    """The records of BAM files, one task for each file; a file must be under Spark's limit for binary files (2 GB)."""
+    """The records of BAM files. A file must be under Spark's limit for binary files (2 GB).
 
-    def decoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    One task inflates a file and cuts it at records; runs of whole records are
+    dealt to all tasks, which decode them.
+    """
+
+    def framed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch["content"]:
                 source = Inflated(content.as_py())
-                names, rows = contigs(source), []
+                names, run = contigs(source), bytearray()
                 while (size := source.number()) is not None:
-                    rows.append(record(source.read(size), names))
-                    if len(rows) == BATCH:
-                        yield table(rows)
-                        rows = []
-                if rows:
-                    yield table(rows)
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(decoded, SCHEMA)
+                    run += struct.pack("<i", size) + source.read(size)
+                    if len(run) >= FRAMED:
+                        yield pa.RecordBatch.from_arrays([pa.array([names], pa.list_(pa.string())), pa.array([bytes(run)], pa.binary())], names=["contigs", "records"])
+                        run.clear()
+                if run:
+                    yield pa.RecordBatch.from_arrays([pa.array([names], pa.list_(pa.string())), pa.array([bytes(run)], pa.binary())], names=["contigs", "records"])
+
+    def decoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for names, run in zip(batch["contigs"].to_pylist(), batch["records"].to_pylist(), strict=True):
+                rows, at = [], 0
+                while at < len(run):
+                    size = struct.unpack_from("<i", run, at)[0]
+                    rows.append(record(run[at + 4 : at + 4 + size], names))
+                    at += 4 + size
+                for s in range(0, len(rows), BATCH):
+                    yield table(rows[s : s + BATCH])
+
+    runs = spark.read.format("binaryFile").load(path).select("content").mapInArrow(framed, "contigs array<string>, records binary")
+    return runs.repartition(spark.sparkContext.defaultParallelism).mapInArrow(decoded, SCHEMA)
 
 
 def read_bam_header(spark: SparkSession, path: str) -> DataFrame:

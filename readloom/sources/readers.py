@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.sequence import first_word, reference_span
@@ -17,11 +17,11 @@ SAM_NUMBERS = {"flag": "int", "pos": "bigint", "mapq": "int", "pnext": "bigint",
 
 
 def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """file, rec_idx, name (with its @), seq, qual; gzip by the file's name."""
+    """file, file_no (in order of names, from 1), rec_idx, name (with its @), seq, qual; gzip by the file's name."""
     if not (path.lower().endswith(FASTQ_NAMES) or "*" in path or "." not in path.rsplit("/", 1)[-1]):
         raise ValueError(f"not a FASTQ file name: {path}")
     records = framed(numbered_lines(spark, path), 4, {0: "name", 1: "seq", 3: "qual"})
-    return records.select("file", "rec_idx", *(F.trim(c).alias(c) for c in ("name", "seq", "qual")))
+    return records.select("file", "file_no", "rec_idx", *(F.trim(c).alias(c) for c in ("name", "seq", "qual")))
 
 
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
@@ -30,22 +30,23 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return records.select(F.col("rec_idx").cast("int").alias("ord"), F.trim(F.regexp_replace("sample", "^>", "")).alias("sample"), F.upper(F.trim("barcode")).alias("barcode"))
 
 
-def read_sam(spark: SparkSession, path: str) -> DataFrame:
-    """The columns of alignment lines, tags as an array, and the line itself."""
-    lines = spark.read.text(path).filter(~F.col("value").startswith("@") & (F.col("value") != ""))
+def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """The columns of alignment lines, tags as an array, the line itself and its file's name."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file")).filter(~F.col("value").startswith("@") & (F.col("value") != ""))
     fields = F.split("value", "\t")
     columns = [F.get(fields, F.lit(i)).cast(SAM_NUMBERS.get(c, "string")).alias(c) for i, c in enumerate(SAM_COLUMNS)]
-    return lines.select(*columns, F.slice(fields, F.lit(12), F.greatest(F.size(fields) - 11, F.lit(0))).alias("tags"), F.col("value").alias("line"))
+    return lines.select(*columns, F.slice(fields, F.lit(12), F.greatest(F.size(fields) - 11, F.lit(0))).alias("tags"), F.col("value").alias("line"), "file")
 
 
-def read_sam_header(spark: SparkSession, path: str) -> DataFrame:
-    """line_no, line of the header."""
-    lines = numbered_lines(spark, path)
-    return lines.filter(F.col("value").startswith("@")).select("line_no", F.col("value").alias("line"))
+def read_sam_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """line_no, line, file of the headers; only their lines, which no alignment looks like, are put in order."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("block", "at"))
+    return lines.filter(F.col("value").startswith("@")).select((place - 1).cast("long").alias("line_no"), F.col("value").alias("line"), "file")
 
 
 def sam_to_bed(sam: DataFrame) -> DataFrame:
-    """Mapped alignments as BED; names and chromosomes are cut at their first space."""
+    """Mapped alignments as BED, with their file if ``sam`` tells it; names and chromosomes are cut at their first space."""
     start = F.col("pos") - 1
     return sam.filter(F.col("flag").bitwiseAND(4) == 0).select(
         first_word(F.col("rname")).alias("chrom"),
@@ -54,6 +55,7 @@ def sam_to_bed(sam: DataFrame) -> DataFrame:
         first_word(F.col("qname")).alias("name"),
         "mapq",
         F.when(F.col("flag").bitwiseAND(16) == 0, "+").otherwise("-").alias("strand"),
+        *(["file"] if "file" in sam.columns else []),
     )
 
 

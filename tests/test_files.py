@@ -26,9 +26,9 @@ def test_fastq_round_trip_over_splits(spark, tmp_path):
     spark.conf.set("spark.sql.files.maxPartitionBytes", "10000")
     try:
         plain = readers.read_fastq(spark, str(tmp_path / "a.fastq"))
-        assert [tuple(r)[2:] for r in plain.orderBy("rec_idx").collect()] == rows
+        assert [tuple(r)[3:] for r in plain.orderBy("rec_idx").collect()] == rows
         assert [r.rec_idx for r in plain.orderBy("rec_idx").collect()] == list(range(3000))
-        assert [tuple(r)[2:] for r in readers.read_fastq(spark, str(tmp_path / "b.fastq.gz")).orderBy("rec_idx").collect()] == rows[:70]
+        assert [tuple(r)[3:] for r in readers.read_fastq(spark, str(tmp_path / "b.fastq.gz")).orderBy("rec_idx").collect()] == rows[:70]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
