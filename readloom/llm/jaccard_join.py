@@ -33,7 +33,7 @@ FREQUENT, FREQUENT_ROWS = 1 << 16, 2
 #: One shingle in so many makes prefixes longer, so that linked sets share more than one shingle of them.
 SPARE = 20
 #: Classes of a block that one tree holds, about; larger blocks are dealt to several trees.
-PART = 1024
+PART = 512
 #: Ids, or hashes of blocks, that are broadcast at most; more are joined by a shuffle.
 FEW = 1_000_000
 #: Beyond FEW keys, those of more than HOT rows are broadcast, but never more than HOT_KEYS.

@@ -4,8 +4,8 @@ Patterns propose spans of four kinds. Those of the base patterns that pass their
 checks always count. Looser patterns propose more; boosted trees over format and
 context features, fitted on base spans against matches that failed their checks,
 score these, and a threshold for each kind, calibrated on matches the trees have not
-seen, selects the ones to redact. A base e-mail always counts, so e-mails have
-examples of their own: base and looser matches, labelled by their form.
+seen, selects the ones to redact. The labels are noisy ones, made by checks, form and
+harmful words before a match, none of which is a feature.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ BASE = {
 #: Looser patterns, whose matches the trees judge.
 LOOSE = {
     "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+(?: ?\[at\] ?| ?\(at\) ?| at )[a-z0-9-]{1,63}+(?:(?: ?\[dot\] ?| ?\(dot\) ?| dot |\.)[a-z0-9-]{2,63}+){1,4}(?![a-z0-9])",
-    "ip": r"(?<![0-9])[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}(?![0-9])",
+    "ip": r"(?i)(?<![0-9])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))[0-9]{1,3}){3}(?![0-9])",
     "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[._/ -]{1,2}[0-9]{4}){3}(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
 }
@@ -100,7 +100,7 @@ def small_parts(match: Column) -> Column:
         plain = F.regexp_replace(part, "^[^0-9]*0*", "")
         return F.when(F.length(plain) > 3, False).otherwise(F.coalesce(plain.try_cast("int"), F.lit(0)) <= 255)
 
-    return F.forall(F.split(F.regexp_replace(match, r"[\[\]]", ""), r"\."), small)
+    return F.forall(F.split(F.regexp_replace(match, r"(?i)[\[(](?:\.|dot)[\])]", "."), r"\."), small)
 
 
 def valid(kind: str, match: Column) -> Column:
@@ -118,22 +118,23 @@ def sign_class(sign: Column) -> Column:
     return F.when(sign.rlike(r"^\s?$"), 0).when(sign.rlike(r"^[\p{L}\p{N}_]"), 1).when(sign.rlike("^[\"'=]"), 2).otherwise(3)
 
 
+def before(text: Column, start: Column) -> Column:
+    """The 24 signs before a span."""
+    return F.substring(text, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
+
+
 def features(text: Column, kind: str, span: Column) -> Column:
-    """Format and context of a span as small numbers."""
+    """Format and context of a span as small numbers; none of them is a check that labels are made by."""
     match, start, end = span["match"], span["start"], span["end"]
-    before = F.substring(text, F.greatest(start - 23, F.lit(1)), F.least(start, F.lit(24)))
-    digits = digits_of(match)
-    n = F.length(digits)
+    n = F.length(digits_of(match))
     return F.array(
         F.lit(KINDS.index(kind)),
         F.least(n, F.lit(20)),
         F.least(F.length(match), F.lit(40)),
         F.least(F.length(F.regexp_replace(match, r"[\p{L}\p{N}]", "")), F.lit(12)),
-        F.when(n.between(12, 19), luhn(digits).cast("int")).otherwise(0),
-        small_parts(match).cast("int"),
         sign_class(F.substring(text, start, F.when(start > 0, 1).otherwise(0))),
         sign_class(F.substring(text, end + 1, F.lit(1))),
-        F.when(before.rlike(HARMFUL), 2).when(before.rlike(HELPFUL), 1).otherwise(0),
+        before(text, start).rlike(HELPFUL).cast("int"),
         F.least(F.length(F.regexp_extract(match, r"(?:\.|dot\W{0,2})([A-Za-z]+)$", 1)), F.lit(8)),
         F.when(F.contains(match, F.lit("@")), 0).when(match.rlike(r"(?i)[\[(]at[\])]"), 1).otherwise(2),
     )
@@ -236,13 +237,18 @@ def proposed(docs: DataFrame) -> DataFrame:
 
 
 def examples(candidates: DataFrame) -> DataFrame:
-    """Feature arrays of base matches and of looser e-mails, labelled by their checks or form; a third is held out for the thresholds."""
+    """Feature arrays of base and looser matches that pass their checks, with a noisy label; a third is held out for the thresholds.
+
+    Such a match is taken for personal data unless a word before it says that it
+    is something else, such as a key or a version; a base e-mail must have the form of one, too.
+    """
 
     def shaped(source: str, kind: str) -> Column:
-        label = lambda s: s["match"].rlike(FORM) if (source, kind) == ("base", "email") else s["passed"]
-        return F.transform(f"{source}_{kind}", lambda s: F.struct(features(F.col("marked"), kind, s).alias("f"), label(s).cast("int").alias("label"), F.pmod(F.xxhash64(s["match"]), F.lit(3)).alias("fold")))
+        looks = lambda s: s["match"].rlike(FORM) if (source, kind) == ("base", "email") else s["passed"]
+        label = lambda s: looks(s) & ~before(F.col("marked"), s["start"]).rlike(HARMFUL)
+        return F.transform(F.filter(f"{source}_{kind}", lambda s: s["passed"]), lambda s: F.struct(features(F.col("marked"), kind, s).alias("f"), label(s).cast("int").alias("label"), F.pmod(F.xxhash64(s["match"]), F.lit(3)).alias("fold")))
 
-    found = [shaped("base", kind) for kind in KINDS] + [shaped("loose", "email")]
+    found = [shaped(source, kind) for source in ("base", "loose") for kind in KINDS]
     return candidates.select(F.explode(F.flatten(F.array(*found))).alias("e")).select("e.*")
 
 

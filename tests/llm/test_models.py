@@ -94,9 +94,11 @@ def test_all_words_are_exchanged(spark):
     """Rare words, none of them a core word and all of one ending, go to the class of the company they keep."""
     rng = random.Random(2)
     frames = [[f"{c}{i}" for i in range(6)] for c in "pq"]
+
     def text(i):
         frame = frames[i % 2]
-        return " ".join(x for j in range(30) for x in (frame[rng.randrange(6)], f"{'pq'[i % 2]}{(i // 2 + 3 * j) % 90}ing"))
+        return " ".join(x for j in range(30) for x in (*rng.choices(frame, k=3), f"{'pq'[i % 2]}{(i // 2 + 3 * j) % 90}ing"))
+
     texts = {i: text(i) for i in range(120)}
     gains = []
     for least in (1.0, 1e9):  # with the exchange of rare words, and without

@@ -179,10 +179,44 @@ def test_pipeline_stages(spark, tmp_path):
     assert {r.doc_id for r in run.select("doc_id").distinct().collect()} == set(after)
 
 
+LONG = "Some words that make a text of its own, long enough to be kept by every rule there is in the first stage of all."
+
+
 def test_pipeline_edges(spark):
-    rows = [(1, None, "en", "s", 0), (2, "", None, None, None), (3, "A text. " * 3, "en", "s", 24), (None, "Some words that make a text of its own, long enough to be kept by every rule there is in the first stage of all.", "en", "s", 99)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    for name, stage in corpus_pipeline.STAGES:
-        for given in (docs, docs.limit(0)):
-            stage(spark, given, SF).collect()
-        assert name
+    """Null ids, repeated rows, different rows of one id, ties, empty and long texts, and columns with clashing names."""
+    other = " ".join(f"word{i} of another sentence that is long." for i in range(9))
+    rows = [(1, None, "en"), (2, "", None), (3, "A text. " * 3, "en"), (None, LONG, "en"), (None, other, "fr"), (7, LONG + " Truly.", "en"), (8, other, "es"), (9, other, "es"), (9, LONG.upper() + " zzz yyy", "en"), (9, other + " x", "de"), (9, other + " x", "de"), (5, " ".join(f"token{i} flows" for i in range(20_000)), "en")]
+    docs = spark.createDataFrame([(*r, "s", 0, "a", 1, "k") for r in rows], "doc_id long, text string, lang string, source string, n_chars long, row string, id int, component_id string")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["quality_rules"](spark, docs, SF)
+    assert sorted(((r.doc_id or 0), r.text[:9]) for r in kept.collect()) == sorted(((r[0] or 0), r[1][:9]) for r in rows[3:])
+    # The groups: texts with LONG (null, 7; and 9 in capitals), texts with the other sentence (null, 8, 9 and, twice the same row, 9), the long one.
+    ones = stages["jaccard_join"](spark, docs, SF)
+    assert sorted(((r.doc_id or 0), (r.text or "")[:9]) for r in ones.collect()) == sorted([(1, ""), (2, ""), (3, "A text. A"), (7, LONG[:9]), (8, other[:9]), (5, "token0 fl")])
+    for name, stage in stages.items():
+        assert stage(spark, docs.limit(0), SF).count() == 0
+        if name in ("decontamination", "pii"):
+            out = stage(spark, docs, SF)
+            assert out.columns == docs.columns and sorted((r.doc_id or 0, r.text or "") for r in out.collect()) == sorted((r[0] or 0, r[1] or "") for r in rows)
+    pieces = stages["packing"](spark, docs, SF).collect()
+    assert sum(r.start == 0 for r in pieces) == len(rows) and {r.doc_id for r in pieces} == {r[0] for r in rows}
+
+
+def test_quality_stage_against_lines(spark):
+    """The first stage keeps what the operator keeps, with the lines that broke no rule."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["quality_rules"](spark, docs, SF).collect()}
+    judged = {r.doc_id for r in QUERIES["op10_line_rules"](spark, SF).collect() if r.kept}
+    texts = sf_texts(spark)
+    assert set(got) == judged
+    for i, text in got.items():
+        lines = iter(texts[i].split("\n"))
+        assert all(line in lines for line in text.split("\n"))  # a subsequence
+
+
+def test_pii_thresholds_for_all_kinds(spark):
+    """Spans of every kind that the base patterns miss, among clean forms that look alike."""
+    texts = {1: "ask jo [at] site [dot] org", 2: "server 10[.]0[.]0[.]7 is up", 3: "card 4111-1111.1111-1111 ok", 4: "call (212) 555-0188 now", 5: "server 10[.]0[.]0[.]777 is up", 6: "card 4111-1111.1111-1112 ok", 7: "the years 1914 1918 1939 1945", 8: "look at this.place now"}
+    want = {1: "email", 2: "ip", 3: "card", 4: "phone"}
+    got = {r.doc_id: (r.base, [s.kind for s in r.spans]) for r in find_personal_data(documents(spark, texts)).collect()}
+    assert {i: g[1] for i, g in got.items()} == {i: [want[i]] if i in want else [] for i in texts} and not any(g[0] for g in got.values())
