@@ -1,8 +1,9 @@
 """Corpus preparation: documents through quality rules, near-duplicate removal, decontamination, redaction and packing.
 
 Each stage takes all documents that the one before kept; all but the last
-return the columns of ``documents``. Rows without a doc_id cannot be told apart
-and leave at the second stage; of rows that repeat a doc_id one stays.
+return the columns of ``documents``. Rows are told apart by all their columns, so
+rows without a doc_id and different rows of one doc_id go through every
+stage; only rows that are equal in all columns are one document.
 """
 
 from __future__ import annotations
@@ -20,6 +21,8 @@ from readloom.llm.scratch import Scratch
 
 #: Words that a packing task remembers; fewer than by default, since its executors have the other stages' memory too.
 REMEMBERED = 300_000
+#: The name of the key that tells rows apart within a stage.
+KEY = "row_key_of_stage"
 
 
 def with_text(docs: DataFrame, changed: DataFrame, text: str) -> DataFrame:
@@ -32,10 +35,15 @@ def as_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*(c for c in docs.columns if c not in ("text", "n_chars"))).alias("row"), "text")
 
 
-def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """``docs`` but those of ``ids``; a short list goes to every task, a long one is joined by a shuffle."""
-    ids = Scratch(docs.sparkSession).keep(ids.distinct())
-    return docs.join(F.broadcast(ids) if ids.count() <= FEW else ids, "doc_id", "left_anti")
+def keyed(docs: DataFrame) -> DataFrame:
+    """With a hash of all columns."""
+    return docs.withColumn(KEY, F.xxhash64(*docs.columns))
+
+
+def without(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``keyed`` rows but those of ``keys``, without the key; a short list goes to every task, a long one is joined by a shuffle."""
+    keys = Scratch(rows.sparkSession).keep(keys.select(KEY).distinct())
+    return rows.join(F.broadcast(keys) if keys.count() <= FEW else keys, KEY, "left_anti").drop(KEY)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,14 +52,25 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    groups = Scratch(spark).keep(near_duplicates(docs).select("doc_id", "component_id"))
-    kept = without(docs.filter(F.col("doc_id").isNotNull()), groups.filter("doc_id <> component_id").select("doc_id"))
-    repeated = groups.groupBy("doc_id").count().filter("count > 1").limit(1).count()
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    """Of each group the row with the least doc_id stays, and of several the one with the least key."""
+    scratch, rows = Scratch(spark), keyed(docs)
+    groups = scratch.keep(near_duplicates(rows, id_col=KEY).select(KEY, "component_id"))
+    others = groups.filter(F.col(KEY) != F.col("component_id"))
+    grouped = scratch.keep(others.union(others.select(F.col("component_id").alias(KEY), "component_id")).distinct())
+    few = F.broadcast(grouped) if grouped.count() <= FEW else grouped
+    members = rows.select(KEY, "doc_id").join(few, KEY).select(KEY, "component_id", F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", KEY).alias("own"))
+    members = scratch.keep(members)
+    least = members.groupBy("component_id").agg(F.min("own").alias("least"))
+    least = scratch.keep(least.select("component_id", F.col("least")[KEY].alias("stays")))
+    gone = members.join(F.broadcast(least) if least.count() <= FEW else least, "component_id").filter(F.col(KEY) != F.col("stays"))
+    kept = without(rows, gone)
+    repeated = groups.groupBy(KEY).count().filter("count > 1").limit(1).count()
+    return kept.dropDuplicates() if repeated else kept
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return without(docs, contained_items(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
+    rows = keyed(docs)
+    return without(rows, contained_items(rows, table(spark, sf_dir, "benchmark"), id_col=KEY))
 
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
