@@ -2,8 +2,7 @@
 
 Patterns propose spans of four kinds. Those of the base patterns that pass their
 checks always count. Looser patterns propose more; boosted trees over format and
-context features, fitted on base spans against matches that failed their checks,
-score these, and a threshold for each kind, calibrated on matches the trees have not
+context features, fitted on matches of both that pass their checks, score these, and a threshold for each kind, calibrated on matches the trees have not
 seen, selects the ones to redact. The labels are noisy ones, made by checks, form and
 harmful words before a match, none of which is a feature.
 """
