@@ -5,9 +5,11 @@ shingles of their prefix, of which two sets that link share several; a class tha
 shares fewer with all others together leaves. A class is a point of its trees: its shingles hashed into groups and counted. The sum of coordinate minima
 bounds what two sets share, and every pair that is verified comes from a search of
 a tree by that bound. First only one class of each block and size asks, the one
-that shares most with all others; blocks whose classes are thereby connected are
-settled. In the rest every class asks for those it isn't connected with. That, and
-not a cap, keeps groups of thousands of near copies from growing with their square.
+that shares most with all others; all it may link to in any of its blocks are one
+tree. It has then met its blocks and leaves them, and blocks whose other classes
+are thereby connected are settled. In the rest every class asks for those it isn't
+connected with. That, and not a cap, keeps groups of thousands of near copies from
+growing with their square.
 """
 
 from __future__ import annotations
@@ -182,20 +184,48 @@ def band_of(n: Column, percent: int) -> Column:
     return F.floor(F.log(n.cast("double")) / F.lit(-np.log(percent / 100))).cast("int")
 
 
-def asked_by_pivots(banded: DataFrame) -> DataFrame:
-    """Members of trees, and for each block and band the one class that asks; a large block is dealt to several trees, all of which it asks.
+def with_pivots(banded: DataFrame, scratch: Scratch) -> DataFrame:
+    """Rows of ``banded`` with ``near``, the classes that ask for them, and ``asks``, whether they are such a class.
 
-    ``banded``: block, size, id, n, band, weight. A text that was copied with
-    changes is nearer to the copies than they are to each other, so the class
-    with the greatest weight asks.
+    ``banded``: block, size, id, n, band, weight. In each block one class of each
+    band asks for those of its own and the two neighbouring bands, in which all
+    that may link to it are. A text that was copied with changes is nearer to the
+    copies than they are to each other, so the class with the greatest weight asks.
     """
+    first = banded.groupBy("block", "band").agg(F.max(F.struct("weight", "id", "n")).alias("pivot"), F.first("size").alias("size"))
+    pivots = first.groupBy("block").agg(F.collect_list(F.struct("band", "pivot.id", "pivot.n")).alias("pivots"), F.first("size").alias("size"))
+    rows = with_keys(banded.drop("size"), scratch.keep(pivots), ["block"])
+    near = F.filter("pivots", lambda p: (F.abs(p["band"] - F.col("band")) <= 1) & (p["id"] != F.col("id")))
+    asks = F.exists("pivots", lambda p: (p["id"] == F.col("id")) & (p["n"] == F.col("n")))
+    return rows.select("block", "id", "n", "band", near.alias("near"), asks.alias("asks"))
+
+
+def asked_by_pivots(found: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members of trees: one tree for each asking class, of the classes near it in any of its blocks, and the class itself as the only one that asks.
+
+    A large tree is dealt to several, all of which are asked.
+    """
+    met = scratch.reuse(found.select("id", "n", F.explode("near").alias("pivot")).select(F.col("pivot.id").alias("block"), F.col("pivot.n").alias("asking"), "id", "n").distinct())
+    trees = scratch.keep(met.groupBy("block", "asking").agg(F.count("*").alias("size")))
     parts = F.ceil(F.col("size") / PART).cast("long")
-    held = banded.select("block", F.pmod(F.xxhash64("id"), parts).alias("part"), F.lit(0).alias("side"), "id", "n", F.col("id").alias("component"))
-    pivots = banded.groupBy("block", "band").agg(F.max(F.struct("weight", "id", "n")).alias("pivot"), F.first("size").alias("size"))
-    asking = pivots.select("block", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.lit(1).alias("side"), "pivot.id", "pivot.n", F.col("pivot.id").alias("component"))
+    dealt = with_keys(met, trees, ["block", "asking"])
+    held = dealt.select("block", F.pmod(F.xxhash64("id"), parts).alias("part"), F.lit(0).alias("side"), "id", "n", F.col("id").alias("component"))
+    asking = trees.select("block", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1)).alias("part"), F.lit(1).alias("side"), F.col("block").alias("id"), F.col("asking").alias("n"), F.col("block").alias("component"))
     return held.unionByName(asking)
 
 
+def left_over(found: DataFrame, joined: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Classes with their components that did not ask, by block, and the blocks (block, size) in which some of them are still to be compared.
+
+    A class that asked has met all of its block that may link to it. Blocks with the same classes left are one.
+    """
+    rows = found.filter(~F.col("asks")).join(joined, "id", "left").select("block", "id", "n", F.coalesce("component", "id").alias("component"))
+    rows = scratch.reuse(rows)
+    sums = rows.groupBy("block").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"), F.sum(F.xxhash64("id", "n").cast("decimal(38,0)")).alias("same"))
+    mixed = sums.filter((F.col("low") < F.col("high")) & ((F.col("size") > 2) | (percent * F.col("most") <= 100 * F.col("least"))))
+    return rows, scratch.keep(mixed.groupBy("size", "same").agg(F.min("block").alias("block")).select("block", "size"))
+
+
 def asked_by_all(labelled: DataFrame, sizes: DataFrame, percent: int, scratch: Scratch) -> DataFrame:
     """Members of the blocks ``sizes`` (block, size), each of which asks for classes of other components.
 
@@ -299,13 +329,12 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     banded = scratch.reuse(weighed.drop("weight").join(weights, "id").withColumn("band", band_of(F.col("n"), percent)))
     points = scratch.reuse(once(classes.join(short_list(scratch.keep(weights.select("id"))), "id", "left_semi").select("id", "n", "counts")))
 
-    met = scratch.keep(candidates(asked_by_pivots(banded).join(points, ["id", "n"]), percent))
+    found = scratch.reuse(with_pivots(banded, scratch))
+    met = scratch.keep(candidates(asked_by_pivots(found, scratch).join(points, ["id", "n"]), percent))
     links = scratch.keep(verified(met, narrow, scratch, width, percent, once))
     joined = connected(links, scratch)
 
-    labelled = banded.join(joined, "id", "left").select("block", "id", "n", F.coalesce("component", "id").alias("component"))
-    mixed = labelled.groupBy("block").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high")).filter("size > 2 and low < high")
-    mixed = scratch.keep(mixed.select("block", "size"))
+    labelled, mixed = left_over(found, joined, percent, scratch)
     rest = candidates(asked_by_all(labelled, mixed, percent, scratch).join(points, ["id", "n"]), percent).join(met, ["a", "b"], "left_anti")
     more = verified(scratch.keep(rest), narrow, scratch, width, percent, once)
     whole = connected(links.union(more), scratch)
