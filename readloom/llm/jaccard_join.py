@@ -70,7 +70,7 @@ def least_common(n):
 
 
 def features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """id, n, two hashes of the set, its prefix and its counts by group."""
+    """id, n, two hashes of the set, the rare and the frequent shingles of its prefix and its counts by group."""
 
     def made(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in by_bytes(rows(batches), 1 << 20):
@@ -88,14 +88,17 @@ def features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
             place = np.where(common, rare[text] + (np.arange(len(flat)) - starts[text]) - rare_before, rare_before)
             length = np.where(sizes > 0, np.minimum(sizes, sizes + (percent * sizes) // -100 + least_common(sizes)), 0)
             taken = place < length[text]
-            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(length)), pa.int32()), pa.array(flat[taken].view(np.int64)))
+            own = []
+            for chosen in (taken & ~common, taken & common):
+                ends = np.cumsum(np.bincount(text[chosen], minlength=len(sizes)))
+                own.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(flat[chosen].view(np.int64))))
             groups = groups_for(sizes)
             bases = np.cumsum(groups) - groups
             counts = np.bincount(bases[text] + ((flat >> np.uint64(17)).astype(np.int64) & (groups[text] - 1)), minlength=int(groups.sum()))
             points = list(map(packed_counts, cut_by(counts, groups)))
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array(sizes), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), lists, pa.array(points, pa.binary())], names=["id", "n", "f1", "f2", "prefix", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array(sizes), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), *own, pa.array(points, pa.binary())], names=["id", "n", "f1", "f2", "rare", "frequent", "counts"])
 
-    return docs.mapInArrow(made, "id long, n long, f1 long, f2 long, prefix array<long>, counts binary")
+    return docs.mapInArrow(made, "id long, n long, f1 long, f2 long, rare array<long>, frequent array<long>, counts binary")
 
 
 def candidates(members: DataFrame, percent: int) -> DataFrame:
@@ -165,6 +168,19 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
     return laid.mapInArrow(searched, "a long, b long").distinct()
 
 
+def occurring_again(classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """id, n, block: the prefix shingles that another class has, too.
+
+    A rare shingle was in less than FREQUENT_ROWS of SAMPLE rows, so its rows meet in one
+    task, in one shuffle at any size of the input. Those of frequent ones, FREQUENT
+    at most, don't meet: they are counted before the shuffle and the counts are broadcast.
+    """
+    rare, frequent = (classes.select("id", "n", F.explode(k).alias("block")) for k in ("rare", "frequent"))
+    sized = rare.withColumn("size", F.count("*").over(Window.partitionBy("block"))).filter("size > 1")
+    counts = scratch.keep(frequent.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1").select("block"))
+    return sized.select("id", "n", "block").unionByName(frequent.join(F.broadcast(counts), "block").select("id", "n", "block"))
+
+
 def with_keys(rows: DataFrame, keys: DataFrame, by: list[str], how: str = "inner") -> DataFrame:
     """``rows`` joined with the written table ``keys`` (``by``, size and more); rows of one key meet in one task only if they are few.
 
@@ -314,9 +330,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     classes = named.join(short_list(scratch.keep(copies.select("id", *key).distinct())), ["id", *key], "left_anti")
     once = (lambda df: df.distinct()) if sets.groupBy("id").count().filter("id is not null and count > 1").limit(1).count() else lambda df: df
 
-    prefix = classes.select("id", "n", F.explode("prefix").alias("block"))
-    shared = scratch.keep(prefix.groupBy("block").agg(F.count("*").alias("size")).filter("size > 1"))
-    met_again = scratch.reuse(with_keys(prefix, shared, ["block"]).select("id", "n", "block"))
+    met_again = scratch.reuse(occurring_again(classes, scratch))
     smallest = F.ceil(F.col("n") * percent / 100).cast("long")  # of the sets that may link
     able = met_again.groupBy("id", "n").agg(F.count("*").alias("met")).filter(F.col("met") >= 1 + F.floor(smallest / SPARE)).select("id", "n")
     members = scratch.reuse(once(met_again.join(short_list(scratch.keep(able)), ["id", "n"], "left_semi")))
