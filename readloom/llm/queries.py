@@ -10,14 +10,17 @@ from pyspark.sql import functions as F
 
 from readloom.llm.brown import score
 from readloom.llm.contamination import contained_items
+from readloom.llm.divergence import source_divergence
 from readloom.llm.jaccard_join import near_duplicates
 from readloom.llm.kneser_ney import judge_quality
 from readloom.llm.line_rules import quality_rules
 from readloom.llm.packing import pack
 from readloom.llm.pii import KINDS, find_personal_data, rendered
+from readloom.llm.sharding import shuffle_into_shards
 from readloom.llm.tokens import count_tokens
 from readloom.llm.toxicity import score_toxicity
 from readloom.llm.url_rules import judge_urls
+from readloom.llm.vector_codes import compress_vectors, digest, with_label_error
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 PIECE_COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
@@ -89,6 +92,21 @@ def op10_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "lost_percent")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = compress_vectors(table(spark, sf_dir, "embeddings"))
+    return with_label_error(coded).select("vec_id", "code", "error", "label_error", F.lit(digest(books)).alias("codebooks_sha256"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
+    dealt = shuffle_into_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return dealt.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_brown_score": op1_brown_score,
     "op2_packing": op2_packing,
@@ -100,8 +118,41 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard_join": op8_jaccard_join,
     "op9_contamination": op9_contamination,
     "op10_line_rules": op10_line_rules,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_sharding": op12_sharding,
+    "op13_source_divergence": op13_source_divergence,
 }
+#: One round of op11's oracle: each part's nearest entry, and the entries' means.
+NEAREST = """near{0} as (select vec_id, p, any_value(x) as x, min(d * 64 + e) as m from (
+            select s.vec_id, s.p, s.x, b.e, list_sum(list_transform(range(1, len(s.x) + 1), lambda i: (s.x[i] - b.x[i]) * (s.x[i] - b.x[i]))) :: bigint as d from sliced s join book{0} b on s.p = b.p) group by vec_id, p)"""
+MEANS = """sums{0} as (select p, e, i, count(*) as n, sum(x[i]) :: bigint as total from (select p, m % 64 as e, x, unnest(range(1, len(x) + 1)) as i from near{0}) group by p, e, i),
+        book{1} as (select b.p, b.e, coalesce(u.x, b.x) as x from book{0} b left join (select p, e, list((total - ((total % n) + n) % n) // n order by i) as x from sums{0} group by p, e) u on b.p = u.p and b.e = u.e)"""
 ORACLES: dict[str, str] = {
+    "op11_vector_codes": f"""
+        with kept as (select vec_id, label, list_transform(embedding, lambda x: floor(256 * x :: double) :: bigint) as v from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        sliced as (select vec_id, label, p, v[p * len(v) // 16 + 1 : (p + 1) * len(v) // 16] as x from kept, (select unnest(range(16)) as p)),
+        book0 as (select p, e, x from (select p, x, row_number() over (partition by p order by vec_id) - 1 as e from sliced) where e < 64),
+        {NEAREST.format(0)}, {MEANS.format(0, 1)}, {NEAREST.format(1)}, {MEANS.format(1, 2)}, {NEAREST.format(2)},
+        coded as (select k.vec_id, any_value(k.label) as label, string_agg(format('{{:02x}}', m % 64), '' order by p) as code, sum(m // 64) :: bigint as error from near2 n join kept k on n.vec_id = k.vec_id group by k.vec_id)
+        select vec_id, code, error, sum(error) over (partition by label) :: bigint as label_error,
+            (select sha256(string_agg(array_to_string(x, ','), ',' order by p, e)) from book2) as codebooks_sha256 from coded""",
+    "op13_source_divergence": r"""
+        with docs as (select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t from documents),
+        found as (select doc_id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from docs),
+        kept as (select lang, term, count(*) as lang_n from found group by lang, term having count(distinct doc_id) >= 3),
+        whole as (select lang, count(*) as v, sum(lang_n) as total from kept group by lang),
+        counts as (select f.lang, f.source, f.term, count(*) as n from found f join kept k on f.lang = k.lang and f.term = k.term group by all),
+        groups as (select g.lang, g.source, coalesce(any_value(w.v), 0) as v, coalesce(any_value(w.total), 0) as lang_total, coalesce(sum(c.n), 0) as total
+            from (select distinct lang, source from docs) g left join whole w on w.lang = g.lang left join counts c on c.lang = g.lang and c.source = g.source group by g.lang, g.source),
+        grid as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n, (1 + (1000000000 :: hugeint * (coalesce(c.n, 0) + 1)) // (g.total + g.v)) :: bigint as p,
+                (1 + (1000000000 :: hugeint * (k.lang_n + 1)) // (g.lang_total + g.v)) :: bigint as q
+            from groups g join kept k on k.lang = g.lang left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+        priced as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // b.p) :: bigint as value from grid a join grid b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+        pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(p.value, 0) as value from groups a join groups b on a.lang = b.lang and a.source <> b.source left join priced p on p.lang = a.lang and p.source = a.source and p.item = b.source),
+        terms as (select lang, source, 'term' as part, term as item, (p - q) * (p - q) // q as value from grid where n > 0 and p > q),
+        ranked as (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from (select * from pairs union all select * from terms))
+        select lang, source, part, item, value, rank from ranked where part = 'pair' or rank <= 200""",
     "op5_url_rules": """
         with rules(host, path, verdict) as (values ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'), ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
         p as (select page_id,
