@@ -14,6 +14,8 @@ from readloom.operators import demux as X
 from readloom.operators import merge as M
 from readloom.plans.layout import parse_layout
 from readloom.plans.views import view, with_views
+from readloom.sources.bam import read_bam, write_bam
+from readloom.sources.storage import shared_folder
 
 FLASH = parse_layout("flash")
 UVCLAP = parse_layout("uvclap")
@@ -278,11 +280,37 @@ def mate_pairs_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.pair_up(reads, reads.filter("(rec_idx * 3 + file_no) % 2 = 0")).select("file_no", "rec_idx", "name_f", "name_r")
 
 
-@query("select rec_idx, cast(case rec_idx % 3 when 0 then 50 when 1 then 34 else 130 end as bigint) as span from v_fq", "v_fq")
+@query("select rec_idx, cast(covered as bigint) as span from v_sam", "v_sam")
 def cigar_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference bases of alignments."""
-    cigar = F.when(F.col("rec_idx") % 3 == 0, "50M").when(F.col("rec_idx") % 3 == 1, "5S30M2I4D3H").otherwise("20M100N10M")
-    return view(spark, sf_dir, "v_fq").select("rec_idx", S.reference_span(cigar).alias("span"))
+    return view(spark, sf_dir, "v_sam").select("rec_idx", F.coalesce(S.reference_span(F.col("cigar")), F.lit(0)).cast("long").alias("span"))
+
+
+def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return view(spark, sf_dir, "v_sam").withColumn("tags", F.array("tag"))
+
+
+def written_bam(spark: SparkSession, sf_dir: str) -> str:
+    """The alignments as a sorted, indexed BAM file in the shared folder."""
+    path = f"{shared_folder(spark)}/sorted.bam"
+    header = spark.createDataFrame([(0, "@HD\tVN:1.6\tSO:coordinate"), *((i + 1, f"@SQ\tSN:chr{i}\tLN:1000000") for i in (0, 1, 2))], "line_no long, line string")
+    write_bam(header, alignments(spark, sf_dir), path)
+    return path
+
+
+SAM = "qname, flag, rname, pos, mapq, cigar, rnext, pnext, tlen, seq, qual, tag"
+
+
+@query(f"select {SAM} from v_sam", "v_sam")
+def bam_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments written as BAM and read again in ranges."""
+    return read_bam(spark, written_bam(spark, sf_dir), range_bytes=1 << 20).withColumn("tag", F.col("tags")[0]).select(*SAM.split(", "))
+
+
+@query(f"select {SAM} from v_sam where rname = 'chr1' and pos <= 350000 and pos - 1 + covered > 299999", "v_sam")
+def bam_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments over a region, by the index."""
+    return read_bam(spark, written_bam(spark, sf_dir), region="chr1:300,000-350,000").withColumn("tag", F.col("tags")[0]).select(*SAM.split(", "))
 
 
 @query("select rec_idx, split_part(split_part(name, ' ', 1), ':', 8) as header_umi, split_part(name, ' ', 1) || ':ACG ' || split_part(name, ' ', 2) as tagged from v_fq", "v_fq")

@@ -19,7 +19,7 @@ from readloom.operators import demux as X
 from readloom.operators.merge import merge_aligners, merge_mates, pair_up, unmapped
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
-from readloom.sources.bam import read_bam, read_bam_header, with_lines
+from readloom.sources.bam import read_bam, read_bam_header, with_lines, write_bam
 
 log = logging.getLogger(__name__)
 
@@ -161,10 +161,11 @@ def parser() -> argparse.ArgumentParser:
     fastq = commands.add_parser("dedup-reads", help="one read for each sequence and barcode")
     fastq.add_argument("-f", "--forward", required=True)
     fastq.add_argument("-o", "--out", required=True)
-    sam = commands.add_parser("dedup-sam", help="drop duplicate alignments of SAM files or of a BAM file")
-    sam.add_argument("-i", "--input", required=True, nargs="+", help="several SAM files are cleaned each for itself, in one job, into a folder each")
+    sam = commands.add_parser("dedup-sam", help="drop duplicate alignments of SAM or BAM files")
+    sam.add_argument("-i", "--input", required=True, nargs="+", help="several files are cleaned each for itself, in one job, into a folder each")
     sam.add_argument("-o", "--out", required=True)
     sam.add_argument("-k", "--bed")
+    sam.add_argument("--bam", action="store_true", help="write sorted BAM files with an index instead of SAM text; of several files into the output folder")
     sam.add_argument("-m", "--min-mapq", type=int, default=10)
     sam.add_argument("--keep-last", action="store_true")
     tracks = commands.add_parser("tracks", help="from alignments to coverage and crosslink tracks")
@@ -210,18 +211,28 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
 
 def clean_alignments(spark: SparkSession, args: argparse.Namespace) -> None:
     """Removes duplicates within each of the files, all in one job."""
-    packed, several = args.input[0].endswith(".bam"), len(args.input) > 1
-    if packed and several:
-        raise ValueError("one BAM file at a time")
-    sam = with_lines(read_bam(spark, args.input[0])) if packed else readers.read_sam(spark, args.input)
-    header = read_bam_header(spark, args.input[0]) if packed else readers.read_sam_header(spark, args.input)
+    packed, several = {i.endswith(".bam") for i in args.input} == {True}, len(args.input) > 1
+    if any(i.endswith(".bam") for i in args.input) and not packed:
+        raise ValueError("files are BAM or SAM, not both")
+    if args.out.rstrip("/") in [i.rstrip("/") for i in args.input] or args.bed and args.bed.rstrip("/") in (*args.input, args.out.rstrip("/")):
+        raise ValueError(f"the input or the other output would be overwritten: {args.out}")
+    sam = with_lines(read_bam(spark, args.input)) if packed else readers.read_sam(spark, args.input)
+    header = read_bam_header(spark, args.input) if packed else readers.read_sam_header(spark, args.input)
     if not several:
         sam, header = sam.drop("file"), header.drop("file")
     by = ("file",) if several else ()
     bed = readers.sam_to_bed(sam)
     kept = D.dedup_alignments(bed, min_mapq=args.min_mapq, strict=not args.keep_last, by=by)
     named = sam.withColumn("qname", F.element_at(F.split("qname", " "), 1))
-    writers.write_sam(header, D.keep_by_name(named, kept), args.out, by_file=several)
+    lines = D.keep_by_name(named, kept)
+    if not args.bam:
+        writers.write_sam(header, lines, args.out, by_file=several)
+    elif not several:
+        write_bam(header, lines, args.out)
+    else:
+        for path in args.input:
+            name = path.rpartition("/")[2]
+            write_bam(header.filter(F.col("file") == name), lines.filter(F.col("file") == name), f"{args.out}/{name.removesuffix('.sam').removesuffix('.bam')}.bam")
     if args.bed:
         writers.write_bed(kept, args.bed, by)
     D.alignment_stats(bed, min_mapq=args.min_mapq, strict=not args.keep_last, by=by).show(200, truncate=False)

@@ -26,8 +26,22 @@ VIEWS = {
         '@S:1:F:1:1:' || cast(o_orderkey as string) || ':1:' || substr(translate(md5('u' || cast(o_orderkey % 5 as string)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 10) || ' 1:N:0' as name,
         translate(md5('d' || cast(o_custkey % 50 as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq,
         translate(md5('q' || cast(o_orderkey as string)), '0123456789abcdef', '!#%+-./0159<?DFI') as qual from orders""",
+    "v_sam": """select o_orderkey as rec_idx, 'S:1:F:1:' || cast(o_custkey as string) || ':' || cast(o_orderkey % 13 as string) || ':' || cast(o_orderkey as string) || ':ACGT' as qname,
+        cast(case when o_orderkey % 50 = 0 then 4 when o_orderkey % 4 < 2 then 0 else 16 end as int) as flag,
+        case when o_orderkey % 50 = 0 then '*' else 'chr' || cast(o_custkey % 3 as string) end as rname,
+        case when o_orderkey % 50 = 0 then 0 else 1 + (o_orderkey * 7919) % 900001 end as pos, cast(o_orderkey % 43 as int) as mapq,
+        case when o_orderkey % 50 = 0 then '*' when o_custkey % 4 = 0 then cast(5 + o_custkey % 8 as string) || 'M' || cast(1 + o_orderkey % 3 as string) || 'I' || cast(27 - o_custkey % 8 - 1 - o_orderkey % 3 as string) || 'M'
+            when o_custkey % 4 = 1 then cast(5 + o_custkey % 8 as string) || 'S' || cast(27 - o_custkey % 8 as string) || 'M'
+            when o_custkey % 4 = 2 then cast(5 + o_custkey % 8 as string) || 'M' || cast(100 + o_custkey % 50 as string) || 'N' || cast(27 - o_custkey % 8 as string) || 'M'
+            else cast(5 + o_custkey % 8 as string) || '=' || cast(1 + o_orderkey % 3 as string) || 'D' || cast(27 - o_custkey % 8 as string) || 'X2H' end as cigar,
+        '*' as rnext, cast(0 as bigint) as pnext, o_orderkey % 1000 - 500 as tlen,
+        translate(md5(cast(o_orderkey as string)), '0123456789abcdef', 'ACGTACGTACGTACGN') as seq,
+        translate(md5('q' || cast(o_orderkey as string)), '0123456789abcdef', '!#%+-./0159<?DFI') as qual,
+        'NM:i:' || cast(o_custkey * 17 as string) as tag,
+        case when o_orderkey % 50 = 0 then 0 when o_custkey % 4 = 0 then 32 - 1 - o_orderkey % 3 when o_custkey % 4 = 1 then 27 - o_custkey % 8
+            when o_custkey % 4 = 2 then 132 + o_custkey % 50 else 33 + o_orderkey % 3 end as covered from orders""",
 }
-SOURCES = {"v_samples": "nation", "v_pairs": "events", "v_merged": "v_pairs", "v_bed": "orders", "v_fq": "orders"}
+SOURCES = {"v_samples": "nation", "v_pairs": "events", "v_merged": "v_pairs", "v_bed": "orders", "v_fq": "orders", "v_sam": "orders"}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

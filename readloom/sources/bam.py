@@ -1,35 +1,49 @@
-"""BAM files as the columns of SAM lines."""
+"""BAM files as a data source: read in ranges of blocks or by region, written sorted and indexed.
+
+A range's first block is found by the chain of blocks behind it, its first record
+by the chain of records. Where a range ends, the reader looks for the next range's
+first record too and compares it with where its own last record ended, so a wrong
+guess would fail the job instead of changing what is read.
+"""
 
 from __future__ import annotations
 
 import struct
+import uuid
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, field
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
+
+from readloom.sources import bgzf
+from readloom.sources.bam_index import Index, PartIndex, parsed_region
+from readloom.sources.bam_records import Head, head_bytes, head_of, record, record_bytes, size_if_record, span_of
+from readloom.sources.storage import files_of, join_parts, located
 
 SCHEMA = "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags array<string>"
-#: Fixed values of the format: letters of alignment operations, of bases, and struct codes of tag types.
-OPERATIONS, BASES = "MIDNSHP=X", "=ACMGRSVTWYHKDBN"
-NUMBERS = {"c": "b", "C": "B", "s": "h", "S": "H", "i": "i", "I": "I", "f": "f"}
-#: Records of a batch, bytes of packed input that are inflated at once, and bytes of records that one row carries to the task that decodes them.
-BATCH, SLICE, FRAMED = 5000, 1 << 16, 1 << 20
+COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
+#: Records of a batch, packed bytes of a range, and records that must follow one another where a search finds one.
+BATCH, RANGE, CHAIN = 5000, 64 << 20, 8
+#: Packed bytes that are inflated at once of a file that isn't in blocks, and bytes that a search keeps.
+SLICE = 1 << 16
 
 
 class Inflated:
     """Reads a sequence of gzip members as one run of bytes, a slice of the packed bytes at a time."""
 
-    def __init__(self, packed: bytes):
-        self.packed, self.at, self.held, self.used, self.member = memoryview(packed), 0, bytearray(), 0, zlib.decompressobj(31)
+    def __init__(self, file):
+        self.file, self.held, self.used, self.member = file, bytearray(), 0, zlib.decompressobj(31)
 
     def more(self) -> bool:
         """Inflates the next slice; what is left of a slice when a member ends starts the next member."""
-        left = self.packed[self.at : self.at + SLICE]
-        if not len(left):
+        left = self.file.read(SLICE)
+        if not left:
             return False
-        self.at += len(left)
         self.held += self.member.decompress(left)
         while self.member.eof:
             rest = self.member.unused_data
@@ -49,119 +63,235 @@ class Inflated:
         self.used += len(out)
         return out
 
-    def number(self) -> int | None:
-        raw = self.read(4)
-        return struct.unpack("<i", raw)[0] if len(raw) == 4 else None
-
-
-def contigs(source: Inflated) -> list[str]:
-    """Names of the reference sequences; leaves the source at the first record."""
-    if source.read(4) != b"BAM\1":
-        raise ValueError("not a BAM file")
-    source.read(source.number())
-    names = []
-    for _ in range(source.number()):
-        names.append(source.read(source.number())[:-1].decode())
-        source.number()
-    return names
-
-
-def tags_of(raw: bytes) -> list[str]:
-    out, at = [], 0
-    while at < len(raw):
-        name, kind = raw[at : at + 2].decode(), chr(raw[at + 2])
-        at += 3
-        if kind in "ZH":
-            end = raw.index(0, at)
-            out.append(f"{name}:{kind}:{raw[at:end].decode()}")
-            at = end + 1
-        elif kind == "A":
-            out.append(f"{name}:A:{chr(raw[at])}")
-            at += 1
-        elif kind == "B":
-            inner, n = chr(raw[at]), struct.unpack_from("<i", raw, at + 1)[0]
-            values = struct.unpack_from(f"<{n}{NUMBERS[inner]}", raw, at + 5)
-            out.append(f"{name}:B:{inner}," + ",".join(f"{v:g}" if inner == "f" else str(v) for v in values))
-            at += 5 + n * struct.calcsize(NUMBERS[inner])
-        else:
-            (value,) = struct.unpack_from(f"<{NUMBERS[kind]}", raw, at)
-            out.append(f"{name}:f:{value:g}" if kind == "f" else f"{name}:i:{value}")
-            at += struct.calcsize(NUMBERS[kind])
-    return out
-
-
-def record(raw: bytes, names: list[str]) -> tuple:
-    ref, pos, name_size, mapq, _, cigar_size, flag, seq_size, next_ref, next_pos, tlen = struct.unpack_from("<iiBBHHHiiii", raw)
-    at = 32 + name_size
-    name = raw[32 : at - 1].decode()
-    runs = struct.unpack_from(f"<{cigar_size}I", raw, at)
-    at += 4 * cigar_size
-    packed = raw[at : at + (seq_size + 1) // 2]
-    at += len(packed)
-    qual = raw[at : at + seq_size]
-    seq = "".join(BASES[b >> 4] + BASES[b & 15] for b in packed)[:seq_size]
-    where = lambda i: names[i] if i >= 0 else "*"
-    shown = "*" if not qual or qual[0] == 255 else "".join(chr(q + 33) for q in qual)
-    near = "=" if next_ref == ref and ref >= 0 else where(next_ref)
-    return name, flag, where(ref), pos + 1, mapq, "".join(f"{r >> 4}{OPERATIONS[r & 15]}" for r in runs) or "*", near, next_pos + 1, tlen, seq or "*", shown, tags_of(raw[at + seq_size :])
-
-
-def read_bam(spark: SparkSession, path: str) -> DataFrame:
-    """The records of BAM files. A file must be under Spark's limit for binary files (2 GB).
-
-    One task inflates a file and cuts it at records; runs of whole records are
-    dealt to all tasks, which decode them.
+
+def head_in(path: str) -> Head:
+    system, own = located(path)
+    with system.open_input_stream(own, compression=None) as file:
+        return head_of(Inflated(file).read)
+
+
+def first_record(file, size: int, start: int, head: Head) -> int:
+    """Place of the first record whose block starts at or behind ``start``; the file's size, shifted, if there is none."""
+    block = bgzf.first_block(file, size, start)
+    stream = bgzf.Stream(file, size, block)
+    if block == 0:
+        stream.skip(head.length)
+        return stream.place()
+    off = 0
+    while stream.there(off + 1):
+        at, chain = off, 0
+        while chain < CHAIN and stream.there(at + 36):
+            told = size_if_record(stream.held, stream.used + at, head.sizes)
+            if told is None:
+                break
+            at, chain = at + told, chain + 1
+        if chain == CHAIN or chain and not stream.there(at + 1) and len(stream.held) - stream.used == at:
+            stream.skip(off)
+            return stream.place()
+        off += 1
+        if off == SLICE:
+            stream.skip(off)
+            off = 0
+    return size << 16
+
+
+@dataclass
+class Range(InputPartition):
+    """Records of a file whose places lie in [first, last); ``start`` and ``end`` instead are packed bytes, of which the places are found."""
+
+    path: str
+    size: int
+    start: int = 0
+    end: int = 0
+    first: int | None = None
+    last: int | None = None
+    blocked: bool = True
+
+
+class BamReader(DataSourceReader):
+    def __init__(self, options: dict[str, str]):
+        self.region = options.get("region")
+        self.range = int(options.get("range", RANGE))
+        self.files = files_of(options["path"].split("\n"))
+        self.heads = {path: head_in(path) for path, _ in self.files}
+
+    def partitions(self) -> Sequence[Range]:
+        out = []
+        for path, size in self.files:
+            system, own = located(path)
+            with system.open_input_file(own) as file:
+                blocked = bgzf.is_blocked(file)
+            if self.region and blocked:
+                ref, start, end = parsed_region(self.region, self.heads[path])
+                out += [Range(path, size, first=a, last=b) for a, b in Index.of_file(path + ".bai").places(ref, start, end)]
+            elif blocked:
+                out += [Range(path, size, s, min(s + self.range, size)) for s in range(0, size, self.range)]
+            else:
+                out.append(Range(path, size, blocked=False))
+        return out
+
+    def records(self, part: Range) -> Iterator[bytes]:
+        system, own = located(part.path)
+        head = self.heads[part.path]
+        if not part.blocked:
+            with system.open_input_stream(own, compression=None) as file:
+                source = Inflated(file)
+                head_of(source.read)
+                while size := source.read(4):
+                    yield source.read(struct.unpack("<i", size)[0])
+            return
+        with system.open_input_file(own) as file:
+            first = first_record(file, part.size, part.start, head) if part.first is None else part.first
+            last = part.end << 16 if part.last is None else part.last
+            if first >= last:
+                return
+            stream = bgzf.Stream(file, part.size, first >> 16, first & 0xFFFF)
+            while (place := stream.place()) < last:
+                raw = stream.read(4)
+                size = struct.unpack("<i", raw)[0] if len(raw) == 4 else -1
+                raw = stream.read(max(size, 0))
+                if size < 32 or len(raw) < size:
+                    raise ValueError(f"{part.path}: no whole record at {place}")
+                yield raw
+            if part.last is None and part.end < part.size and first_record(file, part.size, part.end, head) != place:
+                raise ValueError(f"{part.path}: ranges do not meet at {place}")
+
+    def read(self, part: Range | None) -> Iterator[pa.RecordBatch]:
+        if part is None:  # a region without records has no range
+            return
+        head, rows = self.heads[part.path], []
+        ref, start, end = parsed_region(self.region, head) if self.region else (-1, 0, 0)
+        name = part.path.rpartition("/")[2]
+        for raw in self.records(part):
+            row = record(raw, head.names)
+            if self.region and not (row[2] == head.names[ref] and row[3] <= end and row[3] - 1 + max(1, span_of(row[5])) > start):
+                continue
+            rows.append(row)
+            if len(rows) == BATCH:
+                yield table(rows, name)
+                rows = []
+        if rows:
+            yield table(rows, name)
+
+
+@dataclass
+class Part(WriterCommitMessage):
+    """What a task wrote: its number, its file and its share of the index."""
+
+    number: int
+    path: str
+    index: PartIndex = field(default_factory=PartIndex)
+
+
+class BamWriter(DataSourceArrowWriter):
+    def __init__(self, options: dict[str, str], overwrite: bool):
+        self.path, self.text = options["path"], options.get("header", "")
+        system, own = located(self.path)
+        if not overwrite and system.get_file_info([own])[0].type.value:
+            raise FileExistsError(self.path)
+        self.names, self.sizes = contigs_of(self.text)
+        self.parts = f"{self.path}.parts-{uuid.uuid4().hex}"
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> Part:
+        task = TaskContext.get()
+        part = Part(task.partitionId(), f"{self.parts}/{task.partitionId()}-{task.taskAttemptId()}")
+        refs = {name: i for i, name in enumerate(self.names)}
+        system, own = located(part.path)
+        system.create_dir(located(self.parts)[1], recursive=True)
+        with system.open_output_stream(own, compression=None) as out:
+            writer = bgzf.Writer(out)
+            for batch in iterator:
+                for row in batch.to_pylist():
+                    raw, ref, start, end = record_bytes(row, refs)
+                    part.index.add(ref, start, end, *writer.put(raw))
+            writer.flush()
+            part.index.bytes = writer.at
+        return part
+
+    def commit(self, messages: list[Part | None]) -> None:
+        """Joins the parts in order, behind the header and in front of the mark of the file's end, and writes the index."""
+        parts = sorted((m for m in messages if m), key=lambda m: m.number)
+        raw = head_bytes(self.text, self.names, self.sizes)
+        head = b"".join(bgzf.pack(raw[i : i + bgzf.MOST]) for i in range(0, len(raw), bgzf.MOST))
+        index = Index.joined([p.index for p in parts], len(head), len(self.names))
+        join_parts(self.path, head, [p.path for p in parts], bgzf.END)
+        index.to_file(self.path + ".bai")
+        self.clear()
+
+    def abort(self, messages: list[Part | None]) -> None:
+        self.clear()
+
+    def clear(self) -> None:
+        system, own = located(self.parts)
+        if system.get_file_info([own])[0].type.value:
+            system.delete_dir(own)
+
+
+class BamSource(DataSource):
+    @classmethod
+    def name(cls) -> str:
+        return "readloom_bam"
+
+    def schema(self) -> str:
+        return SCHEMA + ", file string"
+
+    def reader(self, schema) -> BamReader:
+        return BamReader(dict(self.options))
+
+    def writer(self, schema, overwrite: bool) -> BamWriter:
+        return BamWriter(dict(self.options), overwrite)
+
+
+def contigs_of(text: str) -> tuple[list[str], list[int]]:
+    """Names and sizes of a header's contigs."""
+    lines = [dict(f.split(":", 1) for f in line.split("\t")[1:]) for line in text.splitlines() if line.startswith("@SQ\t")]
+    return [x["SN"] for x in lines], [int(x["LN"]) for x in lines]
+
+
+def read_bam(spark: SparkSession, path: str | list[str], *, region: str | None = None, range_bytes: int = RANGE) -> DataFrame:
+    """The records of BAM files and the name of each one's file.
+
+    Files are read in ranges of ``range_bytes`` packed bytes, whatever their size.
+    ``region`` (contig, contig:first or contig:first-last, from 1) reads only
+    blocks that may hold records over it, which takes an index beside each file
+    (``.bai``). A file in plain gzip instead of blocks is one task's.
     """
+    spark.dataSource.register(BamSource)
+    reader = spark.read.format(BamSource.name()).option("path", path if isinstance(path, str) else "\n".join(path)).option("range", str(range_bytes))
+    return (reader.option("region", region) if region else reader).load()
+
 
-    def framed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch["content"]:
-                source = Inflated(content.as_py())
-                names, run = contigs(source), bytearray()
-                while (size := source.number()) is not None:
-                    run += struct.pack("<i", size) + source.read(size)
-                    if len(run) >= FRAMED:
-                        yield pa.RecordBatch.from_arrays([pa.array([names], pa.list_(pa.string())), pa.array([bytes(run)], pa.binary())], names=["contigs", "records"])
-                        run.clear()
-                if run:
-                    yield pa.RecordBatch.from_arrays([pa.array([names], pa.list_(pa.string())), pa.array([bytes(run)], pa.binary())], names=["contigs", "records"])
-
-    def decoded(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for names, run in zip(batch["contigs"].to_pylist(), batch["records"].to_pylist(), strict=True):
-                rows, at = [], 0
-                while at < len(run):
-                    size = struct.unpack_from("<i", run, at)[0]
-                    rows.append(record(run[at + 4 : at + 4 + size], names))
-                    at += 4 + size
-                for s in range(0, len(rows), BATCH):
-                    yield table(rows[s : s + BATCH])
-
-    runs = spark.read.format("binaryFile").load(path).select("content").mapInArrow(framed, "contigs array<string>, records binary")
-    return runs.repartition(spark.sparkContext.defaultParallelism).mapInArrow(decoded, SCHEMA)
-
-
-def read_bam_header(spark: SparkSession, path: str) -> DataFrame:
-    """line_no, line of the header's text."""
-
-    def lines(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for content in batch["content"]:
-                source = Inflated(content.as_py())
-                source.read(4)
-                text = source.read(source.number()).rstrip(b"\0").decode().splitlines()
-                yield pa.RecordBatch.from_arrays([pa.array(range(len(text)), pa.int64()), pa.array(text, pa.string())], names=["line_no", "line"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(lines, "line_no long, line string")
+def read_bam_header(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """line_no, line, file of the headers' text."""
+    rows = [(i, line, name.rpartition("/")[2]) for name, _ in files_of(path) for i, line in enumerate(head_in(name).text.splitlines())]
+    return spark.createDataFrame(rows, "line_no long, line string, file string")
+
+
+def write_bam(header: DataFrame, sam: DataFrame, path: str) -> None:
+    """One BAM file sorted by contig, in the header's order, position, name and flag, unplaced records last, and its index.
+
+    ``header``: line_no, line, with a @SQ line for each contig; ``sam``: the
+    columns of SCHEMA. Ranges of the order are packed by a task each, with their
+    share of the index; the commit joins the packed parts, a piece at a time. Records
+    of one place are dealt by name too, so a pile-up is no single task's.
+    """
+    spark = sam.sparkSession
+    spark.dataSource.register(BamSource)
+    text = "".join(f"{r['line']}\n" for r in header.orderBy("line_no").collect())
+    order = spark.createDataFrame([(n, i) for i, n in enumerate(contigs_of(text)[0])], "contig_name string, contig_no int")
+    placed = sam.join(F.broadcast(order), sam["rname"] == order["contig_name"], "left")
+    keys = [F.coalesce("contig_no", F.lit((1 << 31) - 1)), "pos", "qname", "flag"]
+    laid = placed.repartitionByRange(*keys).sortWithinPartitions(*keys, *(c for c in COLUMNS if c not in ("pos", "qname", "flag", "tags")))
+    laid.select(*COLUMNS).write.format(BamSource.name()).option("path", path).option("header", text).mode("overwrite").save()
 
 
 def with_lines(bam: DataFrame) -> DataFrame:
     """Adds each record as a SAM line."""
-    fields = [F.col(c.split()[0]).cast("string") for c in SCHEMA.split(", ")[:-1]]
+    fields = [F.col(c).cast("string") for c in COLUMNS[:-1]]
     return bam.withColumn("line", F.concat_ws("\t", *fields, F.col("tags")))
 
 
-def table(rows: list[tuple]) -> pa.RecordBatch:
+def table(rows: list[tuple], file: str) -> pa.RecordBatch:
     kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "array<string>": pa.list_(pa.string())}
-    columns = [c.split() for c in SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(v, kinds[k]) for v, (_, k) in zip(zip(*rows, strict=True), columns, strict=True)], names=[n for n, _ in columns])
+    columns = [pa.array(v, kinds[c.split()[1]]) for v, c in zip(zip(*rows, strict=True), SCHEMA.split(", "), strict=True)]
+    return pa.RecordBatch.from_arrays([*columns, pa.array([file] * len(rows))], names=[*COLUMNS, "file"])

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 from readloom.functions.sequence import revcomp
 from readloom.operators.merge import merge_mates
 from readloom.plans.run import main
-from readloom.sources.bam import BASES, OPERATIONS, read_bam, read_bam_header, with_lines
+from readloom.sources.bam import read_bam, read_bam_header, with_lines
+from readloom.sources.bam_records import BASES, OPERATIONS
 from readloom.sources.readers import read_sam, sam_to_bed
 
 LINES = [
@@ -56,7 +57,7 @@ def test_bam_is_its_sam(spark, tmp_path):
     raw += b"".join(packed(x, names) for x in LINES * 3000)
     (tmp_path / "a.bam").write_bytes(b"".join(gzip.compress(raw[i : i + 60_000]) for i in range(0, len(raw), 60_000)) + gzip.compress(b""))
     (tmp_path / "a.sam").write_text("\n".join(LINES * 3000) + "\n")
-    bam, sam = read_bam(spark, str(tmp_path / "a.bam")), read_sam(spark, str(tmp_path / "a.sam")).drop("line", "file")
+    bam, sam = read_bam(spark, str(tmp_path / "a.bam")).drop("file"), read_sam(spark, str(tmp_path / "a.sam")).drop("line", "file")
     assert bam.columns == sam.columns and bam.count() == 9000
     assert bam.distinct().exceptAll(sam.distinct()).count() == 0
     assert sam_to_bed(bam).distinct().count() == 2
