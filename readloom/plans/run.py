@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from readloom.operators import coverage as C
 from readloom.operators import dedup as D
 from readloom.operators import demux as X
-from readloom.operators.merge import merge_aligners, merge_mates, pair_up, unmapped
+from readloom.operators.merge import merge_aligners, merge_mates, unmapped
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
 from readloom.sources.bam import read_bam, read_bam_header, with_lines, write_bam
@@ -91,7 +91,7 @@ def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
     if run.merge_first or not run.ignore_pairs:
         if len(stages.contents(run.forward)) != len(stages.contents(run.reverse)):
             raise ValueError("there must be as many reverse files as forward files")
-        pairs = pair_up(readers.read_fastq(spark, run.forward), readers.read_fastq(spark, run.reverse))
+        pairs = readers.read_pairs(spark, run.forward, run.reverse)
     if run.merge_first:
         merged, pairs = merge_mates(pairs, min_insert=run.min_insert)
     elif run.merged:

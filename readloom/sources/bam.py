@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import struct
 import uuid
-import zlib
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -23,46 +22,13 @@ from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSource
 from readloom.sources import bgzf
 from readloom.sources.bam_index import Index, PartIndex, parsed_region
 from readloom.sources.bam_records import Head, head_bytes, head_of, record, record_bytes, size_if_record, span_of
+from readloom.sources.inflated import SLICE, Inflated
 from readloom.sources.storage import files_of, join_parts, located
 
 SCHEMA = "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags array<string>"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
 #: Records of a batch, packed bytes of a range, and records that must follow one another where a search finds one.
 BATCH, RANGE, CHAIN = 5000, 64 << 20, 8
-#: Packed bytes that are inflated at once of a file that isn't in blocks, and bytes that a search keeps.
-SLICE = 1 << 16
-
-
-class Inflated:
-    """Reads a sequence of gzip members as one run of bytes, a slice of the packed bytes at a time."""
-
-    def __init__(self, file):
-        self.file, self.held, self.used, self.member = file, bytearray(), 0, zlib.decompressobj(31)
-
-    def more(self) -> bool:
-        """Inflates the next slice; what is left of a slice when a member ends starts the next member."""
-        left = self.file.read(SLICE)
-        if not left:
-            return False
-        self.held += self.member.decompress(left)
-        while self.member.eof:
-            rest = self.member.unused_data
-            self.member = zlib.decompressobj(31)
-            if not rest:
-                break
-            self.held += self.member.decompress(rest)
-        return True
-
-    def read(self, n: int) -> bytes:
-        if self.used > SLICE << 4:
-            del self.held[: self.used]
-            self.used = 0
-        while len(self.held) - self.used < n and self.more():
-            pass
-        out = bytes(self.held[self.used : self.used + n])
-        self.used += len(out)
-        return out
-
 
 def head_in(path: str) -> Head:
     system, own = located(path)

@@ -93,6 +93,11 @@ class Stream:
                 return False
         return True
 
+    def held_of_block(self) -> int:
+        """How many bytes of the next byte's block follow; more than none but at the file's end."""
+        self.there(1)
+        return next((at for at, _ in self.blocks if at > self.used), len(self.held)) - self.used
+
     def read(self, n: int) -> bytes:
         self.there(n)
         out = bytes(self.held[self.used : self.used + n])

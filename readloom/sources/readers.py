@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from readloom.functions.sequence import first_word, reference_span
+from readloom.operators.merge import pair_up
+from readloom.sources.fastq import split_pairs, split_reads
+from readloom.sources.storage import can_open
 from readloom.sources.text_records import framed, numbered_lines
 
 FASTQ_NAMES = (".fastq", ".fastq.gz", ".fq", ".fq.gz")
@@ -16,14 +19,33 @@ SAM_COLUMNS = ("qname", "flag", "rname", "pos", "mapq", "cigar", "rnext", "pnext
 SAM_NUMBERS = {"flag": "int", "pos": "bigint", "mapq": "int", "pnext": "bigint", "tlen": "bigint"}
 
 
-def read_fastq(spark: SparkSession, path: str) -> DataFrame:
-    """file, file_no (in order of names, from 1), rec_idx, name (with its @), seq, qual; gzip by the file's name."""
+def check_fastq_name(path: str) -> None:
     if not (path.lower().endswith(FASTQ_NAMES) or "*" in path or "." not in path.rsplit("/", 1)[-1]):
         raise ValueError(f"not a FASTQ file name: {path}")
+
+
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """file, file_no (in order of names, from 1), rec_idx, name (with its @), seq, qual; gzip by the file's content.
+
+    Files are read in ranges of whole records without a shuffle. Where only Spark
+    can open a path, its text reader takes over, whose lines meet by a shuffle.
+    """
+    check_fastq_name(path)
+    if can_open(path):
+        return split_reads(spark, path)
     records = framed(numbered_lines(spark, path), 4, {0: "name", 1: "seq", 3: "qual"})
     return records.select("file", "file_no", "rec_idx", *(F.trim(c).alias(c) for c in ("name", "seq", "qual")))
 
 
+def read_pairs(spark: SparkSession, forward: str, reverse: str) -> DataFrame:
+    """Mates by their place in two files, or in two lists of files: file_no, rec_idx and the name, seq and qual of both."""
+    for path in (forward, reverse):
+        check_fastq_name(path)
+    if can_open(forward) and can_open(reverse):
+        return split_pairs(spark, forward, reverse)
+    return pair_up(read_fastq(spark, forward), read_fastq(spark, reverse))
+
+
 def read_samples(spark: SparkSession, path: str) -> DataFrame:
     """ord, sample, barcode of a FASTA sheet with two lines for each sample."""
     records = framed(numbered_lines(spark, path), 2, {0: "sample", 1: "barcode"})

@@ -1,6 +1,7 @@
 """Several files, inputs that change in place, pile-ups at one locus, and what one file's size must not slow down."""
 
 import gzip
+import io
 import struct
 import time
 
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from readloom.operators import dedup
 from readloom.operators.merge import pair_up
 from readloom.plans.run import DemuxRun, main, run_demux
-from readloom.sources.bam import Inflated
+from readloom.sources.inflated import Inflated
 from readloom.sources.readers import read_fastq
 
 
@@ -65,7 +66,7 @@ def test_inflating_takes_time_in_proportion():
     took = []
     for times in (2000, 8000):
         began = time.perf_counter()
-        source, n = Inflated(member * times), 0
+        source, n = Inflated(io.BytesIO(member * times)), 0
         while len(source.read(20_000)) == 20_000:
             n += 1
         took.append(time.perf_counter() - began)
