@@ -63,6 +63,32 @@ def same_keys(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
     return out
 
 
+def following(cuts: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """``by``, chrom, bin, after (the first row of what follows each cut of a chromosome) and final (a file's last cut, if the file has several rows).
+
+    ``cuts``: ``by``, chrom, bin (start_bin, s, e, u), first, there. What follows is
+    looked for within one place and end, then within one place, one bin and the
+    chromosome, each time among the firsts of the next finer level. So no window
+    has more rows than there are barcode letters, ends of a place, places of
+    a bin, or bins of a chromosome, however many cuts there are in all.
+    """
+    group, parts = [*by, "chrom"], ["start_bin", "s", "e", "u"]
+    apart = cuts.select(*group, *(F.col(f"bin.{p}").alias(p) for p in parts), "first", "there")
+    level, found = apart, []
+    for n in range(len(parts) - 1, -1, -1):
+        level = level.groupBy(*group, *parts[: n + 1]).agg(F.min("first").alias("first"), F.sum("there").alias("there")) if found else level
+        found.append(level.withColumn(f"after_{n}", F.lead("first").over(Window.partitionBy(*group, *parts[:n]).orderBy(parts[n]))).drop("first", "there"))
+    out = found[0]
+    for n, coarser in zip(range(len(parts) - 2, -1, -1), found[1:], strict=True):
+        keys = [*group, *parts[: n + 1]]
+        out = out.join(coarser, same_keys(out, coarser, keys), "left").select(*(out[c] for c in out.columns), f"after_{n}")
+    ends = level.groupBy(*by).agg(F.max("chrom").alias("last_chrom"), F.sum("there").alias("all_there")).withColumn("whole", F.lit(1))
+    out = out.withColumns({"whole": F.lit(1), "after": F.coalesce(*(f"after_{n}" for n in range(len(parts) - 1, -1, -1)))})
+    joined = out.join(ends, same_keys(out, ends, [*by, "whole"]), "left").select(*(out[c] for c in out.columns), "last_chrom", "all_there")
+    final = F.col("after").isNull() & F.col("chrom").eqNullSafe(F.col("last_chrom")) & (F.col("all_there") > 1)
+    return joined.select(*group, F.struct(*parts).alias("bin"), "after", final.alias("final"))
+
+
 def flagged(bed: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """One row for alignments of equal place, barcode, mapq and strand: n, row (the last one's columns), is_duplicate, is_last.
 
@@ -75,8 +101,8 @@ def flagged(bed: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     ``bed``: chrom, start_pos, end_pos, name, mapq, strand; ``by`` names files
     or samples. A chromosome is cut into bins by start, a bin with a pile-up of
     reads by place and barcode too, and the last row of a bin is compared with
-    the first of the next bin that has rows, so neither a deep chromosome nor one
-    locus is one task's window.
+    the first of the next bin that has rows (see ``following``), so neither a deep
+    chromosome nor one locus is one task's window.
     """
     group = [*by, "chrom"]
     equal = [*group, *ORDER[:-1]]
@@ -90,10 +116,8 @@ def flagged(bed: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     rows = marked.withColumn("bin", cut).drop("start_bin", "hot")
 
     order = list(ORDER[:-1])
-    first = rows.groupBy(*group, "bin").agg(F.min(F.struct(*order)).alias("first"), F.sum("n").alias("there"))
-    bins, files = Window.partitionBy(*group).orderBy("bin"), Window.partitionBy(*by)
-    borders = first.withColumn("after", F.lead("first").over(bins)).withColumns({"final": F.col("after").isNull() & (F.col("chrom") == F.max("chrom").over(files)), "several": F.sum("there").over(files) > 1})
-    borders = borders.select(*group, "bin", "after", (F.col("final") & F.col("several")).alias("final"))
+    cuts = rows.groupBy(*group, "bin").agg(F.min(F.struct(*order)).alias("first"), F.sum("n").alias("there"))
+    borders = following(cuts, by)
     inside = Window.partitionBy(*group, "bin").orderBy(*order)
     led = rows.withColumn("within", F.lead(F.struct(*order)).over(inside))
     joined = led.join(borders, same_keys(led, borders, [*group, "bin"]), "left").select(*(led[c] for c in led.columns), "after", "final")

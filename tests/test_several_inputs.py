@@ -61,6 +61,27 @@ def test_pile_up_uses_several_tasks(spark, monkeypatch):
     assert stats.n_total == 100_000 and stats.n_kept == len(whole) and stats.n_total - stats.n_duplicates == len(whole) + 1
 
 
+def test_borders_of_hot_bins_are_scanned_by_levels(spark, monkeypatch):
+    letters = F.translate(F.lpad(F.conv((F.col("id") % 199).cast("string"), 10, 4), 4, "0"), "0123", "ACGT")
+    start = (F.col("id") * 7919 % 30_000).cast("long")
+    bed = spark.range(6000).select(
+        F.concat(F.lit("c"), (F.col("id") % 2).cast("string")).alias("chrom"),
+        F.when(F.col("id") % 3 == 0, start % 12).otherwise(start).alias("start_pos"),
+        (F.when(F.col("id") % 3 == 0, start % 12).otherwise(start) + 20 + F.col("id") % 4).alias("end_pos"),
+        F.concat(F.lit("r:"), F.col("id").cast("string"), F.lit(":"), letters).alias("name"),
+        (F.col("id") % 40).cast("int").alias("mapq"),
+        F.when(F.col("id") % 5 < 3, "+").otherwise("-").alias("strand"),
+        (F.col("id") % 2).alias("lane"),
+    )
+    told = lambda by: sorted(map(tuple, dedup.dedup_alignments(bed, by=by).select("chrom", "start_pos", "name").collect()))
+    whole = [told(()), told(("lane",))]
+    monkeypatch.setattr(dedup, "HOT", 100)
+    assert [told(()), told(("lane",))] == whole
+    plan = dedup.flagged(bed)._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "Window [" in line]
+    assert windows and not [w for w in windows if "], [], [" in w or "windowspecdefinition(bin" in w]
+
+
 def test_inflating_takes_time_in_proportion():
     member = gzip.compress(struct.pack("<i", 7) * 5000)
     took = []
