@@ -15,7 +15,9 @@ from readloom.operators import merge as M
 from readloom.plans.layout import parse_layout
 from readloom.plans.views import view, with_views
 from readloom.sources.bam import read_bam, write_bam
+from readloom.sources.readers import read_pairs
 from readloom.sources.storage import shared_folder
+from readloom.sources.writers import write_fastq
 
 FLASH = parse_layout("flash")
 UVCLAP = parse_layout("uvclap")
@@ -280,6 +282,19 @@ def mate_pairs_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.pair_up(reads, reads.filter("(rec_idx * 3 + file_no) % 2 = 0")).select("file_no", "rec_idx", "name_f", "name_r")
 
 
+@query(
+    demux_sql(f"""select dense_rank() over (order by replicate || '_' || sample || '_R1.fastq.gz') :: int as file_no, row_number() over (partition by sample, replicate order by rec_idx) - 1 as rec_idx,
+        {NAME.format('name_f')} as name_f, substr(seq_f, 1, 51) as seq_f, substr(qual_f, 1, 51) as qual_f, {NAME.format('name_r')} as name_r, substr(seq_r, 14) as seq_r, substr(qual_r, 14) as qual_r from demux where outcome = 'assigned'"""),
+    "v_samples",
+    "v_pairs",
+)
+def fastq_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs written to a file for each sample, replicate and mate, and read again mate by mate."""
+    folder = shared_folder(spark)
+    write_fastq(pairs(spark, sf_dir), folder)
+    return read_pairs(spark, f"{folder}/*_R1.fastq.gz", f"{folder}/*_R2.fastq.gz")
+
+
 @query("select rec_idx, cast(covered as bigint) as span from v_sam", "v_sam")
 def cigar_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reference bases of alignments."""

@@ -20,6 +20,7 @@ from readloom.operators.merge import merge_aligners, merge_mates, unmapped
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
 from readloom.sources.bam import read_bam, read_bam_header, with_lines, write_bam
+from readloom.sources.storage import clear_folder
 
 log = logging.getLogger(__name__)
 
@@ -77,7 +78,7 @@ class DemuxRun:
 
 
 def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
-    """Reads, classifies and writes pairs and merged reads; returns what was written and the statistics."""
+    """Reads, classifies and writes pairs and merged reads, by sample below barcode_sorted; returns what was written and the statistics."""
     if (run.merge_first or not run.ignore_pairs) and not run.reverse:
         raise ValueError("pairs need a reverse file")
     if run.merge_first and run.merged:
@@ -100,8 +101,9 @@ def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
         found["pairs"] = stages.run("pairs", given, lambda: X.demux_pairs(pairs, samples, layout, run.max_mismatch))
     if merged is not None:
         found["merged"] = stages.run("merged", given, lambda: X.demux_merged(merged, samples, layout, run.max_mismatch))
+    clear_folder(f"{run.out}/barcode_sorted")
     for name, reads in list(found.items()):
-        writers.write_fastq(reads, f"{run.out}/fastq/{name}", gzip=run.gzip)
+        writers.write_fastq(reads, f"{run.out}/barcode_sorted", gzip=run.gzip)
         writers.write_bad_barcodes(X.bad_barcodes(reads), f"{run.out}/bad_barcodes/{name}")
         found[f"{name}_counts"] = X.sample_counts(reads, samples, layout)
         found[f"{name}_outcomes"] = X.outcome_counts(reads)

@@ -23,7 +23,7 @@ from readloom.sources import bgzf
 from readloom.sources.bam_index import Index, PartIndex, parsed_region
 from readloom.sources.bam_records import Head, head_bytes, head_of, record, record_bytes, size_if_record, span_of
 from readloom.sources.inflated import SLICE, Inflated
-from readloom.sources.storage import files_of, join_parts, located
+from readloom.sources.storage import clear_folder, files_of, join_parts, located
 
 SCHEMA = "qname string, flag int, rname string, pos long, mapq int, cigar string, rnext string, pnext long, tlen long, seq string, qual string, tags array<string>"
 COLUMNS = [c.split()[0] for c in SCHEMA.split(", ")]
@@ -182,15 +182,10 @@ class BamWriter(DataSourceArrowWriter):
         index = Index.joined([p.index for p in parts], len(head), len(self.names))
         join_parts(self.path, head, [p.path for p in parts], bgzf.END)
         index.to_file(self.path + ".bai")
-        self.clear()
+        clear_folder(self.parts)
 
     def abort(self, messages: list[Part | None]) -> None:
-        self.clear()
-
-    def clear(self) -> None:
-        system, own = located(self.parts)
-        if system.get_file_info([own])[0].type.value:
-            system.delete_dir(own)
+        clear_folder(self.parts)
 
 
 class BamSource(DataSource):

@@ -73,3 +73,10 @@ def join_parts(path: str, first: bytes, parts: list[str], last: bytes, piece: in
                 while block := source.read(piece):
                     out.write(block)
         out.write(last)
+
+
+def clear_folder(path: str) -> None:
+    """Removes a folder that this library wrote its parts to."""
+    system, own = located(path)
+    if system.get_file_info([own])[0].type == fs.FileType.Directory:
+        system.delete_dir(own)

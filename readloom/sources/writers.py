@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom.operators.merge import place_of
+from readloom.sources.fastq_sink import FastqFiles
 
 
 def rendered(name: Column, seq: Column, qual: Column) -> Column:
@@ -26,11 +27,23 @@ def mates(reads: DataFrame) -> DataFrame:
     return kept.select("sample", "replicate", *place, F.explode(both).alias("m")).select("sample", "replicate", "m.mate", *place, "m.value")
 
 
+def file_name(gzip: bool) -> Column:
+    """Fixed form of the names: replicate A or B in front, R1 or R2 of pairs behind."""
+    front = F.when(F.col("replicate") == "none", "").otherwise(F.concat("replicate", F.lit("_")))
+    back = F.when(F.col("mate") == "merged", "").otherwise(F.concat(F.lit("_"), "mate"))
+    return F.concat(front, "sample", back, F.lit(".fastq.gz" if gzip else ".fastq"))
+
+
 def write_fastq(reads: DataFrame, path: str, *, gzip: bool = True) -> None:
-    """One folder for each sample, replicate and mate; within a part the reads lie in order of their place, so mates have the same line in parts of one number."""
-    keys = ("sample", "replicate", "mate")
-    laid = mates(reads).sortWithinPartitions(*keys, *place_of(reads)).select(*keys, "value")
-    laid.write.mode("overwrite").partitionBy(*keys).option("compression", "gzip" if gzip else "none").text(path)
+    """One file for each sample, replicate and mate, its reads in order of their place, so mates have the same line.
+
+    Ranges of places are packed by a task each, in blocks if gzip, which read in
+    ranges again; the commit joins them.
+    """
+    spark, place = reads.sparkSession, place_of(reads)
+    spark.dataSource.register(FastqFiles)
+    laid = mates(reads).withColumn("file_name", file_name(gzip)).repartitionByRange(*place).sortWithinPartitions("file_name", *place)
+    laid.select("file_name", "value").write.format(FastqFiles.name()).option("path", path).option("gzip", str(gzip).lower()).mode("append").save()
 
 
 def write_reads(reads: DataFrame, path: str, *, gzip: bool = False) -> None:

@@ -48,7 +48,7 @@ def test_demux_run_resumes(spark, tmp_path):
     first = (tmp_path / "out/pairs/_SUCCESS").stat().st_mtime_ns
     pairs = spark.read.parquet(f"{out}/pairs")
     assert pairs.count() == 200 and pairs.filter("outcome = 'assigned'").select("sample").distinct().collect()[0][0] == "one"
-    text = spark.read.text(f"{out}/fastq/pairs/sample=one/replicate=none/mate=R1")
+    text = spark.read.text(f"{out}/barcode_sorted/one_R1.fastq")
     assert text.count() == 4 * pairs.filter("outcome = 'assigned'").count()
     time.sleep(0.01)
     R.main(args, spark)
@@ -117,3 +117,23 @@ def test_writers_list_and_sizes(spark, tmp_path):
     assert spark.read.csv(str(tmp_path / "bad"), sep="\t").count() == 2
     (tmp_path / "c.sizes").write_text("chr1\t10\n")
     assert readers.read_chrom_sizes(spark, str(tmp_path / "c.sizes")).first().size == 10
+
+
+def test_files_by_sample_have_the_reads_in_order(spark, tmp_path):
+    rows = [(i, ["one", "two"][i % 2], [None, "A", "B"][i % 3], "assigned" if i % 5 else "alien", f"@f{i}", "AC", "II", f"@r{i}", "GT", "##") for i in range(500)]
+    pairs = spark.createDataFrame(rows, "rec_idx long, sample string, replicate string, outcome string, name_f string, seq_f string, qual_f string, name_r string, seq_r string, qual_r string").repartition(7)
+    merged = pairs.select("rec_idx", "sample", "replicate", "outcome", F.col("name_f").alias("name"), F.col("seq_f").alias("seq"), F.col("qual_f").alias("qual"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        writers.write_fastq(pairs, str(tmp_path / "out"), gzip=False)
+        writers.write_fastq(merged, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    names = [f"{r}{s}" for r in ("", "A_", "B_") for s in ("one", "two")]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted([f"{n}_{m}.fastq" for n in names for m in ("R1", "R2")] + [f"{n}.fastq.gz" for n in names])
+    for replicate, prefix in ((None, ""), ("A", "A_"), ("B", "B_")):
+        own = [r for r in rows if r[1] == "two" and r[2] == replicate and r[3] == "assigned"]
+        assert (tmp_path / "out" / f"{prefix}two_R1.fastq").read_text() == fastq([r[4:7] for r in own])
+        assert (tmp_path / "out" / f"{prefix}two_R2.fastq").read_text() == fastq([r[7:10] for r in own])
+        assert gzip.open(tmp_path / "out" / f"{prefix}two.fastq.gz", "rt").read() == fastq([r[4:7] for r in own])
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
