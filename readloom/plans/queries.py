@@ -12,9 +12,11 @@ from readloom.operators import coverage as C
 from readloom.operators import dedup as D
 from readloom.operators import demux as X
 from readloom.operators import merge as M
+from readloom.operators.zoom import pyramid
 from readloom.plans.layout import parse_layout
 from readloom.plans.views import view, with_views
 from readloom.sources.bam import read_bam, write_bam
+from readloom.sources.bigwig import read_bigwig, write_bigwig
 from readloom.sources.readers import read_pairs
 from readloom.sources.storage import shared_folder
 from readloom.sources.writers import write_fastq
@@ -282,6 +284,35 @@ def mate_pairs_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.pair_up(reads, reads.filter("(rec_idx * 3 + file_no) % 2 = 0")).select("file_no", "rec_idx", "name_f", "name_r")
 
 
+COVERED = "covered as (select rname as chrom, '+' as strand, pos - 1 as start_pos, pos - 1 + covered as end_pos from v_sam where flag = 0), "
+
+
+def coverage_of_sam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage of the forward strand."""
+    forward = view(spark, sf_dir, "v_sam").filter("flag = 0")
+    return C.coverage(forward.select(F.col("rname").alias("chrom"), F.lit("+").alias("strand"), (F.col("pos") - 1).alias("start_pos"), (F.col("pos") - 1 + F.col("covered")).alias("end_pos")))
+
+
+def zoom_sql(level: int, size: int) -> str:
+    return f"""select {level} as level, chrom, bin * {size} as start_pos, (bin + 1) * {size} as end_pos, sum(b) :: bigint as valid, min(depth) as least, max(depth) as most, sum(b * depth) :: bigint as total, sum(b * depth * depth) :: bigint as squares
+        from (select chrom, depth, bin, least(end_pos, (bin + 1) * {size}) - greatest(start_pos, bin * {size}) as b from (select *, unnest(range(start_pos // {size}, (end_pos - 1) // {size} + 1)) as bin from runs)) group by chrom, bin"""
+
+
+@query("--more " + COVERED + coverage_sql("", "covered").replace("select chrom, strand, start_pos, end_pos, depth from swept where depth > 0", ", runs as (select * from swept where depth > 0) ") + " union all ".join(zoom_sql(i + 1, 700 * 4**i) for i in range(4)), "v_sam")
+def coverage_zoom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries of coverage in bins of four sizes."""
+    return pyramid(coverage_of_sam(spark, sf_dir), size=700, levels=4)
+
+
+@query("--more " + COVERED + coverage_sql("", "covered").replace("select chrom, strand, start_pos, end_pos, depth from", "select chrom, start_pos, end_pos, depth :: double as value from"), "v_sam")
+def bigwig_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage written as a bigWig file and read again by its index."""
+    path = f"{shared_folder(spark)}/plus.bw"
+    sizes = spark.createDataFrame([(f"chr{i}", 1_000_000) for i in range(3)], "chrom string, size long")
+    write_bigwig(coverage_of_sam(spark, sf_dir), sizes, path)
+    return read_bigwig(spark, path)
+
+
 @query(
     demux_sql(f"""select dense_rank() over (order by replicate || '_' || sample || '_R1.fastq.gz') :: int as file_no, row_number() over (partition by sample, replicate order by rec_idx) - 1 as rec_idx,
         {NAME.format('name_f')} as name_f, substr(seq_f, 1, 51) as seq_f, substr(qual_f, 1, 51) as qual_f, {NAME.format('name_r')} as name_r, substr(seq_r, 14) as seq_r, substr(qual_r, 14) as qual_r from demux where outcome = 'assigned'"""),

@@ -20,6 +20,7 @@ from readloom.operators.merge import merge_aligners, merge_mates, unmapped
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
 from readloom.sources.bam import read_bam, read_bam_header, with_lines, write_bam
+from readloom.sources.bigwig import write_bigwig
 from readloom.sources.storage import clear_folder
 
 log = logging.getLogger(__name__)
@@ -119,6 +120,18 @@ class TrackRun:
     min_mapq: int = 10
     strict: bool = True
     merge_replicates: bool = False
+    sizes: str | None = None
+
+
+def write_bigwigs(spark: SparkSession, runs: DataFrame, by: tuple[str, ...], sizes: str, folder: str) -> None:
+    """A bigWig file for each group and strand that has coverage; there are as many groups as alignments were given."""
+    contigs = readers.read_chrom_sizes(spark, sizes)
+    for group in runs.select(*by, "strand").distinct().orderBy(*by, "strand").collect():
+        own = runs
+        for c in (*by, "strand"):
+            own = own.filter(F.col(c).eqNullSafe(F.lit(group[c])))
+        strand = {"+": "plus", "-": "minus"}[group["strand"]]
+        write_bigwig(own, contigs, f"{folder}/{'_'.join(group[c] for c in by)}_{strand}_coverage.bw")
 
 
 def run_tracks(spark: SparkSession, run: TrackRun) -> dict[str, DataFrame]:
@@ -139,9 +152,13 @@ def run_tracks(spark: SparkSession, run: TrackRun) -> dict[str, DataFrame]:
         apart, whole = C.merged_coverage(bed, ("sample",), "replicate")
         found[name] = stages.run(f"coverage_{name}", given, lambda apart=apart: apart)
         writers.write_bedgraph(found[name], f"{run.out}/bedgraph/{name}", ("sample", "replicate"))
+        if run.sizes:
+            write_bigwigs(spark, found[name], ("sample", "replicate"), run.sizes, f"{run.out}/bigwig/{name}")
         if run.merge_replicates:
             found[f"{name}_merged"] = stages.run(f"coverage_{name}_merged", given, lambda whole=whole: whole)
             writers.write_bedgraph(found[f"{name}_merged"], f"{run.out}/bedgraph/{name}_merged", ("sample",))
+            if run.sizes:
+                write_bigwigs(spark, found[f"{name}_merged"], ("sample",), run.sizes, f"{run.out}/bigwig/{name}_merged")
     return found
 
 
@@ -175,6 +192,7 @@ def parser() -> argparse.ArgumentParser:
     tracks.add_argument("-o", "--out", required=True)
     tracks.add_argument("-m", "--min-mapq", type=int, default=10)
     tracks.add_argument("-mr", "--merge-replicates", action="store_true")
+    tracks.add_argument("-g", "--chrom-sizes", help="names and sizes of chromosomes; with it, coverage is written as bigWig files too")
     tracks.add_argument("--keep-last", action="store_true")
     rest = commands.add_parser("unmapped", help="reads that no alignment has, as FASTQ")
     rest.add_argument("-f", "--forward", required=True)
@@ -201,7 +219,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         alignments = {tuple(key.split("/")): path for key, path in (a.split("=", 1) for a in args.alignments)}
         if any(len(key) != 3 for key in alignments):
             raise ValueError("alignments are given as sample/replicate/aligner=path")
-        run_tracks(spark, TrackRun(args.out, alignments, args.min_mapq, not args.keep_last, args.merge_replicates))
+        run_tracks(spark, TrackRun(args.out, alignments, args.min_mapq, not args.keep_last, args.merge_replicates, args.chrom_sizes))
     elif args.command == "unmapped":
         mapped = readers.read_sam(spark, args.alignments).filter(F.col("flag").bitwiseAND(4) == 0)
         names = mapped.select(F.concat(F.lit("@"), F.element_at(F.split("qname", " "), 1)).alias("word"))

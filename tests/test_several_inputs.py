@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from readloom.operators import dedup
 from readloom.operators.merge import pair_up
 from readloom.plans.run import DemuxRun, main, run_demux
+from readloom.sources.bigwig import read_bigwig
 from readloom.sources.inflated import Inflated
 from readloom.sources.readers import read_fastq
 
@@ -111,7 +112,11 @@ def test_commands(spark, tmp_path):
     for n in (1, 2):
         lines = [r.value for r in spark.read.text(str(tmp_path / "clean" / f"file={n}.sam")).collect()]
         assert sum(x.startswith("@") for x in lines) == 3 and sorted(x.split("\t")[0] for x in lines if x[0] != "@") == [f"x:{n}{i}:ACGT" for i in (1, 3, 5)]
-    main(["tracks", "-a", f"s/A/first={paths[0]}", f"s/B/first={paths[1]}", "-o", str(tmp_path / "tracks"), "-mr", "--keep-last"], spark)
+    (tmp_path / "sizes").write_text("c2\t900\nc1\t900\n")
+    main(["tracks", "-a", f"s/A/first={paths[0]}", f"s/B/first={paths[1]}", "-o", str(tmp_path / "tracks"), "-mr", "--keep-last", "-g", str(tmp_path / "sizes")], spark)
+    assert sorted(p.name for p in (tmp_path / "tracks" / "bigwig" / "reads").iterdir()) == ["s_A_plus_coverage.bw", "s_B_plus_coverage.bw"]
+    wig = read_bigwig(spark, str(tmp_path / "tracks" / "bigwig" / "reads_merged" / "s_plus_coverage.bw"))
+    assert [tuple(r) for r in wig.orderBy("start_pos").collect()] == [("c1", s, s + 20, 2.0) for s in (9, 49, 89)]
     sites = spark.read.csv(str(tmp_path / "tracks" / "bed" / "xlinks"), sep="\t")
     assert sorted(int(r._c1) for r in sites.collect()) == [8, 8, 48, 48, 88, 88]
     merged = spark.read.parquet(str(tmp_path / "tracks" / "coverage_reads_merged"))
