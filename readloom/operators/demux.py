@@ -13,18 +13,31 @@ from readloom.plans.layout import Layout
 
 #: Signs an index is made of; any other is taken as a dot.
 LETTERS = "ACGTN."
-#: Rows of the neighbourhood table that are broadcast at most, and that are made on the driver at most.
+#: Rows of a table of pieces that are broadcast at most, and of a neighbourhood that is made on the driver and broadcast.
 BROADCAST_ROWS, DRIVER_ROWS = 200_000, 50_000
 
 
-def neighbourhood(samples: DataFrame, max_mismatch: int) -> DataFrame:
-    """index_key, sample: each text within ``max_mismatch`` of a barcode with its nearest sample, null if two are as near."""
-    near = samples.select("sample", "barcode", F.col("barcode").alias("index_key"))
-    for _ in range(max_mismatch):
-        at = near.withColumn("i", F.explode(F.sequence(F.lit(1), F.length("barcode"))))
-        changed = F.concat(F.expr("substring(index_key, 1, i - 1)"), F.col("letter"), F.expr("substring(index_key, i + 1)"))
-        near = at.withColumn("letter", F.explode(F.array(*map(F.lit, LETTERS)))).select("sample", "barcode", changed.alias("index_key")).distinct()
-    by_distance = near.withColumn("d", hamming(F.col("barcode"), F.col("index_key"))).groupBy("index_key", "d").agg(F.count("*").alias("n"), F.min("sample").alias("sample"))
+def pieces(text: Column, parts: int) -> Column:
+    """(part, piece) of a text that is cut into parts of about one length."""
+    bound = lambda i: F.floor(F.lit(i) * F.length(text) / parts).cast("int")
+    cut = lambda i: F.substring(text, bound(i) + 1, bound(i + 1) - bound(i))
+    return F.array(*(F.struct(F.lit(i).alias("part"), cut(i).alias("piece")) for i in range(parts)))
+
+
+def nearest_by_pieces(codes: DataFrame, samples: DataFrame, max_mismatch: int) -> DataFrame:
+    """index_key, sample of every index that has a barcode within ``max_mismatch``: the only nearest one's sample, else null.
+
+    Of ``max_mismatch`` + 1 pieces of an index, one at least is the same in any barcode
+    within that distance. So indexes and barcodes meet by equal pieces and are then compared
+    in whole; the work doesn't grow with what lies around a barcode.
+    """
+    parts = max_mismatch + 1
+    cut = lambda df, text, kept: df.select(*kept, F.length(text).alias("size"), F.explode(pieces(F.col(text), parts)).alias("p")).select(*kept, "size", "p.part", "p.piece")
+    sheet = cut(samples, "barcode", ("sample", "barcode"))
+    sheet = F.broadcast(sheet) if samples.count() * parts <= BROADCAST_ROWS else sheet
+    met = cut(codes.select("index_key").distinct(), "index_key", ("index_key",)).join(sheet, ["size", "part", "piece"]).select("index_key", "sample", "barcode").distinct()
+    near = met.withColumn("d", hamming(F.col("barcode"), F.col("index_key"))).filter(F.col("d") <= max_mismatch)
+    by_distance = near.groupBy("index_key", "d").agg(F.count("*").alias("n"), F.min("sample").alias("sample"))
     nearest = by_distance.groupBy("index_key").agg(F.min(F.struct("d", "n", "sample")).alias("best"))
     return nearest.select("index_key", F.when(F.col("best.n") == 1, F.col("best.sample")).alias("sample"))
 
@@ -61,15 +74,13 @@ def check_samples(samples: DataFrame) -> None:
 def with_sample(reads: DataFrame, samples: DataFrame, max_mismatch: int) -> DataFrame:
     """Adds the sample whose barcode is the only nearest one to ``index_code`` within ``max_mismatch``, else null.
 
-    An equi-join with the neighbourhood table, so each read is probed once however many samples there are.
+    An equi-join, so each read is probed once however many samples there are. The
+    table has all indexes around the barcodes if these are few, and is broadcast;
+    otherwise the reads' own distinct indexes, and Spark chooses by its size.
     """
-    table = small_neighbourhood(samples, max_mismatch)
-    if table is None:
-        table = neighbourhood(samples, max_mismatch)
-        table = F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-    else:
-        table = F.broadcast(table)
     keyed = reads.withColumn("index_key", F.regexp_replace("index_code", "[^ACGTN]", "."))
+    table = small_neighbourhood(samples, max_mismatch)
+    table = nearest_by_pieces(keyed, samples, max_mismatch) if table is None else F.broadcast(table)
     return keyed.join(table, "index_key", "left").drop("index_key")
 
 

@@ -12,6 +12,7 @@ from readloom.operators import coverage as C
 from readloom.operators import dedup as D
 from readloom.operators import demux as X
 from readloom.operators import merge as M
+from readloom.operators.overlap import merge_mates_by_score
 from readloom.operators.zoom import pyramid
 from readloom.plans.layout import parse_layout
 from readloom.plans.views import view, with_views
@@ -386,3 +387,47 @@ def mate_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     qual = F.expr("substring(qual_f, int(17 + rec_idx % 20))")
     cut = p.select("rec_idx", "name_f", F.substring("seq_f", 1, 40).alias("seq_f"), F.substring("qual_f", 1, 40).alias("qual_f"), S.revcomp(other).alias("seq_r"), F.reverse(qual).alias("qual_r"))
     return M.merge_mates(cut)[0]
+
+
+OVERLAPS = """--more cut as (select rec_idx, name_f, substr(seq_f, 1, 40) as a, substr(qual_f, 1, 40) as qa,
+        substr(substr(seq_f, 17 + rec_idx % 20), 1, rec_idx % 11) || 'A' || substr(substr(seq_f, 17 + rec_idx % 20), rec_idx % 11 + 2) as b, substr(qual_r, 17 + rec_idx % 20) as qb from v_pairs),
+    sizes as (select unnest(range(12, 41)) as n),
+    sites as (select c.*, n, i, a[length(a) - n + i] as x, b[i] as y, ascii(qa[length(a) - n + i]) - 33 as p, ascii(qb[i]) - 33 as q
+        from cut c join sizes on n <= least(length(a), length(b)) cross join unnest(range(1, n + 1)) u(i)),
+    scored as (select rec_idx, n, sum(case when 'N' in (x, y) then 0 when x = y then least(p, q) else -least(p, q) end) as score, count(*) filter (x <> y and 'N' not in (x, y)) as wrong from sites group by rec_idx, n),
+    best as (select rec_idx, arg_max(n, (score, n)) as n, arg_max(wrong, (score, n)) as wrong from scored where score > 0 and wrong <= 0.1 * n group by rec_idx),
+    said as (select s.rec_idx, string_agg(case when x = 'N' then y when y = 'N' then x when p >= q then x else y end, '' order by i) as seq,
+            string_agg(chr(33 + (case when x = y then least(p + q, 41) when x = 'N' then q when y = 'N' then p else greatest(abs(p - q), 2) end) :: int), '' order by i) as qual
+        from sites s join best b on s.rec_idx = b.rec_idx and s.n = b.n group by s.rec_idx),
+    merged as (select c.rec_idx, name_f as name, substr(a, 1, length(a) - n) || s.seq || substr(b, n + 1) as seq, substr(qa, 1, length(a) - n) || s.qual || substr(qb, n + 1) as qual, n :: int as overlap, wrong :: int as mismatches
+        from cut c join best on best.rec_idx = c.rec_idx join said s on s.rec_idx = c.rec_idx)
+"""
+
+
+@query(OVERLAPS + "select * from merged where length(seq) >= 30", "v_pairs")
+def mate_merge_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mates merged at their best overlap, mismatches included."""
+    p = view(spark, sf_dir, "v_pairs")
+    other = F.expr("substring(seq_f, int(17 + rec_idx % 20))")
+    at = (F.col("rec_idx") % 11).cast("int")
+    changed = F.concat(F.substring(other, F.lit(1), at), F.lit("A"), F.substring(other, at + 2, F.lit(64)))
+    qual = F.expr("substring(qual_r, int(17 + rec_idx % 20))")
+    cut = p.select("rec_idx", "name_f", F.substring("seq_f", 1, 40).alias("seq_f"), F.substring("qual_f", 1, 40).alias("qual_f"), S.revcomp(changed).alias("seq_r"), F.reverse(qual).alias("qual_r"))
+    return merge_mates_by_score(cut)[0]
+
+
+@query(
+    """--more wide as (select rec_idx, substr(seq_f, 1, 13) as index_code from v_pairs),
+    sheet as (select sample, substr(translate(md5(sample), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 13) as barcode from v_samples),
+    near as (select index_code, sample, hamming(index_code, barcode) as d from (select distinct index_code from wide) cross join sheet),
+    least as (select index_code, min(d) as d from near where d <= 5 group by index_code),
+    found as (select n.index_code, any_value(n.sample) as sample from near n join least l on n.index_code = l.index_code and n.d = l.d group by n.index_code having count(*) = 1)
+    select rec_idx, w.index_code, sample from wide w left join found f on f.index_code = w.index_code""",
+    "v_samples",
+    "v_pairs",
+)
+def demux_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest samples within five mismatches of thirteen bases."""
+    sheet = view(spark, sf_dir, "v_samples").select("sample", F.translate(F.md5("sample"), "0123456789abcdef", "ACGTACGTACGTACGT").substr(1, 13).alias("barcode"))
+    reads = view(spark, sf_dir, "v_pairs").select("rec_idx", F.substring("seq_f", 1, 13).alias("index_code"))
+    return X.with_sample(reads, sheet, 5)

@@ -17,6 +17,7 @@ from readloom.operators import coverage as C
 from readloom.operators import dedup as D
 from readloom.operators import demux as X
 from readloom.operators.merge import merge_aligners, merge_mates, unmapped
+from readloom.operators.overlap import merge_mates_by_score
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
 from readloom.sources.bam import read_bam, read_bam_header, with_lines, write_bam
@@ -76,6 +77,7 @@ class DemuxRun:
     gzip: bool = True
     merge_first: bool = False
     min_insert: int = 30
+    max_mismatch_rate: float = 0.0
 
 
 def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
@@ -95,7 +97,11 @@ def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
             raise ValueError("there must be as many reverse files as forward files")
         pairs = readers.read_pairs(spark, run.forward, run.reverse)
     if run.merge_first:
-        merged, pairs = merge_mates(pairs, min_insert=run.min_insert)
+        if run.max_mismatch_rate > 0:
+            merged, pairs = merge_mates_by_score(pairs, min_insert=run.min_insert, max_mismatch_rate=run.max_mismatch_rate)
+            merged = merged.drop("overlap", "mismatches")
+        else:
+            merged, pairs = merge_mates(pairs, min_insert=run.min_insert)
     elif run.merged:
         merged = readers.read_fastq(spark, run.merged)
     if not run.ignore_pairs:
@@ -173,6 +179,7 @@ def parser() -> argparse.ArgumentParser:
     demux.add_argument("--merged", help="reads that were merged before")
     demux.add_argument("-bm", "--merge-first", action="store_true", help="merge overlapping mates first")
     demux.add_argument("-mi", "--min-insert", type=int, default=30)
+    demux.add_argument("-mm", "--max-mismatch-rate", type=float, default=0.0, help="mismatches a base of an overlap that is merged")
     demux.add_argument("-ub", "--layout", default="flash")
     demux.add_argument("-hm", "--max-mismatch", type=int, default=1)
     demux.add_argument("-i", "--ignore-pairs", action="store_true")
@@ -206,7 +213,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("readloom").getOrCreate()
     if args.command == "demux":
-        run = DemuxRun(args.forward, args.reverse, args.samples, args.out, args.merged, args.layout, args.max_mismatch, args.ignore_pairs, not args.plain, args.merge_first, args.min_insert)
+        run = DemuxRun(args.forward, args.reverse, args.samples, args.out, args.merged, args.layout, args.max_mismatch, args.ignore_pairs, not args.plain, args.merge_first, args.min_insert, args.max_mismatch_rate)
         for name, df in run_demux(spark, run).items():
             if name.endswith(("_counts", "_outcomes")):
                 df.show(200, truncate=False)

@@ -21,16 +21,31 @@ def test_neighbourhood_is_the_unique_nearest_sample(spark):
     rng = random.Random(1)
     samples = [(f"s{i}", "".join(rng.choice("ACGT") for _ in range(4))) for i in range(6)]
     samples = list({b: (s, b) for s, b in samples}.values())
-    for most in (0, 1, 2):
+    codes = spark.createDataFrame([("".join(x),) for x in product("ACGTN.", repeat=4)], "index_key string")
+    for most in (0, 1, 2, 4):
         sheet = spark.createDataFrame(samples, "sample string, barcode string")
-        got = {r[0]: r[1] for r in X.neighbourhood(sheet, most).collect()}
-        assert got == {r[0]: r[1] for r in X.small_neighbourhood(sheet, most).collect()}
+        got = {r[0]: r[1] for r in X.nearest_by_pieces(codes, sheet, most).collect()}
+        assert most > 2 or got == {r[0]: r[1] for r in X.small_neighbourhood(sheet, most).collect()}
         for index in map("".join, product("ACGTN", repeat=4)):
             near = sorted((sum(a != b for a, b in zip(index, code, strict=True)), s) for s, code in samples)
             lone = near[0][0] <= most and (len(near) == 1 or near[1][0] > near[0][0])
             assert got.get(index) == (near[0][1] if lone else None)
 
 
+def test_five_mismatches_on_thirteen_bases(spark):
+    rng = random.Random(2)
+    text = lambda: "".join(rng.choices("ACGT", k=13))
+    samples = [(f"s{i}", text()) for i in range(40)]
+    changed = lambda code, n: "".join(rng.choice("ACGTN") if i in places else c for places in [rng.sample(range(13), n)] for i, c in enumerate(code))
+    codes = [changed(rng.choice(samples)[1], rng.randint(0, 8)) for _ in range(600)] + [text() for _ in range(200)] + ["ACG", "", "A" * 20, None]
+    reads = spark.createDataFrame(list(enumerate(codes)), "n int, index_code string")
+    got = {r.n: r.sample for r in X.with_sample(reads, spark.createDataFrame(samples, "sample string, barcode string"), 5).collect()}
+    assert len(got) == len(codes)
+    for n, code in enumerate(codes):
+        near = sorted((sum(a != b for a, b in zip(code or "", own, strict=False)), s) for s, own in samples) if len(code or "") == 13 else [(9, "")] * 2
+        assert got[n] == (near[0][1] if near[0][0] <= 5 and near[0][0] < near[1][0] else None)
+
+
 def test_demux_edges(spark):
     samples = spark.createDataFrame([("one", "AAAA"), ("two", "AATT")], "sample string, barcode string")
     layout = parse_layout("L=NXXXXRN")
