@@ -1,15 +1,17 @@
 """Operator 3: personal data by candidate generators and gradient-boosted trees, in built-in functions only.
 
 Patterns propose spans of four kinds. Those of the base patterns that pass their
-checks always count. Looser patterns propose more; boosted trees over format and
-context features, fitted on matches of both that pass their checks, score these, and a threshold for each kind, calibrated on matches the trees have not
-seen, selects the ones to redact. The labels are noisy ones, made by checks, form and
-harmful words before a match, none of which is a feature.
+checks always count. Looser patterns propose more, which overlap them. Boosted trees
+over format and context features, none of which is a check, learn from all of
+these how likely a match passes its check; so numbers that a check can only refuse by
+chance tell the trees what is no personal data. A looser match is added if it
+passes and its margin reaches the kind's threshold: on matches the trees have not seen, so many
+of those that look as good pass that few can have passed by chance.
 """
 
 from __future__ import annotations
 
-from math import log
+from math import inf, log
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -30,9 +32,9 @@ BASE = {
 }
 #: Looser patterns, whose matches the trees judge.
 LOOSE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+(?: ?\[at\] ?| ?\(at\) ?| at )[a-z0-9-]{1,63}+(?:(?: ?\[dot\] ?| ?\(dot\) ?| dot |\.)[a-z0-9-]{2,63}+){1,4}(?![a-z0-9])",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{1,64}+(?: ?\[at\] ?| ?\(at\) ?)[a-z0-9-]{1,63}+(?:(?: ?\[dot\] ?| ?\(dot\) ?| dot |\.)[a-z0-9-]{2,63}+){1,4}(?![a-z0-9])",
     "ip": r"(?i)(?<![0-9])[0-9]{1,3}(?:(?:\[\.\]|\(\.\)|\[dot\]|\(dot\))[0-9]{1,3}){3}(?![0-9])",
-    "card": r"(?<![0-9A-Za-z])[0-9]{4}(?:[._/ -]{1,2}[0-9]{4}){3}(?![0-9A-Za-z])",
+    "card": r"(?<![0-9A-Za-z])(?:[0-9]{4}(?:[._/ -]{1,2}[0-9]{4}){3}|[0-9]{14,19})(?![0-9A-Za-z])",
     "phone": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{2,4}\)|[0-9]{2,4})[ .-]{1,2}[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])",
 }
 #: Form of an e-mail address and of one with its signs in brackets: the last part of the domain has letters only.
@@ -45,15 +47,29 @@ HARMFUL = r"(?i)token|\bkey\b|hash|\bid\b|version|\bdoi\b|isbn|="
 
 
 class Boosting(NamedTuple):
-    """Parameters of the trees; ``default`` is the least margin (log odds) for a kind without held-out examples of both labels."""
+    """Parameters of the trees and thresholds.
+
+    ``chance``: how often what is no personal data passes its kind's check;
+    ``precision``: the share of those that pass which must not have passed by chance; with
+    less than ``enough`` matches in all there are no trees, and with less held-out ones of a kind its threshold is ``default`` (log odds).
+    """
 
     rounds: int = 6
     rate: float = 0.5
     ridge: float = 1.0
     precision: float = 0.98
+    chance: tuple[float, ...] = (0.02, 0.02, 0.1, 0.05)
+    enough: int = 20
     default: float = 0.0
 
 
+class Forest(NamedTuple):
+    """Log odds of all labels, and trees whose leaves are added to them."""
+
+    bias: float
+    trees: list
+
+
 class Split(NamedTuple):
     feature: int
     most: int
@@ -135,6 +151,7 @@ def features(text: Column, kind: str, span: Column) -> Column:
         sign_class(F.substring(text, end + 1, F.lit(1))),
         before(text, start).rlike(HELPFUL).cast("int"),
         F.least(F.length(F.regexp_extract(match, r"(?:\.|dot\W{0,2})([A-Za-z]+)$", 1)), F.lit(8)),
+        F.coalesce(F.left(digits_of(match), F.lit(1)).try_cast("int"), F.lit(10)),
         F.when(F.contains(match, F.lit("@")), 0).when(match.rlike(r"(?i)[\[(]at[\])]"), 1).otherwise(2),
     )
 
@@ -151,14 +168,14 @@ def spans(text: Column, patterns: dict[str, str], needs: dict[str, str], source:
     return [shaped(kind).alias(f"{source}_{kind}") for kind in KINDS]
 
 
-def margin(trees: list, at: Column) -> Column:
-    """Sum of the trees' leaves for a feature array."""
+def margin(forest: Forest, at: Column) -> Column:
+    """Log odds for a feature array: the forest's bias and its trees' leaves."""
 
     def leaf(node) -> Column:
         return F.when(at[node.feature] <= node.most, leaf(node.low)).otherwise(leaf(node.high)) if isinstance(node, Split) else F.lit(float(node))
 
-    out = F.lit(0.0)
-    for tree in trees:
+    out = F.lit(forest.bias)
+    for tree in forest.trees:
         out = out + leaf(tree)
     return out
 
@@ -178,14 +195,16 @@ def best_split(rows: list, ridge: float) -> tuple[int, int] | None:
     return found
 
 
-def fit_trees(examples: DataFrame, how: Boosting) -> list:
-    """Trees of depth two by second-order boosting; each level is one aggregate by node, feature and value.
+def fit_forest(examples: DataFrame, how: Boosting) -> Forest:
+    """Trees of depth two by second-order boosting from the labels' log odds; each level is one aggregate by node, feature and value.
 
-    ``examples``: f (array<int>), label (0 or 1), n (how often). Sums leave the executors, rows don't.
+    ``examples``: f (array<int>), label (0 or 1), n (how often). Sums leave the
+    executors, rows don't. With fewer than ``how.enough`` matches, labels of one kind only, or features that tell nothing, there are no trees.
     """
-    trees: list = []
-    for _ in range(how.rounds):
-        p = 1 / (1 + F.exp(-margin(trees, F.col("f"))))
+    good, n = examples.agg(F.coalesce(F.sum(F.col("label") * F.col("n")), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    bias, trees = log((good + 1) / (n - good + 1)), []
+    for _ in range(how.rounds if n >= how.enough else 0):
+        p = 1 / (1 + F.exp(-margin(Forest(bias, trees), F.col("f"))))
         graded = examples.select("f", (F.col("n") * (p - F.col("label"))).alias("g"), (F.col("n") * p * (1 - p)).alias("h"))
 
         def sums(node: Column, rows: DataFrame = graded) -> dict[int, list]:
@@ -208,23 +227,39 @@ def fit_trees(examples: DataFrame, how: Boosting) -> list:
             as_leaf = lambda own: -how.rate * sum(r["g"] for r in own) / (sum(r["h"] for r in own) + how.ridge)
             children.append(Split(*cut, as_leaf(low), as_leaf(high)) if cut else value(rows))
         trees.append(Split(*root, *children))
-    return trees
+    return Forest(bias, trees)
 
 
-def calibrate(examples: DataFrame, trees: list, how: Boosting) -> dict[int, float]:
-    """For each kind the least margin at which held-out examples reach the precision, if any does; ``how.default`` without examples of both labels."""
-    told = examples.groupBy(F.col("f")[0].alias("rank"), (F.floor(1000 * margin(trees, F.col("f"))) / 1000).alias("m")).agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()
-    floor, out = log(how.precision / (1 - how.precision)), dict.fromkeys(range(len(KINDS)), how.default)
-    for rank in {r["rank"] for r in told}:
-        own = sorted((r for r in told if r["rank"] == rank), key=lambda r: -r["m"])
-        if sum(r["good"] for r in own) in (0, sum(r["n"] for r in own)):
+def rising(groups: list[tuple[float, int, int]]) -> list[tuple[float, float]]:
+    """(least margin, share of label 1) of runs of margins, the shares rising: neighbours that don't rise are one run."""
+    runs: list[list] = []
+    for m, good, n in sorted(groups):
+        runs.append([m, good, n])
+        while len(runs) > 1 and runs[-2][1] * runs[-1][2] >= runs[-1][1] * runs[-2][2]:
+            _, good, n = runs.pop()
+            runs[-1][1:] = runs[-1][1] + good, runs[-1][2] + n
+    return [(m, good / n) for m, good, n in runs]
+
+
+def calibrate(examples: DataFrame, forest: Forest, how: Boosting) -> dict[int, float]:
+    """For each kind a margin from which on enough of the held-out matches pass their check; inf if they don't at any.
+
+    It lies halfway between the matches that do and the best ones that don't.
+
+    If a share p passes, of what is no personal data a share c by chance, then
+    1 - c (1 - p) / ((1 - c) p) of those that pass have not passed by chance.
+    """
+    told = examples.groupBy(F.col("f")[0].alias("rank"), (F.floor(1000 * margin(forest, F.col("f"))) / 1000).alias("m")).agg(F.sum(F.col("label") * F.col("n")).alias("good"), F.sum("n").alias("n")).collect()
+    out = {}
+    for rank, chance in enumerate(how.chance):
+        own = [(r["m"], r["good"], r["n"]) for r in told if r["rank"] == rank]
+        if sum(n for _, _, n in own) < how.enough:
+            out[rank] = how.default
             continue
-        del out[rank]
-        good = n = 0
-        for r in own:
-            good, n = good + r["good"], n + r["n"]
-            if good >= how.precision * n:
-                out[rank] = max(r["m"], floor / 2)
+        passes = chance / (1 - how.precision * (1 - chance))
+        good = min((m for m, p in rising(own) if p >= passes), default=inf)
+        below = max((m for m, _, _ in own if m < good), default=None)
+        out[rank] = min(good, how.default) if below is None else (below + good) / 2
     return out
 
 
@@ -236,16 +271,17 @@ def proposed(docs: DataFrame) -> DataFrame:
 
 
 def examples(candidates: DataFrame) -> DataFrame:
-    """Feature arrays of base and looser matches that pass their checks, with a noisy label; a third is held out for the thresholds.
+    """Feature arrays of base and looser matches, and whether each is taken for personal data; a third is held out for the thresholds.
 
-    Such a match is taken for personal data unless a word before it says that it
-    is something else, such as a key or a version; a base e-mail must have the form of one, too.
+    It is if it passes its check (a base e-mail: if it has the form of one) and no word before it says that it is something
+    else, such as a key or a version. Digits that are too few or too many for a card tell nothing, since most numbers are such.
     """
 
     def shaped(source: str, kind: str) -> Column:
         looks = lambda s: s["match"].rlike(FORM) if (source, kind) == ("base", "email") else s["passed"]
         label = lambda s: looks(s) & ~before(F.col("marked"), s["start"]).rlike(HARMFUL)
-        return F.transform(F.filter(f"{source}_{kind}", lambda s: s["passed"]), lambda s: F.struct(features(F.col("marked"), kind, s).alias("f"), label(s).cast("int").alias("label"), F.pmod(F.xxhash64(s["match"]), F.lit(3)).alias("fold")))
+        found = F.filter(f"{source}_{kind}", lambda s: F.length(digits_of(s["match"])).between(14, 19)) if kind == "card" else F.col(f"{source}_{kind}")
+        return F.transform(found, lambda s: F.struct(features(F.col("marked"), kind, s).alias("f"), label(s).cast("int").alias("label"), F.pmod(F.xxhash64(s["match"]), F.lit(3)).alias("fold")))
 
     found = [shaped(source, kind) for source in ("base", "loose") for kind in KINDS]
     return candidates.select(F.explode(F.flatten(F.array(*found))).alias("e")).select("e.*")
@@ -258,13 +294,14 @@ def find_personal_data(docs: DataFrame, *, how: Boosting = Boosting(), id_col: s
     and is redacted to an empty text; repeated rows give repeated results; a null id stays
     null; other columns are not read; an empty table gives an empty result. No
     shuffle but of the trees' sums and of how often each feature array occurs
-    over all rows. A looser match is added only if it passes its kind's checks
-    (an e-mail: signs in brackets and a last part of letters).
+    over all rows. A looser match is added if it passes its kind's check (an
+    e-mail: signs in brackets and a last part of letters), its margin reaches the
+    kind's threshold and it overlaps no base span.
     """
     narrow = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     told = Scratch(docs.sparkSession).keep(examples(proposed(narrow)).groupBy("f", "label", "fold").agg(F.count("*").alias("n")))
-    trees = fit_trees(told.filter("fold > 0"), how)
-    least = calibrate(told.filter("fold = 0"), trees, how)
+    forest = fit_forest(told.filter("fold > 0"), how)
+    least = calibrate(told.filter("fold = 0"), forest, how)
 
     candidates = proposed(narrow)
     plain = lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank"))
@@ -273,9 +310,9 @@ def find_personal_data(docs: DataFrame, *, how: Boosting = Boosting(), id_col: s
     def selected(rank: int) -> Column:
         kind = KINDS[rank]
         told = F.transform(f"loose_{kind}", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank"), s["passed"].alias("passed"), features(F.col("marked"), kind, s).alias("f")))
-        return F.transform(F.filter(told, lambda s: s["passed"] & (margin(trees, s["f"]) >= least[rank])), plain)
+        return F.transform(F.filter(told, lambda s: s["passed"] & (margin(forest, s["f"]) >= least[rank])), plain)
 
-    extra = [selected(rank) for rank in sorted(least)]
+    extra = [selected(rank) for rank in sorted(least) if least[rank] < inf]
     added = F.flatten(F.array(*extra)) if extra else F.array().cast("array<struct<start:int,end:int,rank:int>>")
     with_base = candidates.select("id", "marked", "text", base.alias("base"), added.alias("added"))
     apart = F.filter("added", lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))

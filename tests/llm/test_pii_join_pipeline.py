@@ -3,10 +3,11 @@ import random
 import re
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from readloom.llm import jaccard_join
+from readloom.llm import jaccard_join, pii
 from readloom.llm.components import connected
 from readloom.llm.jaccard_join import near_duplicates
 from readloom.llm.pii import KINDS, find_personal_data, rendered
@@ -52,15 +53,69 @@ def test_pii_against_plain_patterns(spark):
     assert find_personal_data(documents(spark, texts).limit(0)).count() == 0
 
 
-def test_pii_adds_loose_matches(spark):
-    rng = random.Random(4)
-    cards = ["".join(rng.choice("0123456789") for _ in range(16)) for _ in range(900)]
-    texts = {i: f"my card {' '.join(c[j : j + 4] for j in range(0, 16, 4))} is here" for i, c in enumerate(cards)}
-    texts |= {9000: "my card 4111.1111.1111.1111 is here", 9001: "my card 4111.1111.1111.1112 is here", 9002: "no card"}
-    got = {r.doc_id: (rendered_spans(r.base), rendered_spans(r.spans), r.redacted) for r in find_personal_data(documents(spark, texts)).collect()}
+def completed(start, rng):
+    """A number of 16 digits that passes the check of cards."""
+    digits = start + "".join(rng.choice("0123456789") for _ in range(15 - len(start)))
+    return next(digits + d for d in "0123456789" if luhn(digits + d))
+
+
+def numbers(rng, cards=300, others=300):
+    """Cards that start with 4, one in five in groups, and random numbers, alike in all else."""
+    grouped = lambda d: "/".join(d[j : j + 4] for j in range(0, 16, 4))
+    texts = {i: f"my card {(str if i % 5 else grouped)(completed('4', rng))} is here" for i in range(cards)}
+    return texts | {1000 + i: f"my card {rng.choice('56789')}{rng.randrange(10**14, 10**15)} is here" for i in range(others)}
+
+
+HIDDEN = {9000: "my card 4111/1111/1111/1111 is here", 9001: "my card 4111/1111/1111/1112 is here", 9002: "no card", 9003: "my card 7536/7841/2781/3050 is here", 9004: "4845168114407329 7536784127813050 here"}
+
+
+def test_pii_trees_decide_on_loose_matches(spark, monkeypatch):
+    """Both numbers of 9000 and 9003 pass the check, but only one looks like those that do so more often than by chance."""
+    texts = numbers(random.Random(4)) | HIDDEN
+    docs = documents(spark, texts)
+    told = lambda: {r.doc_id: (rendered_spans(r.base), rendered_spans(r.spans), r.redacted) for r in find_personal_data(docs).collect()}
+    got = told()
     assert got[9000] == ([], ["card:8:27"], "my card [CARD] is here")
+    assert got[9003] == ([], [], HIDDEN[9003])
+    assert got[9004][1] == ["card:0:16"]
     assert got[9001][1] == got[9002][1] == []
-    assert all(got[i][0] == got[i][1] == base(t) for i, t in texts.items() if i < 9000)
+    assert all(got[i][0] == base(t) and got[i][1] == (base(t) or ["card:8:27"] * ("/" in t)) for i, t in texts.items() if i < 9000)
+    fit = pii.fit_forest
+    monkeypatch.setattr(pii, "fit_forest", lambda rows, how: fit(rows, how)._replace(trees=[]))
+    assert told()[9000][1] == []
+
+
+@pytest.mark.parametrize("sf", [SF, SF.replace("0.001", "0.01")])
+def test_pii_has_trees_on_given_tables(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select(F.col("doc_id").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
+    told = pii.examples(pii.proposed(docs)).groupBy("f", "label", "fold").agg(F.count("*").alias("n")).cache()
+    assert {r.label for r in told.select("label").distinct().collect()} == {0, 1}
+    assert len(pii.fit_forest(told, pii.Boosting()).trees) > 0
+
+
+def test_pii_one_more_failure_turns_no_kind_off(spark):
+    rows = [([2, 16, 4], 1, 0, 174)] + [([2, 16, 7], 0, 0, 150)] + [([3, 11, 1], 1, 0, 200), ([3, 11, 1], 0, 0, 1)]
+    for more in ([], [([2, 16, 4], 0, 0, 1)], [([2, 16, 4], 0, 0, 2)]):
+        told = spark.createDataFrame(rows + more, "f array<int>, label int, fold int, n int")
+        forest = pii.fit_forest(told, pii.Boosting())
+        least = pii.calibrate(told, forest, pii.Boosting())
+        margins = {tuple(r.f): r.m for r in told.select("f", pii.margin(forest, F.col("f")).alias("m")).collect()}
+        assert margins[2, 16, 7] < least[2] < margins[2, 16, 4] and least[3] <= 0 < margins[3, 11, 1]
+    one_kind = spark.createDataFrame(rows[:1], "f array<int>, label int, fold int, n int")
+    assert pii.fit_forest(one_kind, pii.Boosting()).trees == []
+
+
+def test_pii_shares_rise():
+    rng = random.Random(2)
+    for _ in range(200):
+        groups = [(m, rng.randint(0, n), n) for m, n in ((m, rng.randint(1, 9)) for m in range(rng.randint(1, 8)))]
+        runs = pii.rising(groups)
+        assert [p for _, p in runs] == sorted({p for _, p in runs})
+        # the share at a margin is the greatest least mean of a run around it
+        for i, (m, _, _) in enumerate(groups):
+            mean = lambda a, b: sum(g[1] for g in groups[a:b]) / sum(g[2] for g in groups[a:b])
+            want = max(min(mean(a, b) for b in range(i + 1, len(groups) + 1)) for a in range(i + 1))
+            assert abs([p for low, p in runs if low <= m][-1] - want) < 1e-12
 
 
 def test_pii_adds_emails(spark):
