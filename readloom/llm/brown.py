@@ -33,12 +33,14 @@ from readloom.llm.tokens import arrow_type
 BLOCK_BYTES = 16 << 20
 #: Endings have up to so many bytes.
 ENDING = 3
+#: Buckets of words, a power of two, that are counted to leave rare words out.
+BUCKETS = 1 << 18
 #: Bits of a count in a packed context; greater counts take several.
 COUNT_BITS = 20
 
 
 class Shape(NamedTuple):
-    """Parameters: words that are exchanged in rounds (the others once, at the end), and how often a block must have one; classes; rounds; by how much a class of other words must raise the log-likelihood, so that few contexts don't outweigh an ending."""
+    """Parameters: words that are exchanged in rounds (the others once, at the end), and how often a block must have a word for a first guess at their least count; classes; rounds; by how much a class of other words must raise the log-likelihood, so that few contexts don't outweigh an ending."""
 
     core: int = 8192
     core_count: int = 4
@@ -96,18 +98,48 @@ def flat(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False)
 
 
-def frequent_words(blocks: DataFrame, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, counts in all blocks and endings of the ``shape.core`` most frequent words; blocks that hardly have a word don't propose it."""
+def word_sums(blocks: DataFrame, chosen) -> DataFrame:
+    """word, n, ending: training counts of the words that ``chosen`` (hashes, counts in the block) picks, summed over the blocks that propose them."""
 
     def proposed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i in range(b.num_rows):
                 words, counts, endings = (flat(b[c].slice(i, 1)) for c in ("words", "counts", "endings"))
-                often = np.flatnonzero(counts[1:] >= shape.core_count) + 1
-                yield pa.RecordBatch.from_arrays([pa.array(words[often]), pa.array(counts[often].astype(np.int64)), pa.array(endings[often])], names=["word", "n", "ending"])
+                own = np.flatnonzero((counts > 0) & chosen(words, counts) & (np.arange(len(words)) > 0))
+                yield pa.RecordBatch.from_arrays([pa.array(words[own]), pa.array(counts[own].astype(np.int64)), pa.array(endings[own])], names=["word", "n", "ending"])
+
+    return blocks.select("words", "counts", "endings").mapInArrow(proposed, "word long, n long, ending int").groupBy("word").agg(F.sum("n").alias("n"), F.min("ending").alias("ending"))
+
+
+def full_buckets(blocks: DataFrame, least: int) -> np.ndarray:
+    """Which of BUCKETS buckets of words have ``least`` occurrences together."""
+    buckets = BUCKETS
+
+    def summed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros(buckets, np.int64)
+        for b in batches:
+            for i in range(b.num_rows):
+                sums += np.bincount(flat(b["words"].slice(i, 1)) & (buckets - 1), flat(b["counts"].slice(i, 1)), buckets).astype(np.int64)
+        there = np.flatnonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(sums[there])], names=["bucket", "n"])
+
+    full = np.zeros(buckets, bool)
+    sums = blocks.select("words", "counts").mapInArrow(summed, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    full[sums.filter(F.col("n") >= least).select("bucket").toPandas()["bucket"].to_numpy(np.int64)] = True
+    return full
+
 
-    sums = blocks.select("words", "counts", "endings").mapInArrow(proposed, "word long, n long, ending int").groupBy("word").agg(F.sum("n").alias("n"), F.min("ending").alias("ending"))
-    top = sums.orderBy(F.desc("n"), "word").limit(shape.core).toPandas()
+def frequent_words(blocks: DataFrame, shape: Shape) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, counts and endings of the ``shape.core`` most frequent words of all blocks, of equals those with lesser hashes.
+
+    Words that are frequent within blocks give a count that so many words reach at
+    least. Words in buckets that don't reach it together can't be among the most
+    frequent ones; all others are counted in full, so blocks don't change the result.
+    """
+    often = word_sums(blocks, lambda words, counts: counts >= shape.core_count).orderBy(F.desc("n")).limit(shape.core).agg(F.count("*"), F.min("n")).first()
+    least = int(often[1] or 1) if often[0] == shape.core else 1
+    full = full_buckets(blocks, least)
+    top = word_sums(blocks, lambda words, counts: full[words & (len(full) - 1)]).orderBy(F.desc("n"), "word").limit(shape.core).toPandas()
     return tuple(top[c].to_numpy(np.int64) for c in ("word", "n", "ending"))
 
 
@@ -193,7 +225,7 @@ class Gains:
         gain = right @ self.after.T + left @ self.after - left.sum(1, keepdims=True) * self.total
         if own is not None:
             gain[np.arange(len(gain)), own] += least
-        return gain[:, :number].argmax(1)
+        return np.round(gain[:, :number], 6).argmax(1)  # so that the order of sums decides nothing
 
 
 def exchanged(pairs: DataFrame, core: int, number: int, rounds: int) -> np.ndarray:

@@ -3,11 +3,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import xxhash
 from pyspark.sql import functions as F
 
+from readloom.llm import brown
 from readloom.llm.brown import Shape, score
 from readloom.llm.kneser_ney import END, START, fit, grams_of, judge_quality, log_probability
-from readloom.llm.queries import QUERIES
+from readloom.llm.queries import QUERIES, fold
 from readloom.llm.scratch import Scratch
 from readloom.llm.toxicity import Shape as ToxicityShape
 from readloom.llm.toxicity import calibrated, score_toxicity, words_of
@@ -254,3 +256,26 @@ def test_toxicity_against_a_plain_version(spark):
     assert len(rows) == len(texts) + 6
     for r in rows:
         assert math.isclose(r.score, 1 / (1 + math.exp(-(slope * values[r.doc_id] + middle))), rel_tol=1e-6, abs_tol=1e-9)
+
+
+def test_brown_scores_do_not_depend_on_the_split(spark):
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet").select("doc_id", "text")
+    told = lambda n: {r.doc_id: r for r in score(docs.repartition(n), fold(7) == 2, shape=Shape(core=512, classes=16, rounds=3)).collect()}
+    one, many = told(1), told(32)
+    for name in ("n_tokens", "n_known", "train_tokens"):
+        assert {i: r[name] for i, r in one.items()} == {i: r[name] for i, r in many.items()}
+    for name in ("base_score", "score"):
+        assert all(abs(one[i][name] - many[i][name]) < 1e-6 for i in one)
+
+
+def test_core_words_are_the_most_frequent_ones_of_all(spark, monkeypatch):
+    """Words that no block has often, but all together, and buckets that many words share."""
+    monkeypatch.setattr(brown, "BUCKETS", 16)
+    texts = {i: " ".join([f"a{i} " * 5, *(f"rare{j}" for j in range(i % 7, 300, 7)), "every"]) for i in range(60)}
+    docs = documents(spark, texts, extra=False).select(F.col("doc_id").alias("id"), "text", F.lit(False).alias("held")).repartition(20)
+    blocks = Scratch(spark).keep(brown.blocks_of(docs, docs.schema["id"].dataType))
+    counts = Counter(w for t in texts.values() for w in t.encode().split())
+    hashed = {xxhash.xxh3_64_intdigest(w) - (1 << 64) * (xxhash.xxh3_64_intdigest(w) >> 63): n for w, n in counts.items()}
+    for core in (1, 40, 100, 1000):
+        words, n, _ = brown.frequent_words(blocks, Shape(core=core, core_count=2))
+        assert list(zip(words.tolist(), n.tolist(), strict=True)) == sorted(hashed.items(), key=lambda x: (-x[1], x[0]))[:core]
