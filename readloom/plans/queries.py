@@ -12,6 +12,7 @@ from readloom.operators import coverage as C
 from readloom.operators import dedup as D
 from readloom.operators import demux as X
 from readloom.operators import merge as M
+from readloom.operators.adapters import trim_adapter
 from readloom.operators.overlap import merge_mates_by_score
 from readloom.operators.zoom import pyramid
 from readloom.plans.layout import parse_layout
@@ -431,3 +432,23 @@ def demux_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     sheet = view(spark, sf_dir, "v_samples").select("sample", F.translate(F.md5("sample"), "0123456789abcdef", "ACGTACGTACGTACGT").substr(1, 13).alias("barcode"))
     reads = view(spark, sf_dir, "v_pairs").select("rec_idx", F.substring("seq_f", 1, 13).alias("index_code"))
     return X.with_sample(reads, sheet, 5)
+
+
+ADAPTER = "AGATCGGAAGAGC"
+
+
+@query(
+    f"""--more made as (select rec_idx, substr(substr(seq_f, 1, 20 + rec_idx % 30) || substr('{ADAPTER}', 1, rec_idx % 13) || substr('ACGTN', 1 + rec_idx % 5, 1) || substr('{ADAPTER}', rec_idx % 13 + 2) || seq_r, 1, 50) as seq, substr(qual_f, 1, 50) as qual from v_pairs),
+    sites as (select rec_idx, place, seq, least(13, 50 - place) as n from made cross join unnest(range(0, 50)) t(place)),
+    compared as (select rec_idx, place, n, len(list_filter(range(1, n + 1), lambda i: seq[place + i] <> '{ADAPTER}'[i])) as wrong from sites),
+    best as (select rec_idx, arg_max(place, (n - 2 * wrong, -place)) as place, arg_max(wrong, (n - 2 * wrong, -place)) as wrong from compared where n >= 3 and wrong <= 0.1 * n and n - 2 * wrong > -1 group by rec_idx)
+    select m.rec_idx, substr(seq, 1, coalesce(place, 50) :: int) as seq, substr(qual, 1, coalesce(place, 50) :: int) as qual, wrong :: int as adapter_mismatches from made m left join best b on b.rec_idx = m.rec_idx""",
+    "v_pairs",
+)
+def adapter_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads that run into an adapter with a changed base, and reads that don't."""
+    n = F.col("rec_idx")
+    part = lambda text, start, size: F.substring(text, start.cast("int"), size.cast("int"))
+    ran = F.concat(part(F.col("seq_f"), F.lit(1), 20 + n % 30), part(F.lit(ADAPTER), F.lit(1), n % 13), part(F.lit("ACGTN"), 1 + n % 5, F.lit(1)), part(F.lit(ADAPTER), n % 13 + 2, F.lit(13)), F.col("seq_r"))
+    made = view(spark, sf_dir, "v_pairs").select("rec_idx", F.substring(ran, 1, 50).alias("seq"), F.substring("qual_f", 1, 50).alias("qual"))
+    return trim_adapter(made, ADAPTER)

@@ -17,6 +17,7 @@ from readloom.operators import coverage as C
 from readloom.operators import dedup as D
 from readloom.operators import demux as X
 from readloom.operators.merge import merge_aligners, merge_mates, unmapped
+from readloom.operators.adapters import trim_adapter
 from readloom.operators.overlap import merge_mates_by_score
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
@@ -78,6 +79,8 @@ class DemuxRun:
     merge_first: bool = False
     min_insert: int = 30
     max_mismatch_rate: float = 0.0
+    forward_adapter: str | None = None
+    reverse_adapter: str | None = None
 
 
 def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
@@ -96,6 +99,9 @@ def run_demux(spark: SparkSession, run: DemuxRun) -> dict[str, DataFrame]:
         if len(stages.contents(run.forward)) != len(stages.contents(run.reverse)):
             raise ValueError("there must be as many reverse files as forward files")
         pairs = readers.read_pairs(spark, run.forward, run.reverse)
+        for side, adapter in (("f", run.forward_adapter), ("r", run.reverse_adapter)):
+            if adapter:
+                pairs = trim_adapter(pairs, adapter, seq=f"seq_{side}", qual=f"qual_{side}").drop("adapter_mismatches")
     if run.merge_first:
         if run.max_mismatch_rate > 0:
             merged, pairs = merge_mates_by_score(pairs, min_insert=run.min_insert, max_mismatch_rate=run.max_mismatch_rate)
@@ -180,6 +186,8 @@ def parser() -> argparse.ArgumentParser:
     demux.add_argument("-bm", "--merge-first", action="store_true", help="merge overlapping mates first")
     demux.add_argument("-mi", "--min-insert", type=int, default=30)
     demux.add_argument("-mm", "--max-mismatch-rate", type=float, default=0.0, help="mismatches a base of an overlap that is merged")
+    demux.add_argument("-a1", "--forward-adapter", help="cut off forward reads before all else")
+    demux.add_argument("-a2", "--reverse-adapter", help="cut off reverse reads")
     demux.add_argument("-ub", "--layout", default="flash")
     demux.add_argument("-hm", "--max-mismatch", type=int, default=1)
     demux.add_argument("-i", "--ignore-pairs", action="store_true")
@@ -213,7 +221,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     args = parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName("readloom").getOrCreate()
     if args.command == "demux":
-        run = DemuxRun(args.forward, args.reverse, args.samples, args.out, args.merged, args.layout, args.max_mismatch, args.ignore_pairs, not args.plain, args.merge_first, args.min_insert, args.max_mismatch_rate)
+        run = DemuxRun(args.forward, args.reverse, args.samples, args.out, args.merged, args.layout, args.max_mismatch, args.ignore_pairs, not args.plain, args.merge_first, args.min_insert, args.max_mismatch_rate, args.forward_adapter, args.reverse_adapter)
         for name, df in run_demux(spark, run).items():
             if name.endswith(("_counts", "_outcomes")):
                 df.show(200, truncate=False)
