@@ -212,7 +212,7 @@ def judge_quality(docs: DataFrame, labels: DataFrame, *, quantile: float = 0.995
 
     answers = asked(blocks).join(model, "k").groupBy("block")
     grouped = blocks.groupBy("block").cogroup(answers)
-    found = scratch.reuse(grouped.applyInArrow(scored, f"id {id_type}, lang string, n_tokens long, perplexity double"))
+    found = scratch.keep(grouped.applyInArrow(scored, f"id {id_type}, lang string, n_tokens long, perplexity double"))
     kept_apart = found.filter(apart & F.col("perplexity").isNotNull()).join(few.select("id"), "id", "left_semi")
     at = F.percentile_approx("perplexity", quantile, 10_000)
     by_lang = kept_apart.groupBy(F.coalesce("lang", F.lit("")).alias("key")).agg(at.alias("own"))

@@ -279,3 +279,76 @@ def test_core_words_are_the_most_frequent_ones_of_all(spark, monkeypatch):
     for core in (1, 40, 100, 1000):
         words, n, _ = brown.frequent_words(blocks, Shape(core=core, core_count=2))
         assert list(zip(words.tolist(), n.tolist(), strict=True)) == sorted(hashed.items(), key=lambda x: (-x[1], x[0]))[:core]
+
+
+def discount_of(counts):
+    """Discounts for counts of one, two and more, by the formula of modified Kneser-Ney smoothing."""
+    n = [0, *(sum(c == i for c in counts.values()) for i in (1, 2, 3, 4))]
+    if not n[1] or not n[2]:
+        d = (0.5, 0.75, 1.0)
+    else:
+        y = n[1] / (n[1] + 2 * n[2])
+        d = tuple(min(max(i - (i + 1) * y * n[i + 1] / n[i], 0.1), i) if n[i] else 0.75 for i in (1, 2, 3))
+    return lambda c: d[min(c, 3) - 1]
+
+
+class PlainModel:
+    """Trigrams of words, each level interpolated with the one below, whose counts are numbers of kinds in front."""
+
+    def __init__(self, texts):
+        tri = Counter(g for t in texts for g in self.grams(t))
+        bi = Counter((b, c) for _, b, c in tri)
+        uni = Counter(c for _, c in bi)
+        self.levels = [{(w,): n for w, n in uni.items()}, dict(bi), dict(tri)]
+        self.discounts = [discount_of(level) for level in self.levels]
+
+    @staticmethod
+    def grams(text):
+        w = ["<s>", "<s>", *(x.decode() for x in words(text, lower=True)), "</s>"]
+        return [tuple(w[i - 2 : i + 1]) for i in range(2, len(w))]
+
+    def p(self, gram):
+        level, d = self.levels[len(gram) - 1], self.discounts[len(gram) - 1]
+        own = {g: n for g, n in level.items() if g[:-1] == gram[:-1]}
+        below = self.p(gram[1:]) if len(gram) > 1 else 1 / (len(level) + 1)
+        if not own:
+            return below
+        total = sum(own.values())
+        here = own[gram] - d(own[gram]) if gram in own else 0
+        return here / total + sum(map(d, own.values())) / total * below
+
+    def perplexity(self, text):
+        grams = self.grams(text)
+        return 10 ** (-sum(math.log10(self.p(g)) for g in grams) / len(grams))
+
+
+def test_quality_against_a_plain_version(spark):
+    """Every probability by the definition; ties, repeated rows, null ids, languages without trusted rows."""
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(30)]
+    text = lambda: " ".join(rng.choices(vocabulary, weights=range(30, 0, -1), k=rng.randint(1, 25)))
+    rows = [(i, ["en", "de", None][i % 3], text()) for i in range(70)]
+    rows += [(100, "en", None), (101, "en", ""), (102, "fr", "never heard words"), (103, "de", "W1 w1\tW2"), (None, "en", "w1 w2 w3"), *rows[:3], rows[0]]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").selectExpr("*", "1 as word", "2 as k", "3 as block")
+    labels = spark.createDataFrame([(i, int(i % 5 != 1)) for i in range(70)] + [(2, 0), (None, 1)], "doc_id long, quality int")
+    trusted = {i for i in range(70) if i % 5 != 1 and i != 2}
+    apart = {r.doc_id for r in docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("apart")), F.lit(5)) == 0).collect()}
+    model = PlainModel([t for i, _, t in rows if i in trusted and i not in apart])
+    want = {(i, t): model.perplexity(t) if words(t) else None for i, _, t in rows}
+    held = [(lang, want[i, t]) for i, lang, t in rows if i in trusted and i in apart and words(t)]
+    cut = lambda values: sorted(values)[math.ceil(0.8 * len(values)) - 1]
+    threshold = {lang: cut([p for x, p in held if x == lang]) for lang in {x for x, _ in held}}
+    got = judge_quality(docs.repartition(3), labels, quantile=0.8).collect()
+    assert Counter((r.doc_id, r.lang) for r in got) == Counter((i, lang) for i, lang, _ in rows)
+    by = {}
+    for i, lang, t in rows:
+        by.setdefault(i, (lang, t))
+    for r in got:
+        lang, t = by[r.doc_id]
+        limit = threshold.get(lang, cut([p for _, p in held]))
+        assert math.isclose(r.threshold, limit, rel_tol=1e-5)
+        if want[r.doc_id, t] is None:
+            assert r.perplexity is None and not r.kept
+        else:
+            assert math.isclose(r.perplexity, want[r.doc_id, t], rel_tol=1e-5)
+            assert r.kept == (r.perplexity <= r.threshold)
