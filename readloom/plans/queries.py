@@ -13,6 +13,7 @@ from readloom.operators import dedup as D
 from readloom.operators import demux as X
 from readloom.operators import merge as M
 from readloom.operators.adapters import trim_adapter
+from readloom.operators.align import align_reads
 from readloom.operators.overlap import merge_mates_by_score
 from readloom.operators.zoom import pyramid
 from readloom.plans.layout import parse_layout
@@ -452,3 +453,18 @@ def adapter_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     ran = F.concat(part(F.col("seq_f"), F.lit(1), 20 + n % 30), part(F.lit(ADAPTER), F.lit(1), n % 13), part(F.lit("ACGTN"), 1 + n % 5, F.lit(1)), part(F.lit(ADAPTER), n % 13 + 2, F.lit(13)), F.col("seq_r"))
     made = view(spark, sf_dir, "v_pairs").select("rec_idx", F.substring(ran, 1, 50).alias("seq"), F.substring("qual_f", 1, 50).alias("qual"))
     return trim_adapter(made, ADAPTER)
+
+
+PLANTED = """select p_partkey as rec_idx, chrom, 1 + (p_partkey * 7) % 196 as pos, cast((p_partkey % 2) * 16 as int) as flag,
+        substr(seq, cast(1 + (p_partkey * 7) % 196 as int), cast(p_partkey % 60 as int)) || 'A' || substr(seq, cast(2 + (p_partkey * 7) % 196 + p_partkey % 60 as int), cast(59 - p_partkey % 60 as int)) as there,
+        case when substr(seq, cast(1 + (p_partkey * 7) % 196 + p_partkey % 60 as int), 1) = 'A' then 0 else 1 end as wrong
+        from part join v_contigs on number = 1 + p_partkey % 10"""
+
+
+@query(f"--more planted as ({PLANTED}) select 'r' || rec_idx as qname, flag, chrom as rname, pos, '60M' as cigar, there as seq, 'NM:i:' || wrong as tag from planted", "v_contigs")
+def align_planted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reads of known places, half of them turned, with a changed base."""
+    contigs = view(spark, sf_dir, "v_contigs")
+    planted = spark.sql(PLANTED.replace("from part join v_contigs", "from {part} join {contigs}"), part=spark.read.parquet(f"{sf_dir}/part.parquet"), contigs=contigs)
+    reads = planted.select(F.concat(F.lit("@r"), "rec_idx").alias("name"), F.when(F.col("flag") == 0, F.col("there")).otherwise(S.revcomp(F.col("there"))).alias("seq"), F.repeat(F.lit("I"), F.lit(60)).alias("qual"))
+    return align_reads(reads, contigs).withColumn("tag", F.col("tags")[0]).select("qname", "flag", "rname", "pos", "cigar", "seq", "tag")

@@ -18,6 +18,7 @@ from readloom.operators import dedup as D
 from readloom.operators import demux as X
 from readloom.operators.merge import merge_aligners, merge_mates, unmapped
 from readloom.operators.adapters import trim_adapter
+from readloom.operators.align import align_reads
 from readloom.operators.overlap import merge_mates_by_score
 from readloom.plans.layout import parse_layout
 from readloom.sources import readers, writers
@@ -209,6 +210,10 @@ def parser() -> argparse.ArgumentParser:
     tracks.add_argument("-mr", "--merge-replicates", action="store_true")
     tracks.add_argument("-g", "--chrom-sizes", help="names and sizes of chromosomes; with it, coverage is written as bigWig files too")
     tracks.add_argument("--keep-last", action="store_true")
+    align = commands.add_parser("align", help="place reads on a reference, as sorted, indexed BAM")
+    align.add_argument("-f", "--forward", required=True)
+    align.add_argument("-x", "--reference", required=True, help="FASTA file")
+    align.add_argument("-o", "--out", required=True)
     rest = commands.add_parser("unmapped", help="reads that no alignment has, as FASTQ")
     rest.add_argument("-f", "--forward", required=True)
     rest.add_argument("-a", "--alignments", required=True, nargs="+", help="SAM files")
@@ -235,6 +240,13 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         if any(len(key) != 3 for key in alignments):
             raise ValueError("alignments are given as sample/replicate/aligner=path")
         run_tracks(spark, TrackRun(args.out, alignments, args.min_mapq, not args.keep_last, args.merge_replicates, args.chrom_sizes))
+    elif args.command == "align":
+        if args.out in (args.forward, args.reference):
+            raise ValueError(f"the input would be overwritten: {args.out}")
+        contigs = readers.read_contigs(spark, args.reference)
+        sizes = contigs.select("chrom", F.length("seq").alias("size")).orderBy("chrom").collect()
+        header = spark.createDataFrame([(i, f"@SQ\tSN:{r['chrom']}\tLN:{r['size']}") for i, r in enumerate(sizes)], "line_no long, line string")
+        write_bam(header, align_reads(readers.read_fastq(spark, args.forward), contigs), args.out)
     elif args.command == "unmapped":
         mapped = readers.read_sam(spark, args.alignments).filter(F.col("flag").bitwiseAND(4) == 0)
         names = mapped.select(F.concat(F.lit("@"), F.element_at(F.split("qname", " "), 1)).alias("word"))

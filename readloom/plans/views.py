@@ -26,6 +26,8 @@ VIEWS = {
         '@S:1:F:1:1:' || cast(o_orderkey as string) || ':1:' || substr(translate(md5('u' || cast(o_orderkey % 5 as string)), '0123456789abcdef', 'ACGTACGTACGTACGT'), 1, 10) || ' 1:N:0' as name,
         translate(md5('d' || cast(o_custkey % 50 as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq,
         translate(md5('q' || cast(o_orderkey as string)), '0123456789abcdef', '!#%+-./0159<?DFI') as qual from orders""",
+    "v_contigs": """select s_suppkey as number, 's' || cast(s_suppkey as string) as chrom, translate(
+        md5('a' || cast(s_suppkey as string)) || md5('b' || cast(s_suppkey as string)) || md5('c' || cast(s_suppkey as string)) || md5('d' || cast(s_suppkey as string)) || md5('e' || cast(s_suppkey as string)) || md5('f' || cast(s_suppkey as string)) || md5('g' || cast(s_suppkey as string)) || md5('h' || cast(s_suppkey as string)), '0123456789abcdef', 'ACGTACGTACGTACGT') as seq from supplier""",
     "v_sam": """select o_orderkey as rec_idx, 'S:1:F:1:' || cast(o_custkey as string) || ':' || cast(o_orderkey % 13 as string) || ':' || cast(o_orderkey as string) || ':ACGT' as qname,
         cast(case when o_orderkey % 50 = 0 then 4 when o_orderkey % 4 < 2 then 0 else 16 end as int) as flag,
         case when o_orderkey % 50 = 0 then '*' else 'chr' || cast(o_custkey % 3 as string) end as rname,
@@ -41,7 +43,7 @@ VIEWS = {
         case when o_orderkey % 50 = 0 then 0 when o_custkey % 4 = 0 then 32 - 1 - o_orderkey % 3 when o_custkey % 4 = 1 then 27 - o_custkey % 8
             when o_custkey % 4 = 2 then 132 + o_custkey % 50 else 33 + o_orderkey % 3 end as covered from orders""",
 }
-SOURCES = {"v_samples": "nation", "v_pairs": "events", "v_merged": "v_pairs", "v_bed": "orders", "v_fq": "orders", "v_sam": "orders"}
+SOURCES = {"v_samples": "nation", "v_pairs": "events", "v_merged": "v_pairs", "v_bed": "orders", "v_fq": "orders", "v_sam": "orders", "v_contigs": "supplier"}
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

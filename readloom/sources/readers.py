@@ -52,6 +52,21 @@ def read_samples(spark: SparkSession, path: str) -> DataFrame:
     return records.select(F.col("rec_idx").cast("int").alias("ord"), F.trim(F.regexp_replace("sample", "^>", "")).alias("sample"), F.upper(F.trim("barcode")).alias("barcode"))
 
 
+def read_contigs(spark: SparkSession, path: str) -> DataFrame:
+    """chrom (the name's first word), seq of FASTA files with lines of any length.
+
+    Lines get their contig by the last name in front of them; the names' places, one for
+    each contig, are the driver's. A contig's lines meet in one row, since a row is what pieces are cut from.
+    """
+    lines = numbered_lines(spark, path)
+    names = lines.filter(F.col("value").startswith(">")).select("file_no", F.col("line_no").alias("name_line"), first_word(F.substring("value", F.lit(2), F.length("value"))).alias("chrom"))
+    after = F.coalesce(F.lead("name_line").over(Window.partitionBy("file_no").orderBy("name_line")), F.lit(1 << 62))
+    spans = names.withColumn("next_line", after)
+    inside = (lines["file_no"] == spans["file_no"]) & (F.col("line_no") > F.col("name_line")) & (F.col("line_no") < F.col("next_line"))
+    met = lines.join(spans, inside).groupBy("chrom").agg(F.sort_array(F.collect_list(F.struct("line_no", F.trim("value").alias("value")))).alias("all"))
+    return met.select("chrom", F.array_join(F.col("all")["value"], "").alias("seq"))
+
+
 def read_sam(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """The columns of alignment lines, tags as an array, the line itself and its file's name."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file")).filter(~F.col("value").startswith("@") & (F.col("value") != ""))
