@@ -443,7 +443,7 @@ ADAPTER = "AGATCGGAAGAGC"
     sites as (select rec_idx, place, seq, least(13, 50 - place) as n from made cross join unnest(range(0, 50)) t(place)),
     compared as (select rec_idx, place, n, len(list_filter(range(1, n + 1), lambda i: seq[place + i] <> '{ADAPTER}'[i])) as wrong from sites),
     best as (select rec_idx, arg_max(place, (n - 2 * wrong, -place)) as place, arg_max(wrong, (n - 2 * wrong, -place)) as wrong from compared where n >= 3 and wrong <= 0.1 * n and n - 2 * wrong > -1 group by rec_idx)
-    select m.rec_idx, substr(seq, 1, coalesce(place, 50) :: int) as seq, substr(qual, 1, coalesce(place, 50) :: int) as qual, wrong :: int as adapter_mismatches from made m left join best b on b.rec_idx = m.rec_idx""",
+    select m.rec_idx, substr(seq, 1, coalesce(place, 50) :: int) as seq, substr(qual, 1, coalesce(place, 50) :: int) as qual, coalesce(wrong, -1) :: int as adapter_mismatches from made m left join best b on b.rec_idx = m.rec_idx""",
     "v_pairs",
 )
 def adapter_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -452,7 +452,7 @@ def adapter_trim(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = lambda text, start, size: F.substring(text, start.cast("int"), size.cast("int"))
     ran = F.concat(part(F.col("seq_f"), F.lit(1), 20 + n % 30), part(F.lit(ADAPTER), F.lit(1), n % 13), part(F.lit("ACGTN"), 1 + n % 5, F.lit(1)), part(F.lit(ADAPTER), n % 13 + 2, F.lit(13)), F.col("seq_r"))
     made = view(spark, sf_dir, "v_pairs").select("rec_idx", F.substring(ran, 1, 50).alias("seq"), F.substring("qual_f", 1, 50).alias("qual"))
-    return trim_adapter(made, ADAPTER)
+    return trim_adapter(made, ADAPTER).withColumn("adapter_mismatches", F.coalesce("adapter_mismatches", F.lit(-1)))
 
 
 PLANTED = """select p_partkey as rec_idx, chrom, 1 + (p_partkey * 7) % 196 as pos, cast((p_partkey % 2) * 16 as int) as flag,

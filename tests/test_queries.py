@@ -9,7 +9,7 @@ DIR = "/root/testdata/sf0.001"
 @pytest.fixture(scope="module")
 def duck():
     c = duckdb.connect()
-    for t in ("nation", "events", "orders", "documents"):
+    for t in ("nation", "events", "orders", "documents", "supplier", "part"):
         c.sql(f"create view {t} as select * from '{DIR}/{t}.parquet'")
     return c
 
