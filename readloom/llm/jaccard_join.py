@@ -8,13 +8,17 @@ a tree by that bound. First only one class of each block and size asks, the one
 that shares most with all others; all it may link to in any of its blocks are one
 tree. It has then met its blocks and leaves them, and blocks whose other classes
 are thereby connected are settled. In the rest every class asks for those it isn't
-connected with. That, and not a cap, keeps groups of thousands of near copies from
+connected with. Those pairs can be as many as the square of a group of texts that are
+alike but hardly link, so they never leave their task: it first tells only which classes found
+any, then it compares their whole sets and tells the links that connect them, fewer
+than its classes. That, and not a cap, keeps groups of thousands of near copies from
 growing with their square.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -69,6 +73,14 @@ def least_common(n):
     return 1 + n // SPARE
 
 
+def points_of(flat: np.ndarray, sizes: np.ndarray) -> list[bytes]:
+    """Packed counts by group of each set, the sets in a row."""
+    groups = groups_for(sizes)
+    bases = np.cumsum(groups) - groups
+    counts = np.bincount(np.repeat(bases, sizes) + ((flat >> np.uint64(17)).astype(np.int64) & (np.repeat(groups, sizes) - 1)), minlength=int(groups.sum()))
+    return list(map(packed_counts, cut_by(counts, groups)))
+
+
 def features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) -> DataFrame:
     """id, n, two hashes of the set, the rare and the frequent shingles of its prefix and its counts by group."""
 
@@ -92,62 +104,70 @@ def features(docs: DataFrame, width: int, percent: int, frequent: np.ndarray) ->
             for chosen in (taken & ~common, taken & common):
                 ends = np.cumsum(np.bincount(text[chosen], minlength=len(sizes)))
                 own.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(flat[chosen].view(np.int64))))
-            groups = groups_for(sizes)
-            bases = np.cumsum(groups) - groups
-            counts = np.bincount(bases[text] + ((flat >> np.uint64(17)).astype(np.int64) & (groups[text] - 1)), minlength=int(groups.sum()))
-            points = list(map(packed_counts, cut_by(counts, groups)))
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array(sizes), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), *own, pa.array(points, pa.binary())], names=["id", "n", "f1", "f2", "rare", "frequent", "counts"])
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array(sizes), pa.array(first.view(np.int64)), pa.array(second.view(np.int64)), *own, pa.array(points_of(flat, sizes), pa.binary())], names=["id", "n", "f1", "f2", "rare", "frequent", "counts"])
 
     return docs.mapInArrow(made, "id long, n long, f1 long, f2 long, rare array<long>, frequent array<long>, counts binary")
 
 
-def candidates(members: DataFrame, percent: int) -> DataFrame:
-    """Distinct pairs (a, b) of classes that a tree search finds: of one tree, not connected yet and within the bound.
+class Members(NamedTuple):
+    """The rows of one tree; sides as in ``candidates``. ``sets`` only where whole sets are compared."""
 
-    ``members``: block, part, side (0: in the tree, 1: only asks, 2: both), id, n, component, counts;
-    the rows of a block and part are one tree and lie together.
-    """
+    side: np.ndarray
+    ids: np.ndarray
+    sizes: np.ndarray
+    comps: np.ndarray
+    points: list[np.ndarray]
+    sets: list[np.ndarray]
 
-    def block_pairs(side, ids, sizes, comps, points) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        groups = np.asarray([len(p) for p in points])
-        trees: dict[tuple[int, int], tuple[np.ndarray, CountTree]] = {}
+    def answers(self, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+        """For each row that asks the rows it finds: in the tree, within the bound and, by what ``comps`` says at that time, not connected with it."""
+        groups = np.asarray([len(p) for p in self.points])
+        trees: dict[tuple[int, int], tuple[np.ndarray, CountTree | None]] = {}
 
-        def tree(own: int, use: int) -> tuple[np.ndarray, CountTree]:
+        def tree(own: int, use: int) -> tuple[np.ndarray, CountTree | None]:
             """The points with ``own`` groups, folded to ``use``."""
             if (own, use) not in trees:
-                inside = np.flatnonzero((groups == own) & (side != 1))
-                stacked = folded(np.stack([points[i] for i in inside]), use) if len(inside) else None
-                trees[own, use] = inside, CountTree(stacked, sizes[inside], percent) if len(inside) else None
+                inside = np.flatnonzero((groups == own) & (self.side != 1))
+                stacked = folded(np.stack([self.points[i] for i in inside]), use) if len(inside) else None
+                trees[own, use] = inside, CountTree(stacked, self.sizes[inside], percent) if len(inside) else None
             return trees[own, use]
 
-        for i in np.flatnonzero(side != 0):
+        for i in np.flatnonzero(self.side != 0):
             for own in {groups[i] // 2, groups[i], groups[i] * 2}:
                 use = min(own, groups[i])
                 inside, found_by = tree(own, use)
                 if found_by is None:
                     continue
-                found = inside[found_by.search(folded(points[i], use), sizes[i])]
-                found = found[comps[found] != comps[i]]
-                found = found[(side[found] == 0) | (ids[found] < ids[i])]
+                found = inside[found_by.search(folded(self.points[i], use), self.sizes[i])]
+                found = found[self.comps[found] != self.comps[i]]
+                found = found[(self.side[found] == 0) | (self.ids[found] < self.ids[i])]
                 if len(found):
-                    yield np.minimum(ids[i], ids[found]), np.maximum(ids[i], ids[found])
+                    yield i, found
+
+
+def by_tree(members: DataFrame, told: Callable[[Members], Iterator[np.ndarray]], names: list[str]) -> DataFrame:
+    """Distinct rows of the columns ``names`` that ``told`` makes of each tree. ``members``: block, part and more; the rows of a block and part are one tree and lie together."""
 
     def searched(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
 
         def done(table: pa.Table) -> Iterator[pa.RecordBatch]:
             block, part = table["block"].to_numpy(), table["part"].to_numpy()
-            side, ids, sizes, comps = (table[c].to_numpy() for c in ("side", "id", "n", "component"))
-            points = list(map(as_counts, as_bytes(table["counts"].combine_chunks())))
+            columns = [table[c].to_numpy() for c in ("side", "id", "n", "component")]
+            columns[3] = columns[3].copy()
+            sets: list[np.ndarray] = []
+            if "shingles" in table.column_names:
+                sets = [np.frombuffer(s, np.uint64) for s in as_bytes(table["shingles"].combine_chunks())]
+                points = list(map(as_counts, points_of(np.concatenate(sets), columns[2])))
+            else:
+                points = list(map(as_counts, as_bytes(table["counts"].combine_chunks())))
             cut = np.flatnonzero((np.diff(block) != 0) | (np.diff(part) != 0)) + 1
-            a, b = [], []
+            found = []
             for s, e in zip([0, *cut], [*cut, len(block)], strict=True):
-                for x, y in block_pairs(side[s:e], ids[s:e], sizes[s:e], comps[s:e], points[s:e]):
-                    a.append(x)
-                    b.append(y)
-            if a:
-                pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+                found += told(Members(*(c[s:e] for c in (*columns, points, sets))))
+            if found:
+                own = np.unique(np.concatenate(found, 1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in own], names=names)
 
         for batch in batches:
             if not batch.num_rows:
@@ -165,7 +185,47 @@ def candidates(members: DataFrame, percent: int) -> DataFrame:
             yield from done(pa.concat_tables(held))
 
     laid = members.repartition("block", "part").sortWithinPartitions("block", "part")
-    return laid.mapInArrow(searched, "a long, b long").distinct()
+    return laid.mapInArrow(searched, ", ".join(f"{n} long" for n in names)).distinct()
+
+
+def candidates(members: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (a, b) of classes that a tree search finds: of one tree, not connected yet and within the bound.
+
+    ``members``: block, part, side (0: in the tree, 1: only asks, 2: both), id, n, component, counts.
+    """
+
+    def pairs(tree: Members) -> Iterator[np.ndarray]:
+        for i, found in tree.answers(percent):
+            yield np.stack([np.minimum(tree.ids[i], tree.ids[found]), np.maximum(tree.ids[i], tree.ids[found])])
+
+    return by_tree(members, pairs, ["a", "b"])
+
+
+def with_candidates(members: DataFrame, percent: int) -> DataFrame:
+    """The ids of ``candidates``' pairs, without the pairs."""
+
+    def ids(tree: Members) -> Iterator[np.ndarray]:
+        any_found = np.zeros(len(tree.ids), bool)
+        for i, found in tree.answers(percent):
+            any_found[i] = any_found[found] = True
+        if any_found.any():
+            yield np.unique(tree.ids[any_found])[None]
+
+    return by_tree(members, ids, ["id"])
+
+
+def connecting(members: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that connect all that links of one tree connect: in each tree fewer than its classes. ``members`` has shingles in the place of counts."""
+
+    def links(tree: Members) -> Iterator[np.ndarray]:
+        for i, found in tree.answers(percent):
+            for j in found:
+                one, other = tree.comps[i], tree.comps[j]
+                if one != other and link(tree.sets[i], tree.sets[j], percent):
+                    tree.comps[tree.comps == other] = one
+                    yield np.sort(tree.ids[[i, j]])[:, None]
+
+    return by_tree(members, links, ["a", "b"])
 
 
 def occurring_again(classes: DataFrame, scratch: Scratch) -> DataFrame:
@@ -280,25 +340,33 @@ def short_list(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= FEW else keys
 
 
-def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, percent: int, once: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The pairs (a, b) whose whole sets link; ``once`` removes what repeated rows repeat."""
-    ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
+def link(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def whole_sets(ids: DataFrame, docs: DataFrame, width: int) -> DataFrame:
+    """id, n, shingles of the rows of ``docs`` that the written table ``ids`` has."""
 
     def sets(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in by_bytes(rows(batches), 1 << 20):
             found = cut_by(*shingle_sets([lowered(t) for _, t in run], width))
-            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in run], pa.int64()), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())], names=["id", "n", "shingles"])
+
+    return docs.join(short_list(ids), "id", "left_semi").mapInArrow(sets, "id long, n long, shingles binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, percent: int, once: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The pairs (a, b) whose whole sets link; ``once`` removes what repeated rows repeat."""
+    ids = scratch.keep(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct())
 
     def overlap(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(as_bytes(batch["sa"]), as_bytes(batch["sb"]), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+            pairs_of_sets = zip(as_bytes(batch["sa"]), as_bytes(batch["sb"]), strict=True)
+            keep = [link(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in pairs_of_sets]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    there = scratch.reuse(once(docs.join(short_list(ids), "id", "left_semi").mapInArrow(sets, "id long, shingles binary")))
+    there = scratch.reuse(once(whole_sets(ids, docs, width)))
     sa, sb = (there.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(overlap, "a long, b long").distinct()
 
@@ -349,8 +417,9 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     joined = connected(links, scratch)
 
     labelled, mixed = left_over(found, joined, percent, scratch)
-    rest = candidates(asked_by_all(labelled, mixed, percent, scratch).join(points, ["id", "n"]), percent).join(met, ["a", "b"], "left_anti")
-    more = verified(scratch.keep(rest), narrow, scratch, width, percent, once)
+    asked = scratch.reuse(asked_by_all(labelled, mixed, percent, scratch))
+    some = scratch.keep(with_candidates(asked.join(points, ["id", "n"]), percent))
+    more = connecting(asked.join(once(whole_sets(some, narrow, width)), ["id", "n"]), percent)
     whole = connected(links.union(more), scratch)
 
     # Only classes with copies, or that another class reaches, have something to tell their rows.

@@ -1,4 +1,6 @@
+import contextlib
 import hashlib
+import io
 import random
 import re
 
@@ -184,6 +186,45 @@ def test_join_edges(spark):
     assert result(spark, {1: long, 2: long + " more"}) == {1: (59_996, 1), 2: (59_997, 1)}
 
 
+def kept_tables(monkeypatch):
+    """What Scratch writes from now on: columns, rows and explained plan of each table."""
+    told, keep = [], Scratch.keep
+
+    def counted(self, df):
+        said = io.StringIO()
+        with contextlib.redirect_stdout(said):
+            df.explain()
+        out = keep(self, df)
+        told.append((out.columns, out.count(), said.getvalue()))
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    return told
+
+
+def alike_texts(n):
+    """Texts of 300 words, each with four changes to one base: most pairs share less than 80 percent, but their counts can't tell."""
+    rng, texts = random.Random(11), {}
+    base = [f"w{i}" for i in range(300)]
+    for i in range(n):
+        own = list(base)
+        for change, at in enumerate(rng.sample(range(5, 290), 4)):
+            own[at : at + 2] = [f"x{i}y{change}", f"z{i}y{change}"]
+        texts[i] = " ".join(own)
+    return texts
+
+
+def test_join_of_texts_that_hardly_link(spark, monkeypatch):
+    """Their pairs within the bound number thousands; no table holds them, and the few links stay."""
+    texts = alike_texts(150)
+    texts |= {1000 + i: f"{texts[i]} tail" for i in range(0, 150, 10)}
+    told = kept_tables(monkeypatch)
+    found = {r.doc_id: (r.n_shingles, r.component_id) for r in near_duplicates(documents(spark, texts)).collect()}
+    assert found == components(texts)
+    assert len({c for _, c in found.values()}) > 10
+    assert max(n for columns, n, _ in told if columns == ["a", "b"]) <= 2 * len(texts)
+
+
 def test_join_query(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op8_jaccard_join"](spark, SF).collect()}
     assert got == components(sf_texts(spark))
