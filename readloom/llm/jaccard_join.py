@@ -281,7 +281,7 @@ def asked_by_pivots(found: DataFrame, scratch: Scratch) -> DataFrame:
 
     A large tree is dealt to several, all of which are asked.
     """
-    met = scratch.reuse(found.select("id", "n", F.explode("near").alias("pivot")).select(F.col("pivot.id").alias("block"), F.col("pivot.n").alias("asking"), "id", "n").distinct())
+    met = scratch.keep(found.select("id", "n", F.explode("near").alias("pivot")).select(F.col("pivot.id").alias("block"), F.col("pivot.n").alias("asking"), "id", "n").distinct())
     trees = scratch.keep(met.groupBy("block", "asking").agg(F.count("*").alias("size")))
     parts = F.ceil(F.col("size") / PART).cast("long")
     dealt = with_keys(met, trees, ["block", "asking"])
@@ -296,7 +296,7 @@ def left_over(found: DataFrame, joined: DataFrame, percent: int, scratch: Scratc
     A class that asked has met all of its block that may link to it. Blocks with the same classes left are one.
     """
     rows = found.filter(~F.col("asks")).join(joined, "id", "left").select("block", "id", "n", F.coalesce("component", "id").alias("component"))
-    rows = scratch.reuse(rows)
+    rows = scratch.keep(rows)
     sums = rows.groupBy("block").agg(F.count("*").alias("size"), F.min("component").alias("low"), F.max("component").alias("high"), F.min("n").alias("least"), F.max("n").alias("most"), F.sum(F.xxhash64("id", "n").cast("decimal(38,0)")).alias("same"))
     mixed = sums.filter((F.col("low") < F.col("high")) & ((F.col("size") > 2) | (percent * F.col("most") <= 100 * F.col("least"))))
     return rows, scratch.keep(mixed.groupBy("size", "same").agg(F.min("block").alias("block")).select("block", "size"))
@@ -366,7 +366,7 @@ def verified(pairs: DataFrame, docs: DataFrame, scratch: Scratch, width: int, pe
             keep = [link(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent) for x, y in pairs_of_sets]
             yield pa.RecordBatch.from_arrays([batch["a"], batch["b"]], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    there = scratch.reuse(once(whole_sets(ids, docs, width)))
+    there = scratch.keep(once(whole_sets(ids, docs, width)))
     sa, sb = (there.select(F.col("id").alias(k), F.col("shingles").alias(f"s{k}")) for k in "ab")
     return pairs.join(sa, "a").join(sb, "b").select("a", "b", "sa", "sb").mapInArrow(overlap, "a long, b long").distinct()
 
@@ -388,7 +388,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
         raise TypeError(f"{id_col} must be of an integer type")
     scratch = Scratch(docs.sparkSession)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    made = scratch.reuse(features(narrow, width, percent, frequent_shingles(narrow, width)))
+    made = scratch.keep(features(narrow, width, percent, frequent_shingles(narrow, width)))
     sets = scratch.keep(made.select("id", "n", "f1", "f2"))
     key = ["f1", "f2", "n"]
     named = made.filter((F.col("n") > 0) & F.col("id").isNotNull())
@@ -398,26 +398,26 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     classes = named.join(short_list(scratch.keep(copies.select("id", *key).distinct())), ["id", *key], "left_anti")
     once = (lambda df: df.distinct()) if sets.groupBy("id").count().filter("id is not null and count > 1").limit(1).count() else lambda df: df
 
-    met_again = scratch.reuse(occurring_again(classes, scratch))
+    met_again = scratch.keep(occurring_again(classes, scratch))
     smallest = F.ceil(F.col("n") * percent / 100).cast("long")  # of the sets that may link
     able = met_again.groupBy("id", "n").agg(F.count("*").alias("met")).filter(F.col("met") >= 1 + F.floor(smallest / SPARE)).select("id", "n")
-    members = scratch.reuse(once(met_again.join(short_list(scratch.keep(able)), ["id", "n"], "left_semi")))
+    members = scratch.keep(once(met_again.join(short_list(scratch.keep(able)), ["id", "n"], "left_semi")))
     # Blocks with the same classes are one.
     alike = members.groupBy("block").agg(F.count("*").alias("size"), F.sum(F.xxhash64("id", "n").cast("decimal(38,0)")).alias("same"))
     blocks = alike.groupBy("size", "same").agg(F.min("block").alias("block"), F.count("*").alias("alike")).filter("size > 1")
     blocks = scratch.keep(blocks.select("block", "size", (F.col("size") * F.col("alike")).alias("weight")))
-    weighed = scratch.reuse(with_keys(members, blocks, ["block"]))
+    weighed = scratch.keep(with_keys(members, blocks, ["block"]))
     weights = weighed.groupBy("id").agg(F.sum("weight").alias("weight"))
-    banded = scratch.reuse(weighed.drop("weight").join(weights, "id").withColumn("band", band_of(F.col("n"), percent)))
-    points = scratch.reuse(once(classes.join(short_list(scratch.keep(weights.select("id"))), "id", "left_semi").select("id", "n", "counts")))
+    banded = scratch.keep(weighed.drop("weight").join(weights, "id").withColumn("band", band_of(F.col("n"), percent)))
+    points = scratch.keep(once(classes.join(short_list(scratch.keep(weights.select("id"))), "id", "left_semi").select("id", "n", "counts")))
 
-    found = scratch.reuse(with_pivots(banded, scratch))
+    found = scratch.keep(with_pivots(banded, scratch))
     met = scratch.keep(candidates(asked_by_pivots(found, scratch).join(points, ["id", "n"]), percent))
     links = scratch.keep(verified(met, narrow, scratch, width, percent, once))
     joined = connected(links, scratch)
 
     labelled, mixed = left_over(found, joined, percent, scratch)
-    asked = scratch.reuse(asked_by_all(labelled, mixed, percent, scratch))
+    asked = scratch.keep(asked_by_all(labelled, mixed, percent, scratch))
     some = scratch.keep(with_candidates(asked.join(points, ["id", "n"]), percent))
     more = connecting(asked.join(once(whole_sets(some, narrow, width)), ["id", "n"]), percent)
     whole = connected(links.union(more), scratch)
@@ -425,6 +425,5 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, width: int = 5, id_co
     # Only classes with copies, or that another class reaches, have something to tell their rows.
     moved = firsts.withColumnRenamed("first", "id").join(whole, "id", "left").select(*key, "size", F.coalesce("component", "id").alias("component"), (F.col("size") > 1).alias("more"), "id")
     moved = scratch.keep(moved.filter("more or component <> id").select(*key, "size", "component"))
-    scratch.release()
     out = with_keys(sets, moved, key, "left")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))

@@ -225,6 +225,14 @@ def test_join_of_texts_that_hardly_link(spark, monkeypatch):
     assert max(n for columns, n, _ in told if columns == ["a", "b"]) <= 2 * len(texts)
 
 
+def test_join_has_short_plans(spark, monkeypatch):
+    """Plans within plans, as those of stored tables of stored tables, fill the driver's memory."""
+    told = kept_tables(monkeypatch)
+    near_duplicates(documents(spark, alike_texts(20))).count()
+    assert max(len(plan) for _, _, plan in told) < 20_000
+    assert not any("InMemoryTableScan" in plan for _, _, plan in told)
+
+
 def test_join_query(spark):
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in QUERIES["op8_jaccard_join"](spark, SF).collect()}
     assert got == components(sf_texts(spark))
