@@ -19,6 +19,8 @@ from readloom.functions.sequence import revcomp
 
 #: Bases of a piece of the reference, and of the next piece that it has too.
 PIECE, SHARED = 10_000, 1_000
+#: Bases of the reference whose seeds a task cuts, and as many a task counts, about.
+TASK_BASES = 1 << 20
 #: Windows that are aligned together.
 TOGETHER = 500
 CODES = np.full(256, 4, np.uint8)
@@ -90,6 +92,11 @@ def pieces(contigs: DataFrame) -> DataFrame:
     return contigs.select("chrom", "seq").mapInArrow(cut, "chrom string, piece int, seq string")
 
 
+def tasks_for(contigs: DataFrame) -> int:
+    """Tasks of about TASK_BASES each."""
+    return 1 + (contigs.agg(F.sum(F.length("seq").cast("long"))).first()[0] or 0) // TASK_BASES
+
+
 def aligned(reads: list[bytes], windows: list[bytes], shape: Shape) -> list[tuple[int, int, str, int]]:
     """(score, start in the window, CIGAR, mismatches and gap bases) of whole reads of one length within windows of one length."""
     n, m = len(reads[0]), len(windows[0])
@@ -155,10 +162,13 @@ def align_reads(reads: DataFrame, contigs: DataFrame, *, shape: Shape = Shape())
     k = shape.seed
     laid = pieces(contigs)
     own_part = F.col("place") < PIECE
-    there = seeds_of(laid.withColumn("at", F.struct("chrom", "piece")), "at", shape).filter(own_part)
-    there = there.select("seed", F.col("at.chrom").alias("chrom"), (F.col("at.piece") * PIECE + F.col("place")).alias("ref"), F.col("turned").alias("ref_turned")).distinct()
+    # A file of few megabytes can tell many contigs, and few small tasks are merged: both numbers of tasks grow with the bases.
+    tasks = tasks_for(contigs)
+    there = seeds_of(laid.repartition(tasks, "chrom", "piece").withColumn("at", F.struct("chrom", "piece")), "at", shape).filter(own_part)
+    there = there.select("seed", F.col("at.chrom").alias("chrom"), (F.col("at.piece") * PIECE + F.col("place")).alias("ref"), F.col("turned").alias("ref_turned")).repartition(tasks, "seed").distinct()
     rare = there.groupBy("seed").agg(F.count("*").alias("n")).filter(F.col("n") <= shape.most_places).select("seed")
-    there = there.join(rare, "seed")
+    # By the size of its file Spark would take the reference for a small table and give it to every task.
+    there = there.join(rare.hint("merge"), "seed").hint("merge")
     upper = F.upper(F.trim("seq"))
     distinct = reads.select(upper.alias("seq")).filter((F.col("seq") != "") & (F.length("seq") <= SHARED - 2 * shape.around)).distinct()
     met = seeds_of(distinct, "seq", shape).join(there, "seed")
@@ -170,7 +180,7 @@ def align_reads(reads: DataFrame, contigs: DataFrame, *, shape: Shape = Shape())
     start = F.greatest(F.col("diagonal") - shape.around, F.lit(0))
     placed = tried.select("seq", "chrom", "back", start.alias("start"), F.floor(start / PIECE).cast("int").alias("piece"))
     window = F.substring("piece_seq", (F.col("start") - F.col("piece") * PIECE + 1).cast("int"), F.length("seq") + 3 * shape.around)
-    windows = placed.join(laid.withColumnRenamed("seq", "piece_seq"), ["chrom", "piece"]).select("seq", "chrom", "back", "start", F.when(F.col("back"), revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("oriented"), F.upper(window).alias("window"))
+    windows = placed.join(laid.withColumnRenamed("seq", "piece_seq").hint("merge"), ["chrom", "piece"]).select("seq", "chrom", "back", "start", F.when(F.col("back"), revcomp(F.col("seq"))).otherwise(F.col("seq")).alias("oriented"), F.upper(window).alias("window"))
     found = in_windows(windows, shape).filter(F.col("score") >= shape.least * shape.match * F.length("seq"))
     best = found.dropDuplicates(["seq", "chrom", "back", "pos", "cigar"]).groupBy("seq").agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("minus"), "chrom", "pos", "back", "cigar", "wrong"))).alias("all"))
     first, second = F.col("all")[0], F.coalesce(-F.get("all", F.lit(1))["minus"], F.lit(0))

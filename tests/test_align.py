@@ -1,4 +1,7 @@
+import contextlib
+import io
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -119,6 +122,23 @@ def test_planted_reads_are_found(spark, monkeypatch):
     assert sum(r.qname == "q0:x" for r in got) == 6
 
 
+def test_seeds_are_dealt_by_bases(spark, monkeypatch):
+    """One small file of many contigs is not one task's, and what its seeds are counted in grows with it."""
+    monkeypatch.setattr(align, "TASK_BASES", 2_000)
+    rng = random.Random(5)
+    contigs = spark.createDataFrame([(f"c{i}", "".join(rng.choices("ACGT", k=500))) for i in range(40)], "chrom string, seq string").coalesce(1)
+    first = contigs.first()
+    reads = spark.createDataFrame([("@a", first.seq[100:160], "I" * 60)], "name string, seq string, qual string")
+    found = align_reads(reads, contigs)
+    said = io.StringIO()
+    with contextlib.redirect_stdout(said):
+        found.explain()
+    assert [(r.rname, r.pos, r.cigar) for r in found.collect()] == [(first.chrom, 101, "60M")]
+    assert re.search(r"hashpartitioning\(chrom#\d+, piece#\d+, 11\)", said.getvalue())
+    assert re.search(r"hashpartitioning\(seed#\d+L, 11\)", said.getvalue())
+    assert not re.search(r"BroadcastHashJoin \[(seed|chrom)#", said.getvalue())
+
+
 def test_repeats_have_low_quality_and_the_first_place(spark):
     rng = random.Random(4)
     unit = text(rng, 100)
