@@ -27,9 +27,16 @@ class Scratch:
     def __init__(self, spark: SparkSession):
         small_batches(spark)
         self.spark, self.top, self.n = spark, folder(spark), 0
+        self.paths: dict[int, str] = {}
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.n += 1
         path = f"{self.top}/{self.n}"
         df.write.option("compression", "zstd").parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        kept = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(kept)] = path
+        return kept
+
+    def release(self, kept: DataFrame) -> None:
+        """Frees the disk of a kept table that nothing reads any more; an empty one takes its place."""
+        self.spark.createDataFrame([], kept.schema).write.mode("overwrite").parquet(self.paths.pop(id(kept)))

@@ -3,12 +3,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from readloom.llm import brown
 from readloom.llm.brown import Shape, score
-from readloom.llm.kneser_ney import END, START, fit, grams_of, judge_quality, log_probability
+from readloom.llm.kneser_ney import END, LOW, START, fit, grams_of, hash_of, judge_quality, log10_probabilities, log_probability
 from readloom.llm.queries import QUERIES, fold
 from readloom.llm.scratch import Scratch
 from readloom.llm.toxicity import Shape as ToxicityShape
@@ -166,6 +167,73 @@ def test_quality_learns_from_all_trusted_text(spark):
     assert all(math.isclose(got[i], 10 ** (-v / k), rel_tol=1e-6) for i, v, k in zip(texts, values, n, strict=True))
 
 
+def plain_kneser_ney(learnt):
+    """log10 probability and number of tokens of a text, from plain counters."""
+    padded = lambda t: [START, START, *t.lower().encode().split(), END]
+    three = Counter(x for t in learnt for x in zip(*(padded(t)[i:] for i in range(3)), strict=False))
+    two, one = Counter(x[1:] for x in three), Counter()
+    for x in two:
+        one[x[1]] += 1
+
+    def levels(counts):
+        n1, n2, n3, n4 = (sum(v == i for v in counts.values()) for i in (1, 2, 3, 4))
+        y = n1 / (n1 + 2 * n2)
+        return [min(max(i - (i + 1) * y * b / a, 0.1), float(i)) if a else 0.75 for i, a, b in ((1, n1, n2), (2, n2, n3), (3, n3, n4))]
+
+    given = {id(c): levels(c) for c in (one, two, three)}
+    taken = lambda c, n: given[id(c)][min(n, 3) - 1]
+    sums = {}
+    for c in (two, three):
+        for x, n in c.items():
+            total, left = sums.get(x[:-1], (0, 0.0))
+            sums[x[:-1]] = total + n, left + taken(c, n)
+    total, left = sum(one.values()), sum(taken(one, n) for n in one.values())
+
+    def p(x):
+        if len(x) == 1:
+            n = one[x[0]]
+            return (n - taken(one, n) if n else 0) / total + left / total / (len(one) + 1)
+        if x[:-1] not in sums:
+            return p(x[1:])
+        c = three if len(x) == 3 else two
+        n, (all_, rest) = c[x], sums[x[:-1]]
+        return ((n - taken(c, n) if n else 0) + rest * p(x[1:])) / all_
+
+    return lambda t: (sum(math.log10(p(x)) for x in zip(*(padded(t)[i:] for i in range(3)), strict=False)), len(padded(t)) - 2)
+
+
+@pytest.mark.parametrize(("slices", "groups", "shared"), [(1, 1, 0), (4, 3, 0), (4, 3, 8)])
+def test_kneser_ney_against_plain_counters(spark, monkeypatch, slices, groups, shared):
+    """Whatever the slices and groups are, and however frequent words are shared, texts have the values of the whole model."""
+    rng = random.Random(4)
+    words = [f"w{int(rng.paretovariate(0.7))}" for _ in range(3000)]
+    texts = [" ".join(words[i : i + 25]) for i in range(0, 3000, 25)] + ["", "W1  w1\tw1 never", "x" * 200 + " w2", words[0]]
+    learnt = texts[:80] + texts[-1:]
+    plain = plain_kneser_ney(learnt)
+    rows = [(t, i < 80 or i == len(texts) - 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame([*rows, rows[90], rows[90]], "text string, usable boolean").withColumn("id", F.xxhash64("text")).repartition(3)
+    hot = {hash_of(w) & int(LOW): shared for w in (b"w1", b"w2", b"never", START)} if shared else {}
+    monkeypatch.setattr("readloom.llm.kneser_ney.GROUP_TOKENS", max(1, sum(map(len, texts)) // 6 // slices // (groups - 1)) if groups > 1 else 1 << 19)
+    monkeypatch.setattr("readloom.llm.kneser_ney.BLOCK_BYTES", 500)
+    scratch = Scratch(spark)
+    got = {r.h: r for r in log10_probabilities(docs, scratch, slices, hot).collect()}
+    assert len(got) == len(set(texts))
+    for r in docs.collect():
+        value, n = plain(r.text)
+        assert got[r.id].n == n and math.isclose(got[r.id].value, value, rel_tol=1e-9)
+
+
+def test_quality_keeps_no_texts(spark, monkeypatch, tmp_path):
+    """Texts are not written beside their n-grams, so what a run leaves is smaller than they are."""
+    monkeypatch.setattr("readloom.llm.scratch.folder", lambda _: str(tmp_path / "kept"))
+    rng = random.Random(5)
+    docs = documents(spark, {i: " ".join(str(rng.randrange(10**9)) for _ in range(500)) for i in range(400)}).withColumn("lang", F.lit("en"))
+    labels = docs.filter("doc_id % 8 = 0").selectExpr("doc_id", "1 as quality")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    assert judge_quality(docs, labels).count() == 400
+    assert sum(p.stat().st_size for p in tmp_path.rglob("*.parquet")) < 0.4 * size
+
+
 def test_toxicity_query(spark):
     rows = {r.doc_id: r for r in QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.01").collect()}
     assert {i: r.held_out for i, r in rows.items()} == {i: crc(i) % 4 == 2 for i in rows}
