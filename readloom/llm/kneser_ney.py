@@ -33,9 +33,9 @@ from readloom.llm.shingles import PLACES, mix, rolled
 BLOCK_BYTES = 4 << 20
 #: Bytes of training text whose n-grams are counted together before they leave a task, about.
 COUNTED_BYTES = 4 << 20
-#: Slices of the groups at most (a power of two), and text bytes from which on there are more of them. Each slice reads the texts again.
-SLICES, SLICE_BYTES = 8, 24 << 20
-#: Tokens of a group, about. A word with more than half of them, as a sample tells, is shared by several groups.
+#: Slices of the groups at most, and text bytes from which on there are more of them. Each slice reads the texts again.
+SLICES, SLICE_BYTES = 5, 24 << 20
+#: Tokens of a group, about. A word with more than that, as a sample tells, is shared by several groups.
 GROUP_TOKENS = 1 << 19
 #: Bytes of text of a token, about, and one text of how many tells which words are frequent.
 TOKEN_BYTES, SAMPLED = 6, 32
@@ -183,27 +183,33 @@ class Deal:
     """Which group a token goes to, by the word before it; frequent words are shared by the word before those."""
 
     def __init__(self, slices: int, groups: int, hot: dict[int, int]):
-        self.bits, self.groups = slices.bit_length() - 1, groups
+        self.slices, self.groups = slices, groups
         self.hot = np.asarray(sorted(hot), np.uint64)
         self.shares = np.asarray([hot[h] for h in sorted(hot)], np.uint64)
+        self.maybe = np.zeros(1 << 16, bool)
+        self.maybe[self.hot & np.uint64(0xFFFF)] = True
 
     def is_hot(self, words: np.ndarray) -> np.ndarray:
         return np.isin(words, self.hot)
 
+    def least(self, part: int) -> np.uint64:
+        """Least order of a part, which may be that of no part."""
+        return np.uint64(min(-(-(part << 32) // (self.slices * self.groups)) << 32, (1 << 64) - 1))
+
     def order(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """A number whose first bits are the slice and the group; equal ones have equal ``b``."""
         key = mix(b)
         if len(self.hot):
-            at = np.minimum(np.searchsorted(self.hot, b), len(self.hot) - 1)
-            hit = np.flatnonzero(self.hot[at] == b)
-            key[hit] = mix(key[hit] + (a[hit] & (self.shares[at[hit]] - np.uint64(1))))
+            hit = np.flatnonzero(self.maybe[b & np.uint64(0xFFFF)])
+            at = np.minimum(np.searchsorted(self.hot, b[hit]), len(self.hot) - 1)
+            sure = self.hot[at] == b[hit]
+            hit, at = hit[sure], at[sure]
+            key[hit] = mix(key[hit] + (a[hit] & (self.shares[at] - np.uint64(1))))
         return key
 
     def part(self, order: np.ndarray) -> np.ndarray:
         """Slice and group as one number."""
-        own = (order >> np.uint64(64 - self.bits)) if self.bits else np.zeros(len(order), np.uint64)
-        rest = (order << np.uint64(self.bits)) >> np.uint64(32)
-        return (own * np.uint64(self.groups) + (rest * np.uint64(self.groups) >> np.uint64(32))).astype(np.int64)
+        return ((order >> np.uint64(32)) * np.uint64(self.slices * self.groups) >> np.uint64(32)).astype(np.int64)
 
 
 def narrow_bytes(values: np.ndarray, width: int = 4) -> bytes:
@@ -240,11 +246,15 @@ def tokens_of(docs: DataFrame, deal: Deal, first: int, last: int) -> DataFrame:
             at[ends - lengths] = at[ends - lengths + 1] = False
             at = np.flatnonzero(at)
             order = deal.order(words[at - 2], words[at - 1])
-            part = deal.part(order)
-            mine = np.flatnonzero((part >= first * deal.groups) & (part <= last * deal.groups + deal.groups - 1))
+            mine = order >= deal.least(first * deal.groups)
+            if last + 1 < deal.slices:
+                mine &= order < deal.least((last + 1) * deal.groups)
+            mine = np.flatnonzero(mine)
             mine = mine[np.argsort(order[mine])]
-            order, part, at = order[mine], part[mine], at[mine]
-            stands = 2 * np.searchsorted(ends, at, "right") + np.asarray([u for (_, u), _ in run], np.int64)[np.searchsorted(ends, at, "right")]
+            order, at = order[mine], at[mine]
+            part = deal.part(order)
+            text = np.repeat(np.arange(len(run)), lengths)[at]
+            stands = 2 * text + np.asarray([u for (_, u), _ in run], np.int64)[text]
             heads = np.flatnonzero(np.diff(order, prepend=order[:1] + np.uint64(1)))
             runs = np.diff(np.append(heads, len(at)))
             cuts = [*np.flatnonzero(np.diff(part, prepend=-1)).tolist(), len(at)]
@@ -306,7 +316,7 @@ def counting(deal: Deal):
 
 
 def frequent(docs: DataFrame, slices: int) -> dict[int, int]:
-    """Words that take more than half of a group, and how many groups share them (a power of two). Found in a sample; whatever it says, results are the same."""
+    """Words that take more than a group, and how many groups share them (a power of two). Found in a sample; whatever it says, results are the same."""
 
     def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for run in by_bytes(rows(batches), BLOCK_BYTES):
@@ -315,7 +325,7 @@ def frequent(docs: DataFrame, slices: int) -> dict[int, int]:
             yield pa.RecordBatch.from_arrays([pa.array(found[often].astype(np.int64)), pa.array(n[often])], names=["w", "n"])
 
     sample = docs.filter(F.pmod("id", F.lit(SAMPLED)) == 0).select("id", "text").mapInArrow(cut, "w long, n long")
-    least = GROUP_TOKENS // 2 // SAMPLED
+    least = GROUP_TOKENS // SAMPLED
     return {r.w: 1 << (r.n // least).bit_length() for r in sample.groupBy("w").agg(F.sum("n").alias("n")).filter(F.col("n") > least).collect()}
 
 
@@ -365,7 +375,13 @@ def scoring(given2: tuple, given3: tuple, unseen: float, end: float, deal: Deal)
             v2 = in_order(np.concatenate([g2[cold_pairs], told]).view(np.int64), np.concatenate([d2[cold_pairs], td]))
             value, hit = looked_up(v1, b, 0.0)
             value = np.where(~hit & (b == start), np.log10(end) - low, value)
-            value += looked_up((c2, b3), joined(a, b), 0.0)[0] + looked_up(v2, joined(b, c), 0.0)[0] + looked_up((g3, d3), joined(a, b, c), 0.0)[0]
+            # A known trigram has known pairs, and a known pair a known word in the middle.
+            some = np.flatnonzero(hit)
+            weight, hit = looked_up((c2, b3), joined(a[some], b[some]), 0.0)
+            gain, also = looked_up(v2, joined(b[some], c[some]), 0.0)
+            value[some] += weight + gain
+            some = some[hit & also]
+            value[some] += looked_up((g3, d3), joined(a[some], b[some], c[some]), 0.0)[0]
             cuts = np.cumsum([len(e[0]) for e in each])[:-1]
             for r, text, v in zip(found, np.split((stands >> np.uint64(1)).astype(np.int64), cuts), np.split(value, cuts), strict=True):
                 text, of_text = np.unique(text, return_inverse=True)
@@ -403,10 +419,10 @@ def log10_probabilities(docs: DataFrame, scratch: Scratch, slices: int | None =
     """h, n, value: hash, number of tokens (words and an end) and log10 probability of each text of ``docs`` (id, its hash; text; usable) in a model of its usable rows."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if slices is None:
-        slices = min(SLICES, 1 << max(0, (size - 1) // SLICE_BYTES).bit_length())
+        slices = min(SLICES, 1 + size // SLICE_BYTES)
     deal = Deal(slices, 1 + size // TOKEN_BYTES // slices // GROUP_TOKENS, frequent(docs, slices) if hot is None else hot)
     # Usable texts are a part of all; two rounds or less count them.
-    half = max(1, slices // 2)
+    half = -(-slices // 2)
     parts = [scratch.keep(tokens_of(docs.filter("usable"), deal, i, i + half - 1).groupBy("part").applyInArrow(counting(deal), COUNTS)) for i in range(0, slices, half)]
     counts = reduce(DataFrame.union, parts)
     pairs = scratch.keep(counts.filter("kind = 1").groupBy("b", "w").agg(F.sum("n").alias("n")))
